@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from termledger import constants as K
 from termledger.operators.history import VERSION, delta
-from termledger.operators.relational import anti_join, count_by, enrich, semi_join
+from termledger.operators.relational import anti_join, count_by, enrich
 
 
 def duplicates(df: DataFrame, keys: Sequence[str], nulls_equal: bool = True) -> DataFrame:
@@ -109,15 +109,16 @@ def preferred_per_concept(members: DataFrame, descriptions: DataFrame) -> DataFr
 
 def reconcile(source: DataFrame, members: DataFrame, key: str) -> DataFrame:
     """Counts that must agree: source rows, those with an active member, those
-    without, and the active members; one row."""
+    without, and the active members. The source meets the members once."""
     active = members.where(F.col("active") == 1)
-    counts = {
-        "source_rows": source,
-        "present": semi_join(source, active, [key]),
-        "missing": anti_join(source, active, [key]),
-        "active_members": active,
-    }
-    return check_counts(counts)
+    hits = active.select(key).distinct().withColumn("hit", F.lit(True))
+    met = source.join(hits, key, "left").agg(
+        F.count(F.lit(1)).alias("source_rows"),
+        F.count("hit").alias("present"),
+        F.count_if(F.col("hit").isNull()).alias("missing"),
+    )
+    names = ["source_rows", "present", "missing"]
+    return met.unpivot([], names, "name", "n").unionByName(check_counts({"active_members": active}))
 
 
 def check_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -31,13 +31,12 @@ def dialect_descriptions(descriptions: DataFrame, dialect: DataFrame) -> DataFra
     )
 
 
-def _named(descriptions: DataFrame, name: str) -> DataFrame:
+def _named(descriptions: DataFrame, term: str, prefix: str) -> DataFrame:
     """Descriptions under the column names of one kind of name."""
-    prefix = name.removesuffix("_term") if name == "synonym_term" else name
     return descriptions.select(
         "concept_id",
         F.col("description_id").alias(f"{prefix}_description_id"),
-        F.col("term").alias(name),
+        F.col("term").alias(term),
         flag(F.col("case_significance_id") == K.CASE_SENSITIVE).alias(f"{prefix}_case_significant"),
     )
 
@@ -53,18 +52,18 @@ def _dialect_terms(descriptions: DataFrame, dialect: DataFrame, acceptability: i
 
 
 def preferred_terms(descriptions: DataFrame, dialect: DataFrame) -> DataFrame:
-    return _named(_dialect_terms(descriptions, dialect, K.PREFERRED), "preferred_term")
+    return _named(_dialect_terms(descriptions, dialect, K.PREFERRED), "preferred_term", "preferred_term")
 
 
 def synonyms(descriptions: DataFrame, dialect: DataFrame) -> DataFrame:
-    return _named(_dialect_terms(descriptions, dialect, K.ACCEPTABLE), "synonym_term")
+    return _named(_dialect_terms(descriptions, dialect, K.ACCEPTABLE), "synonym_term", "synonym")
 
 
 def fully_specified_names(descriptions: DataFrame) -> DataFrame:
     names = descriptions.where(
         (F.col("active") == 1) & (F.col("type_id") == K.FULLY_SPECIFIED_NAME)
     )
-    return _named(names, "fully_specified_name")
+    return _named(names, "fully_specified_name", "fully_specified_name")
 
 
 def active_descriptions(descriptions: DataFrame, dialect: DataFrame) -> DataFrame:
