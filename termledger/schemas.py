@@ -108,16 +108,21 @@ class Component:
     order: tuple[str, ...]
     folder: str
     stem: str
-    language: str = ""
+    localized: bool = False
     writes_full: bool = True
 
     @property
     def id_column(self) -> str:
         return self.schema.fieldNames()[0]
 
-    def file_name(self, kind: str, namespace: str, release: str) -> str:
+    def id_columns(self) -> list[str]:
+        """The id and the key columns that never change for it."""
+        return list(dict.fromkeys([self.id_column, *self.key]))
+
+    def file_name(self, kind: str, namespace: str, release: str, language: str) -> str:
         """Path below the release folder; ``kind`` is Full, Delta or Snapshot."""
-        return f"{kind}/{self.folder}/{self.stem}{kind}{self.language}_{namespace}_{release}.txt"
+        tag = f"-{language}" if self.localized else ""
+        return f"{kind}/{self.folder}/{self.stem}{kind}{tag}_{namespace}_{release}.txt"
 
 
 _RELATIONSHIP_COLUMNS = (
@@ -170,7 +175,7 @@ DESCRIPTION = Component(
     order=("description_id",),
     folder="Terminology",
     stem="sct2_Description_",
-    language="-en-NZ",
+    localized=True,
     writes_full=False,
 )
 RELATIONSHIP = Component(
@@ -220,7 +225,7 @@ LANGUAGE = Component(
     order=("member_id", "effective_date"),
     folder="Refset/Language",
     stem="der2_cRefset_Language",
-    language="-en-NZ",
+    localized=True,
 )
 # Loaded and reduced to its snapshot, never printed.
 MAORI_LANGUAGE = Component(
@@ -234,7 +239,7 @@ MAORI_LANGUAGE = Component(
     order=LANGUAGE.order,
     folder="Refset/Language",
     stem="der2_cRefset_Language",
-    language="-mi",
+    localized=True,
     writes_full=False,
 )
 REFSET_DESCRIPTOR = Component(

@@ -25,6 +25,20 @@ def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def replace_release(df: DataFrame, path: str, version: str) -> None:
+    """Add the rows of a release to a date-partitioned history.
+
+    Only the partitions of the dates in ``df`` are written. Older history stays
+    untouched on disk, and a rerun replaces what the failed run left.
+    """
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(version)
+        .parquet(path)
+    )
+
+
 def to_rf2(df: DataFrame, component: Component) -> DataFrame:
     """Columns in printed order under their printed names, dates as digits."""
     return df.select(
