@@ -1,0 +1,179 @@
+"""Relational helpers, identifiers and text, on hand-made rows."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from termledger import constants as K
+from termledger.functions import text
+from termledger.functions.check_digit import check_digit, check_remainder
+from termledger.operators import identifiers, refsets, terms
+from termledger.operators import relational as rel
+
+KNOWN_IDS = [
+    900000000000207008,
+    900000000000548007,
+    900000000000003001,
+    116680003,
+    363698007,
+    21000210109,
+]
+
+
+def test_known_ids_are_valid(spark):
+    df = spark.createDataFrame([(i,) for i in KNOWN_IDS], "id bigint")
+    assert identifiers.invalid_ids(df, "id").count() == 0
+
+
+def test_every_altered_digit_is_found(spark):
+    altered = []
+    for identifier in KNOWN_IDS:
+        digits = str(identifier)
+        for place in range(len(digits)):
+            for digit in "0123456789":
+                if digit != digits[place] and not (place == 0 and digit == "0"):
+                    altered.append((int(digits[:place] + digit + digits[place + 1 :]),))
+        for place in range(len(digits) - 1):
+            swapped = digits[:place] + digits[place + 1] + digits[place] + digits[place + 2 :]
+            if swapped != digits and swapped[0] != "0":
+                altered.append((int(swapped),))
+    df = spark.createDataFrame(altered, "id bigint")
+    assert identifiers.invalid_ids(df, "id").count() == len(altered)
+
+
+def test_generated_digit_is_the_last_one(spark):
+    df = spark.createDataFrame([(i // 10, i % 10) for i in KNOWN_IDS], "body bigint, last int")
+    out = identifiers.add_check_digit(df, "body", "digit")
+    assert out.where("digit <> last").count() == 0
+
+
+def test_generated_ids_are_valid(spark):
+    ids = spark.range(1, 5000).select((F.col("id") * 982451653 % 10**15).alias("body"))
+    whole = ids.select((F.col("body") * 10 + check_digit(F.col("body"))).alias("id"))
+    assert identifiers.invalid_ids(whole, "id").count() == 0
+
+
+def test_null_id_has_no_remainder(spark):
+    df = spark.createDataFrame([(None,)], "id bigint").select(check_remainder(F.col("id")).alias("r"))
+    assert df.collect()[0].r is None
+
+
+def test_id_profile(spark):
+    df = spark.createDataFrame([(21000210109,), (116680003,), (91000210107,)], "id bigint")
+    rows = {tuple(r) for r in identifiers.id_profile(df, "id").collect()}
+    assert rows == {("1000210", "10", 0), (None, "00", 0)}
+
+
+def test_natural_join_needs_a_shared_column(spark):
+    with pytest.raises(ValueError):
+        rel.natural_join(spark.range(2).toDF("a"), spark.range(2).toDF("b"))
+
+
+def test_null_keys_never_match(spark):
+    left = spark.createDataFrame([(None, 1), (1, 2)], "k int, v int")
+    right = spark.createDataFrame([(None,), (1,)], "k int")
+    assert [r.v for r in rel.semi_join(left, right, ["k"]).collect()] == [2]
+    assert [r.v for r in rel.anti_join(left, right, ["k"]).collect()] == [1]
+
+
+def test_append_matches_by_name(spark):
+    target = spark.createDataFrame([(1, "a")], "k int, t string")
+    rows = spark.createDataFrame([("b", 2)], "t string, k int")
+    assert {tuple(r) for r in rel.append(target, rows).collect()} == {(1, "a"), (2, "b")}
+    with pytest.raises(ValueError):
+        rel.append(target, spark.createDataFrame([(1, 2)], "k int, other int"))
+
+
+def test_release_calendar(spark):
+    days = [dt.date(2018, 1, 1), dt.date(2018, 2, 1)]
+    out = rel.release_calendar(spark.range(3).toDF("module_id"), days)
+    assert out.count() == 6 and out.distinct().count() == 6
+
+
+def test_codes_differ_by_case(spark):
+    df = spark.createDataFrame([("R102.",), ("r102.",)], "read_code string")
+    assert df.where(F.col("read_code") == "R102.").count() == 1
+
+
+def test_first_non_empty(spark):
+    rows = [(None, "", "c"), ("a ", "b", "c"), (" ", None, None), ("", "b", ""), (None, None, "")]
+    df = spark.createDataFrame(rows, "x string, y string, z string")
+    out = [r[0] for r in df.select(text.first_non_empty(F.col("x"), F.col("y"), F.col("z"))).collect()]
+    assert out == ["c", "a ", "", "b", ""]
+
+
+def test_join_code_is_null_for_a_null_part(spark):
+    df = spark.createDataFrame([("a", None)], "a string, b string")
+    assert df.select(text.join_code(F.col("a"), F.col("b"))).collect()[0][0] is None
+
+
+def test_split_is_the_inverse_of_join(spark):
+    df = spark.createDataFrame([("X76Hb", "11")], "a string, b string")
+    target = df.select(text.join_code(F.col("a"), F.col("b")).alias("t"))
+    assert tuple(target.select(text.code_part(F.col("t")), text.term_code_part(F.col("t"))).collect()[0]) == ("X76Hb", "11")
+
+
+def in_order(rows, unique):
+    """A load that skips rows repeating a unique key of a kept row."""
+    taken = [set() for _ in unique]
+    kept = []
+    for row in sorted(rows):
+        keys = [tuple(row[i] for i in key) for key in unique]
+        if all(key not in seen for key, seen in zip(keys, taken)):
+            kept.append(row)
+            for key, seen in zip(keys, taken):
+                seen.add(key)
+    return kept
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_load_unique_skips_like_an_ordered_load(spark, seed):
+    rng = random.Random(seed)
+    rows = [(n, rng.randrange(12), rng.randrange(12)) for n in range(60)]
+    df = spark.createDataFrame(rows, "line int, a int, b int")
+    out = rel.load_unique(df, [["a"], ["b"]], "line").collect()
+    assert sorted(tuple(r) for r in out) == in_order(rows, [(1,), (2,)])
+
+
+def test_load_unique_skipped_row_blocks_nothing(spark):
+    rows = [(1, 1, 1), (2, 2, 1), (3, 2, 2)]
+    out = rel.load_unique(spark.createDataFrame(rows, "line int, a int, b int"), [["a"], ["b"]], "line")
+    assert sorted(r.line for r in out.collect()) == [1, 3]
+
+
+def test_dedupe_first(spark):
+    rows = [(1, 3, "c"), (1, 1, "z"), (1, 1, "a"), (2, 5, "b")]
+    out = rel.dedupe_first(spark.createDataFrame(rows, "k int, o int, t string"), ["k"], ["o", "t"])
+    assert {tuple(r) for r in out.collect()} == {(1, 1, "a"), (2, 5, "b")}
+
+
+def test_all_components_assumes_own_active(spark):
+    own = spark.createDataFrame([(1, 0), (1, 1), (2, 0)], "concept_id bigint, active int")
+    other = spark.createDataFrame([(3, 0), (4, 1)], "concept_id bigint, active int")
+    out = refsets.all_components(own, other, "concept_id").collect()
+    assert {tuple(r) for r in out} == {(1, 1), (2, 1), (3, 0), (4, 1)}
+
+
+def test_language_target_counts_a_description_once(spark):
+    dialect = spark.createDataFrame([(1, K.ACCEPTABLE)], "description_id bigint, acceptability_id bigint")
+    friendly = spark.createDataFrame([(7,)], "description_id bigint")
+    own = spark.createDataFrame([(5,), (5,), (911000210112,)], "description_id bigint")
+    keep = rel.outside_range("description_id", *K.PATIENT_FRIENDLY_DESCRIPTION_RANGE)
+    out = refsets.build_language_target(dialect, friendly, own, keep).collect()
+    assert {tuple(r) for r in out} == {
+        (K.LANGUAGE_ENGLISH, 1, K.ACCEPTABLE),
+        (K.LANGUAGE_PATIENT_FRIENDLY, 7, K.PREFERRED),
+        (K.LANGUAGE_ENGLISH, 5, K.PREFERRED),
+    }
+    assert len(out) == 3
+
+
+def test_active_relationships_flag_and_columns(spark):
+    rows = [(1, 1, 900000000000011006), (2, 1, 900000000000010007), (3, 0, 900000000000011006)]
+    df = spark.createDataFrame(rows, "relationship_id bigint, active int, characteristic_type_id bigint")
+    out = terms.active_relationships(df).collect()
+    assert {tuple(r) for r in out} == {(1, 1), (2, 0)}
