@@ -101,7 +101,8 @@ def preferred_cardinality(members: DataFrame) -> DataFrame:
 
 
 def preferred_per_concept(members: DataFrame, descriptions: DataFrame) -> DataFrame:
-    """(refset, concept) pairs that have more than one preferred term."""
+    """(refset, concept) pairs with more than one preferred term among the
+    given descriptions. Full names are preferred too, so leave them out."""
     preferred = members.where((F.col("active") == 1) & (F.col("acceptability_id") == K.PREFERRED))
     named = preferred.join(descriptions.select("description_id", "concept_id"), "description_id")
     return count_by(named, ["refset_id", "concept_id"]).where("n > 1")

@@ -398,8 +398,12 @@ def extension_checks(
     checks["own description inactive"] = quality.must_be_active(
         t["description_snapshot"], t["language_snapshot"], "description_id"
     )
+    named = ["description_id", "concept_id", "type_id"]
+    described = t["description_snapshot"].select(named).unionByName(
+        international["description_load"].select(named)
+    )
     checks["preferred term per concept"] = quality.preferred_per_concept(
-        t["language_snapshot"], t["description_snapshot"]
+        t["language_snapshot"], described.where(F.col("type_id") == K.SYNONYM)
     )
     return checks
 

@@ -1,0 +1,229 @@
+"""A small international release and an extension, as release files."""
+
+from __future__ import annotations
+
+import datetime as dt
+from pathlib import Path
+
+from termledger import constants as K
+from termledger.plans.release import ExtensionFiles, InternationalFiles, ReleaseContext
+
+PREVIOUS, RELEASE, TARGET = dt.date(2018, 11, 1), dt.date(2019, 2, 1), dt.date(2019, 1, 31)
+CONTEXT = ReleaseContext(
+    release=RELEASE,
+    previous=PREVIOUS,
+    target=TARGET,
+    calendar=[dt.date(2018, 8, 1), PREVIOUS, RELEASE],
+    namespace="XX1000210",
+    language="en-XX",
+)
+CORE, MODULE = K.CORE_MODULE, K.EXTENSION_MODULE
+GB = K.GB_ENGLISH_REFSET
+
+_TABLE = [
+    [(x + y) % 5 if x < 5 and y < 5 else 5 + (x + y - 5) % 5 if x < 5 else
+     5 + (x - y) % 5 if y < 5 else (x - y) % 5 for y in range(10)]
+    for x in range(10)
+]
+_BASE = [1, 5, 7, 6, 2, 8, 3, 0, 9, 4]
+
+
+def with_check_digit(body: str) -> int:
+    """Straight from the definition of the scheme, for building valid ids."""
+    product = 0
+    for place, digit in enumerate(reversed(body), start=1):
+        value = int(digit)
+        for _ in range(place % 8):
+            value = _BASE[value]
+        product = _TABLE[product][value]
+    return int(body + str(_TABLE[product].index(0)))
+
+
+def own(number: int, partition: str) -> int:
+    """An id of the extension's namespace."""
+    return with_check_digit(f"{number}1000210{partition}")
+
+
+def intl(number: int) -> int:
+    return with_check_digit(f"{number}00")
+
+
+def write(path: Path, header: str, rows, sep="\t") -> str:
+    path.parent.mkdir(parents=True, exist_ok=True)
+    text = [header] if header else []
+    text += [sep.join(str(v) for v in row) for row in rows]
+    path.write_bytes("".join(line + "\r\n" for line in text).encode())
+    return str(path)
+
+
+# Concepts 1..7; 6 is inactive, 7 has no preferred term.
+C = {n: intl(1000 + n) for n in range(1, 8)}
+FSN = {n: with_check_digit(f"{5000 + n}01") for n in C}
+PT = {n: with_check_digit(f"{6000 + n}01") for n in C}
+SYN = {n: with_check_digit(f"{7000 + n}01") for n in C}
+
+
+def international(folder: Path) -> InternationalFiles:
+    day = "20190131"
+    core = [day, 1, CORE]
+    descriptions, members = [], []
+    for n, concept in C.items():
+        descriptions.append([FSN[n], *core, concept, "en", K.FULLY_SPECIFIED_NAME, f"Name {n} (finding)", 0])
+        members.append([f"f{n}", *core, GB, FSN[n], K.PREFERRED])
+        if n != 7:
+            descriptions.append([PT[n], *core, concept, "en", K.SYNONYM, f"name {n}", K.CASE_SENSITIVE if n == 2 else 0])
+            members.append([f"p{n}", *core, GB, PT[n], K.PREFERRED])
+        descriptions.append([SYN[n], *core, concept, "en", K.SYNONYM, f'other "{n}"', 0])
+        members.append([f"s{n}", *core, GB, SYN[n], K.ACCEPTABLE])
+    members.append(["text", *core, GB, 99, K.PREFERRED])
+    members.append(["us", *core, 5, SYN[1], K.PREFERRED])
+    is_a = [(2, 1), (3, 2), (4, 3), (5, 4), (5, 2)]
+    edges = [
+        [100 + i, *core, C[a], C[b], 0, K.IS_A, K.INFERRED, 0] for i, (a, b) in enumerate(is_a)
+    ]
+    edges += [
+        [200, *core, C[3], C[1], 1, K.FINDING_SITE, K.INFERRED, 0],
+        [201, *core, C[3], C[1], 2, K.FINDING_SITE, K.INFERRED, 0],
+        [202, *core, C[4], C[2], 1, K.ASSOCIATED_MORPHOLOGY, K.INFERRED, 0],
+        [203, day, 0, CORE, C[1], C[5], 0, K.IS_A, K.INFERRED, 0],
+        [204, day, 1, 7, C[1], C[4], 0, K.IS_A, K.INFERRED, 0],
+    ]
+    return InternationalFiles(
+        concept=write(
+            folder / "concept.txt",
+            "h",
+            [[c, day, 0 if n == 6 else 1, CORE, K.FULLY_DEFINED if n < 3 else 0] for n, c in C.items()],
+        ),
+        description=write(folder / "description.txt", "h", descriptions),
+        relationship=write(folder / "relationship.txt", "h", edges),
+        language=write(folder / "language.txt", "h", members),
+        simple_map=write(
+            folder / "map.txt",
+            "h",
+            [[f"x{n}", *core, K.LEGACY_CODE_MAP_REFSET, C[n], f"X{n}abc\r"] for n in (1, 2)]
+            + [["o", *core, 446608001, C[1], "8000/0"]],
+        ),
+        extended_map=write(
+            folder / "extended.txt", "h", [["e", *core, 447562003, C[1], 1, 1, "TRUE", "ALWAYS", "A00", 1, 2]]
+        ),
+        stated_relationship=write(folder / "stated.txt", "h", edges[:5]),
+        legacy_codes=write(
+            folder / "codes.all", "", [["R102.", '"Name, thirty"', "", "", "", "", "", "", "", "", "", 0, "EN"]], ","
+        ),
+        legacy_terms=write(
+            folder / "terms.all",
+            "",
+            [
+                ["k", 1, "t30", "t60", "", "00", "EN", "R102.", 0],
+                ["k", 2, "t30", "t60", "", "00", "EN", "R102.", 0],
+                ["k", 1, '"a, b"', "", "", "11", "EN", "R102.", 0],
+                ["k", 1, "", "", "", "00", "EN", "r102.", 0],
+            ],
+            ",",
+        ),
+    )
+
+
+# Extension concepts: the refsets of its members.
+REFSETS = {
+    "read_to_concept": K.MAP_READ_TO_CONCEPT,
+    "concept_to_read": K.MAP_CONCEPT_TO_READ,
+    "medicines": K.MAP_MEDICINES,
+    "claims": K.MAP_ACCIDENT_CLAIMS,
+    "benefits": K.MAP_BENEFITS,
+}
+OLD_REFSET, NEW_REFSET = own(9, "10"), own(14, "10")
+OWN_DESCRIPTION = own(5, "11")
+
+
+def extension(folder: Path) -> ExtensionFiles:
+    before, old, new = "20180801", "20181101", "20190201"
+    refsets = {*REFSETS.values(), OLD_REFSET, NEW_REFSET}
+    concepts = [[c, new if c == NEW_REFSET else before, 1, MODULE, 0] for c in sorted(refsets)]
+    edges = [
+        [own(n, "12"), before, 1, MODULE, c, K.SIMPLE_MAP_PARENT, 0, K.IS_A, K.INFERRED, 0]
+        for n, c in enumerate(sorted(REFSETS.values()), start=1)
+    ]
+    edges += [
+        [own(n, "12"), day, 1, MODULE, c, K.SIMPLE_REFSET_PARENT, 0, K.IS_A, K.INFERRED, 0]
+        for n, day, c in ((20, before, OLD_REFSET), (21, new, NEW_REFSET))
+    ]
+    c2r, r2c = K.MAP_CONCEPT_TO_READ, K.MAP_READ_TO_CONCEPT
+    maps = [
+        ["m1", before, 1, MODULE, c2r, C[1], "AAAAA00"],  # stays
+        ["m2", before, 1, MODULE, c2r, C[2], "BBBBB00"],  # replaced by another code
+        ["m3", before, 1, MODULE, c2r, C[3], "CCCCC00"],  # retired, then wanted again
+        ["m3", old, 0, MODULE, c2r, C[3], "CCCCC00"],
+        ["m4", before, 1, MODULE, c2r, C[6], "DDDDD00"],  # concept became inactive
+        ["m5", before, 0, MODULE, r2c, C[4], "EEEEE00"],  # retired and not wanted
+    ]
+    prepared = {
+        r2c: [[C[1], "AAAAA", "00"], [C[6], "ZZZZZ", "00"]],
+        c2r: [[C[1], "AAAAA", "00"], [C[2], "bbbbb", "00"], [C[3], "CCCCC", "00"], [C[6], "DDDDD", "00"]],
+        K.MAP_BENEFITS: [[C[1], "AAAAA", "00"], [C[2], "bbbbb", "00"]],
+        K.MAP_ACCIDENT_CLAIMS: [[C[1], "AAAAA", "00"], [C[2], "BBBBB", "11"]],
+    }
+    english, friendly = K.LANGUAGE_ENGLISH, K.LANGUAGE_PATIENT_FRIENDLY
+    language = [
+        ["l1", before, 1, MODULE, english, PT[1], K.PREFERRED],  # stays
+        ["l2", before, 1, MODULE, english, SYN[1], K.PREFERRED],  # acceptability changes
+        ["l3", before, 0, MODULE, english, PT[2], K.PREFERRED],  # reactivated
+        ["l4", before, 1, MODULE, english, 99, K.PREFERRED],  # a text definition, leaves
+    ]
+    descriptions = [
+        [OWN_DESCRIPTION, before, 1, MODULE, OLD_REFSET, "en", K.SYNONYM, "Old refset", 0],
+        [OWN_DESCRIPTION, old, 1, MODULE, OLD_REFSET, "en", K.SYNONYM, "Old refset, renamed", 0],
+        [911000210112, new, 1, MODULE, C[1], "en", K.SYNONYM, "friendly", 0],
+    ]
+    members = [
+        ["r1", before, 1, MODULE, OLD_REFSET, C[1]],
+        ["r2", before, 1, MODULE, OLD_REFSET, C[2]],
+        ["r3", before, 0, MODULE, OLD_REFSET, C[3]],
+    ]
+    extract = lambda name, rows: write(
+        folder / name, "h", [[m, new, 1, MODULE, r, c] for m, r, c in rows]
+    )
+    return ExtensionFiles(
+        module_dependency=write(
+            folder / "dep.txt",
+            "h",
+            [
+                [f"d{n}", day, 1, MODULE, 900000000000534007, n, day, day]
+                for day in (before, old)
+                for n in (1, 2)
+            ],
+        ),
+        concept=write(folder / "concept.txt", "h", concepts),
+        description=write(folder / "description.txt", "h", descriptions),
+        relationship=write(folder / "relationship.txt", "h", edges),
+        stated_relationship=write(folder / "stated.txt", "h", edges),
+        simple_map=write(folder / "map.txt", "h", maps),
+        language=write(folder / "language.txt", "h", language),
+        maori_language=write(folder / "maori.txt", "h", []),
+        refset_descriptor=write(
+            folder / "descriptor.txt",
+            "h",
+            [["a1", before, 1, MODULE, K.DESCRIPTOR_REFSET, OLD_REFSET, 449608002, 900000000000461009, 0]],
+        ),
+        simple_refset=write(folder / "refset.txt", "h", members),
+        prepared_maps={
+            refset_id: write(folder / f"prepared_{refset_id}.txt", "h", rows)
+            for refset_id, rows in prepared.items()
+        },
+        medicines_map=write(
+            folder / "medicines.csv",
+            "h",
+            [
+                [77, '"metformin, tablet"', "20190101", 1, C[4], "Metformin (medicinal product)"],
+                [78, "other", "20190101", 1, C[6], "Other (substance)"],
+            ],
+            ",",
+        ),
+        patient_friendly=write(
+            folder / "friendly.txt", "h", [["AAAAA", "00", "read term", "friendly", C[1], 911000210112]]
+        ),
+        refset_extracts=[
+            extract("old.txt", [("t1", OLD_REFSET, C[1]), ("t3", OLD_REFSET, C[3]), ("t6", OLD_REFSET, C[6])]),
+            extract("new.txt", [("n1", NEW_REFSET, C[5]), ("n2", NEW_REFSET, C[5]), ("n1", NEW_REFSET, C[4])]),
+        ],
+    )
