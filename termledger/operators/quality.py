@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from termledger import constants as K
 from termledger.operators.history import VERSION, delta
-from termledger.operators.relational import anti_join, count_by, enrich
+from termledger.operators.relational import anti_join, count_by, enrich, semi_join
+from termledger.session import StepFolder
 
 
 def duplicates(df: DataFrame, keys: Sequence[str], nulls_equal: bool = True) -> DataFrame:
@@ -27,11 +28,20 @@ def orphans(
     keys: Sequence[str],
     parent_keys: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Child rows whose key, if complete, is not in the parent."""
+    """Child rows whose key, if complete, is not in the parent.
+
+    The child is reduced to its distinct keys before any shuffle, so neither
+    its width nor a key that many rows share matters. The missing keys, mostly
+    none, are written; their file size then tells the planner whether they can
+    be broadcast to the child or must be shuffled with it.
+    """
     keys = list(keys)
     named = dict(zip(parent_keys or keys, keys, strict=True))
     referenced = parent.select(*[F.col(p).alias(c) for p, c in named.items()])
-    return anti_join(child.dropna(subset=keys), referenced, keys)
+    complete = child.dropna(subset=keys)
+    missing = anti_join(complete.select(*keys).distinct(), referenced, keys)
+    written = StepFolder(child.sparkSession, "orphans").write(missing)
+    return semi_join(complete, written, keys)
 
 
 def violations(df: DataFrame, predicate: Column) -> DataFrame:
@@ -67,7 +77,7 @@ def inactive_references(
     members: DataFrame, active_concepts: DataFrame, key: str = "concept_id"
 ) -> DataFrame:
     """Members on concepts that are not active."""
-    return anti_join(members, active_concepts, [key])
+    return orphans(members, active_concepts, [key])
 
 
 def active_counts(snapshot: DataFrame) -> DataFrame:

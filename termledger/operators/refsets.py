@@ -82,7 +82,8 @@ def build_target(
     """Active set of the maps: (refset, concept, target) from several sources,
     each with its refset id and target expression, on active concepts only.
 
-    The sources are stacked first, so the concepts are joined once.
+    The planner moves the semi join below the union and shuffles the concepts
+    once for all sources.
     """
     parts = [
         df.select(F.lit(refset_id).alias("refset_id"), "concept_id", target.alias("map_target"))

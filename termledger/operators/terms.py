@@ -21,13 +21,21 @@ def dialect_members(
     )
 
 
-def dialect_descriptions(descriptions: DataFrame, dialect: DataFrame) -> DataFrame:
+def accepted(descriptions: DataFrame, dialect: DataFrame) -> DataFrame:
+    """Descriptions with their acceptability in the dialect, null outside it.
+
+    The one join of the name layer: preferred terms, synonyms and flags are
+    filters of its result.
+    """
+    return enrich(
+        descriptions, dialect.select("description_id", "acceptability_id"), ["description_id"]
+    )
+
+
+def dialect_descriptions(described: DataFrame) -> DataFrame:
     """Descriptions of the dialect with their acceptability."""
-    return natural_join(
-        descriptions.select(
-            "description_id", "concept_id", "type_id", "term", "case_significance_id"
-        ),
-        dialect.select("description_id", "acceptability_id"),
+    return described.where(F.col("acceptability_id").isNotNull()).select(
+        "description_id", "concept_id", "type_id", "term", "case_significance_id", "acceptability_id"
     )
 
 
@@ -41,22 +49,21 @@ def _named(descriptions: DataFrame, term: str, prefix: str) -> DataFrame:
     )
 
 
-def _dialect_terms(descriptions: DataFrame, dialect: DataFrame, acceptability: int) -> DataFrame:
-    english = descriptions.where(
+def _dialect_terms(described: DataFrame, acceptability: int) -> DataFrame:
+    return described.where(
         (F.col("active") == 1)
         & (F.col("language_code") == "en")
         & (F.col("type_id") == K.SYNONYM)
+        & (F.col("acceptability_id") == acceptability)
     )
-    accepted = dialect.where(F.col("acceptability_id") == acceptability)
-    return semi_join(english, accepted, ["description_id"])
 
 
-def preferred_terms(descriptions: DataFrame, dialect: DataFrame) -> DataFrame:
-    return _named(_dialect_terms(descriptions, dialect, K.PREFERRED), "preferred_term", "preferred_term")
+def preferred_terms(described: DataFrame) -> DataFrame:
+    return _named(_dialect_terms(described, K.PREFERRED), "preferred_term", "preferred_term")
 
 
-def synonyms(descriptions: DataFrame, dialect: DataFrame) -> DataFrame:
-    return _named(_dialect_terms(descriptions, dialect, K.ACCEPTABLE), "synonym_term", "synonym")
+def synonyms(described: DataFrame) -> DataFrame:
+    return _named(_dialect_terms(described, K.ACCEPTABLE), "synonym_term", "synonym")
 
 
 def fully_specified_names(descriptions: DataFrame) -> DataFrame:
@@ -66,12 +73,10 @@ def fully_specified_names(descriptions: DataFrame) -> DataFrame:
     return _named(names, "fully_specified_name", "fully_specified_name")
 
 
-def active_descriptions(descriptions: DataFrame, dialect: DataFrame) -> DataFrame:
+def active_descriptions(described: DataFrame) -> DataFrame:
     """Active English descriptions, flagged as full or preferred name."""
-    english = descriptions.where((F.col("active") == 1) & (F.col("language_code") == "en"))
-    accepted = dialect.select("description_id", "acceptability_id")
     preferred = (F.col("type_id") == K.SYNONYM) & (F.col("acceptability_id") == K.PREFERRED)
-    return enrich(english, accepted, ["description_id"]).select(
+    return described.where((F.col("active") == 1) & (F.col("language_code") == "en")).select(
         "concept_id",
         "description_id",
         "term",

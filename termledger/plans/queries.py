@@ -534,14 +534,18 @@ def closure_cycles(spark, sf_dir):
 # -- names, concepts, relationships ------------------------------------------
 
 
+def _described(spark, sf_dir):
+    return terms.accepted(fx.fx_description(spark, sf_dir), fx.fx_dialect(spark, sf_dir))
+
+
 @query
 def preferred_term(spark, sf_dir):
-    return terms.preferred_terms(fx.fx_description(spark, sf_dir), fx.fx_dialect(spark, sf_dir))
+    return terms.preferred_terms(_described(spark, sf_dir))
 
 
 @query
 def synonym_term(spark, sf_dir):
-    return terms.synonyms(fx.fx_description(spark, sf_dir), fx.fx_dialect(spark, sf_dir))
+    return terms.synonyms(_described(spark, sf_dir))
 
 
 @query
@@ -551,12 +555,12 @@ def fully_specified_name(spark, sf_dir):
 
 @query
 def dialect_description(spark, sf_dir):
-    return terms.dialect_descriptions(fx.fx_description(spark, sf_dir), fx.fx_dialect(spark, sf_dir))
+    return terms.dialect_descriptions(_described(spark, sf_dir))
 
 
 @query
 def description_active(spark, sf_dir):
-    return terms.active_descriptions(fx.fx_description(spark, sf_dir), fx.fx_dialect(spark, sf_dir))
+    return terms.active_descriptions(_described(spark, sf_dir))
 
 
 @query

@@ -127,11 +127,12 @@ def load_international(spark: SparkSession, files: InternationalFiles, base: str
     t.save("ctv3_map", terms.simple_map(t["map_load"], K.LEGACY_CODE_MAP_REFSET))
     t.view("relationship", terms.active_relationships(t["relationship_load"]))
     dialect = t.save("dialect", terms.dialect_members(t["language_load"], t["description_load"]))
-    t.view("dialect_description", terms.dialect_descriptions(t["description_load"], dialect))
-    t.save("preferred_term", terms.preferred_terms(t["description_load"], dialect))
-    t.save("synonym_term", terms.synonyms(t["description_load"], dialect))
-    t.save("fully_specified_name", terms.fully_specified_names(t["description_load"]))
-    t.save("description_active", terms.active_descriptions(t["description_load"], dialect))
+    described = t.save("description_accepted", terms.accepted(t["description_load"], dialect))
+    t.view("dialect_description", terms.dialect_descriptions(described))
+    t.view("preferred_term", terms.preferred_terms(described))
+    t.view("synonym_term", terms.synonyms(described))
+    t.view("fully_specified_name", terms.fully_specified_names(described))
+    t.view("description_active", terms.active_descriptions(described))
 
     names = t["fully_specified_name"], t["preferred_term"]
     t.save("concept", terms.concepts(t["concept_load"], *names, t["ctv3_map"]))
@@ -235,7 +236,7 @@ def roll_extension(
     ``concept``, ``concept_load``, ``description_load`` and ``dialect`` are used.
     """
     t = Stages(spark, base)
-    modules = spark.createDataFrame([(context.module_id,)], "module_id bigint")
+    modules = spark.range(1).select(F.lit(context.module_id).alias("module_id"))
     t.view("module_release", rel.release_calendar(modules, context.calendar))
 
     dependencies = _load_history(t, S.MODULE_DEPENDENCY, files.module_dependency, context.previous)
@@ -268,7 +269,7 @@ def roll_extension(
     _load_history(t, S.MAORI_LANGUAGE, files.maori_language, context.previous)
     for component in (*S.COMPONENTS, S.MAORI_LANGUAGE):
         if f"{component.name}_snapshot" not in t.tables:
-            t.view(
+            t.save(
                 f"{component.name}_snapshot",
                 history.snapshot(t[component.name], component.id_columns()),
             )
@@ -342,15 +343,15 @@ def extension_checks(
 ) -> dict[str, DataFrame]:
     """Constraints and "should be empty" checks of a rolled extension."""
     checks: dict[str, DataFrame] = {}
+    # One row per module and literal release date, so its size is bounded.
+    calendar = F.broadcast(t["module_release"])
     for component in (*S.COMPONENTS, S.MAORI_LANGUAGE):
         rows, name = t[component.name], component.name
         checks[f"{name} key"] = quality.duplicates(rows, [component.id_column, VERSION])
         released = rows if component is not S.MODULE_DEPENDENCY else rows.drop(VERSION).withColumnRenamed(
             "source_effective_date", VERSION
         )
-        checks[f"{name} release"] = quality.orphans(
-            released, t["module_release"], ["module_id", VERSION]
-        )
+        checks[f"{name} release"] = quality.not_in(released, calendar, ["module_id", VERSION])
         checks[f"{name} nulls"] = quality.nulls(rows, rows.columns)
     for component in (S.SIMPLE_MAP, S.LANGUAGE, S.SIMPLE_REFSET):
         rows, name = t[component.name], component.name
