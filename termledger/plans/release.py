@@ -409,6 +409,39 @@ def extension_checks(
     return checks
 
 
+def extension_counts(
+    t: Stages, international: Mapping[str, DataFrame], context: ReleaseContext
+) -> dict[str, DataFrame]:
+    """Profiles and counts a release is signed off with."""
+    counts: dict[str, DataFrame] = {}
+    for component in (S.SIMPLE_MAP, S.LANGUAGE, S.SIMPLE_REFSET):
+        name = component.name
+        counts[f"{name} active"] = quality.active_counts(t[f"{name}_snapshot"])
+        counts[f"{name} changes"] = quality.release_change_counts(t[name], context.release)
+    for name in ("concept", "description"):
+        counts[f"{name} ids"] = identifiers.id_profile(t[name], f"{name}_id")
+    for name in ("relationship", "stated_relationship"):
+        counts[f"{name} ids"] = identifiers.id_profile(
+            t[name], "relationship_id", "characteristic_type_id"
+        )
+    counts["description values"] = (
+        t["description"].select("type_id", "case_significance_id", "language_code").distinct()
+    )
+    counts["extract dates"] = quality.date_profile(t["refset_extract"])
+    counts["medicines lengths"] = rel.max_length(
+        t["medicines_map"], ["mp_term", "fully_specified_name"]
+    )
+    counts["medicines concepts"] = t["medicines_map"].agg(
+        F.count_distinct("concept_id").alias("n_concepts")
+    )
+    english = t["language_snapshot"].where(F.col("refset_id") == K.LANGUAGE_ENGLISH)
+    counts["dialect in language"] = quality.reconcile(
+        international["dialect"], english, "description_id"
+    )
+    counts["preferred members"] = quality.preferred_cardinality(t["language_snapshot"])
+    return counts
+
+
 # -- print -------------------------------------------------------------------
 
 

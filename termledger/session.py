@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Folders made for sessions without the setting, by application.
+_made: dict[str, str] = {}
+
+
 def work_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables, as the cluster names it in
     ``spark.checkpoint.dir``.
@@ -19,11 +23,12 @@ def work_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="termledger-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    application = spark.conf.get("spark.app.id", "")
+    if application not in _made:
+        _made[application] = tempfile.mkdtemp(prefix="termledger-")
+    return _made[application]
 
 
 class StepFolder:

@@ -19,8 +19,12 @@ def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
     """Write a derived table and read it back; a rerun replaces it.
 
     Histories are partitioned by release date, of which there are few, so that
-    the delta of one release reads its own files only.
+    the delta of one release reads its own files only. Rows of a date are
+    brought together first, else every task would write a file per date; a date
+    that holds much of the history is split into files of the advisory size.
     """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 

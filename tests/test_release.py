@@ -163,6 +163,23 @@ def test_extension_checks(extension, intl):
     }
 
 
+def test_extension_counts(extension, intl):
+    found = {name: rows(df) for name, df in release.extension_counts(extension, intl, W.CONTEXT).items()}
+    assert found["simple_map active"] == sorted([
+        (K.MAP_READ_TO_CONCEPT, 1), (K.MAP_CONCEPT_TO_READ, 3), (K.MAP_MEDICINES, 1),
+        (K.MAP_ACCIDENT_CLAIMS, 2), (K.MAP_BENEFITS, 2),
+    ])
+    assert found["simple_refset changes"] == [(W.OLD_REFSET, 0, 1), (W.OLD_REFSET, 1, 1), (W.NEW_REFSET, 1, 1)]
+    assert found["concept ids"] == [("1000210", "10", 0)]
+    assert found["description ids"] == [("1000210", "11", 0)]
+    assert found["relationship ids"] == [("1000210", "12", K.INFERRED, 0)]
+    assert found["medicines lengths"] == [(17, 29)]
+    assert found["medicines concepts"] == [(2,)]
+    assert dict(found["dialect in language"]) == {
+        "source_rows": 20, "present": 20, "missing": 0, "active_members": 21,
+    }
+
+
 def test_printed_files(spark, folder, printed, extension):
     assert len(printed) == 23
     assert sum(name.startswith("Full/") for name in printed) == 5
