@@ -74,10 +74,12 @@ def compare(
 ) -> DataFrame:
     """Meet a history with the active set a new release should have.
 
-    History and target are stacked and grouped by key once, so snapshot,
-    set differences and intersection together cost one shuffle. Both sides are
-    combined before it, which bounds the rows any key can send, and no join
-    is left that a frequent key could skew.
+    One full outer join of the snapshot with the target replaces the set
+    differences and the intersection. The snapshot is grouped by the key, so it
+    arrives at the join partitioned and sorted: each side is shuffled once.
+    Versions are combined before that shuffle and both sides hold a key once
+    when they meet, so no key can be frequent. Name the most selective key
+    column first: the sorts compare it first.
 
     Returns one row per key: ``change``, the id, the version it had, and for
     ``active`` and each value the state after the release. A member is
@@ -92,32 +94,33 @@ def compare(
     once; ``nulls``, ``fd_violations`` and ``duplicates`` check that.
     """
     key, values = list(key), list(values)
-    before = F.struct(version, id_col, "active", *values)
-    after = F.struct(F.lit(True).alias("present"), *([id_col] if supplied_id else []), *values)
-    stacked = full.select(*key, before.alias("before")).unionByName(
-        target.select(*key, after.alias("after")), allowMissingColumns=True
+    before = snapshot(full.select(id_col, version, "active", *key, *values), key, version)
+    after = target.select(
+        *key,
+        F.lit(True).alias("_wanted"),
+        *[F.col(v).alias(f"_new_{v}") for v in [*values, *([id_col] if supplied_id else [])]],
     )
-    met = stacked.groupBy(*key).agg(F.max("before").alias("before"), F.max("after").alias("after"))
+    met = before.withColumnRenamed("active", "_active").join(after, key, "full")
 
-    known, wanted = F.col("before").isNotNull(), F.col("after").isNotNull()
-    was_active = F.coalesce(F.col("before.active") != 0, F.lit(False))
+    known, wanted = F.col(id_col).isNotNull(), F.col("_wanted").isNotNull()
+    was_active = F.col("_active") != 0
     same_values = F.lit(True)
     for value in values:
-        same_values = same_values & F.col(f"before.{value}").eqNullSafe(F.col(f"after.{value}"))
+        same_values = same_values & F.col(value).eqNullSafe(F.col(f"_new_{value}"))
     change = (
-        F.when(known & ~wanted & was_active, INACTIVATED)
-        .when(~known, ADDED)
-        .when(wanted & (~was_active | ~same_values), UPDATED)
-        .otherwise(UNCHANGED)
+        F.when(~known, ADDED)
+        .when(~wanted, F.when(was_active, INACTIVATED).otherwise(UNCHANGED))
+        .when(was_active & same_values, UNCHANGED)
+        .otherwise(UPDATED)
     )
-    new_id = F.col(f"after.{id_col}") if supplied_id else member_uuid(*[F.col(c) for c in key])
+    new_id = F.col(f"_new_{id_col}") if supplied_id else member_uuid(*[F.col(c) for c in key])
     return met.select(
         change.alias("change"),
-        F.when(known, F.col(f"before.{id_col}")).otherwise(new_id).alias(id_col),
-        F.col(f"before.{version}").alias(version),
-        F.when(wanted, F.lit(1)).otherwise(F.lit(0)).alias("active"),
+        F.when(known, F.col(id_col)).otherwise(new_id).alias(id_col),
+        version,
+        F.when(wanted, 1).otherwise(0).alias("active"),
         *key,
-        *[F.when(wanted, F.col(f"after.{v}")).otherwise(F.col(f"before.{v}")).alias(v) for v in values],
+        *[F.when(wanted, F.col(f"_new_{v}")).otherwise(F.col(v)).alias(v) for v in values],
     )
 
 

@@ -251,7 +251,7 @@ for _name, _snapshot, _target, _key, _values, _new_id in (
     )
     _view(
         f"{_name}_after",
-        f"""select * from fx_{_name}_full union all
+        f"""select * from fx_{_name}_full union all by name
 select * exclude (module_id) from {_name}_delta""",
         f"fx_{_name}_full",
         f"{_name}_delta",

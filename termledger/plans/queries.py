@@ -35,9 +35,9 @@ RELEASE_DATES = [
 ]
 
 REFSET_NAMES = {0: "READ TO CONCEPT", 1: "CONCEPT TO READ", 2: "MEDICINES", 3: "CLAIMS", 4: "BENEFITS"}
-MAP_KEY = ["refset_id", "concept_id", "map_target"]
-LANGUAGE_KEY = ["refset_id", "description_id"]
-REFSET_KEY = ["refset_id", "concept_id"]
+MAP_KEY = ["concept_id", "map_target", "refset_id"]
+LANGUAGE_KEY = ["description_id", "refset_id"]
+REFSET_KEY = ["concept_id", "refset_id"]
 SAMPLE_REFSET = 3
 SAMPLE_CONCEPT = 42
 SAMPLE_PARENT = 5

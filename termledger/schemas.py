@@ -97,8 +97,9 @@ LEGACY_TERMS = _schema(
 class Component:
     """A versioned table: its Full schema and how releases print it.
 
-    ``key`` are the columns that a member id stands for, ``header`` the printed
-    column names in schema order, ``order`` the print order.
+    ``key`` are the columns that a member id stands for, the most selective one
+    first; ``header`` the printed column names in schema order; ``order`` the
+    print order.
     """
 
     name: str
@@ -140,7 +141,7 @@ MODULE_DEPENDENCY = Component(
         "dep_id:char effective_date:date active:small module_id:id refset_id:id "
         "referenced_component_id:id source_effective_date:date target_effective_date:date"
     ),
-    key=("module_id", "referenced_component_id"),
+    key=("referenced_component_id", "module_id"),
     header=tuple(
         "id effectiveTime active moduleId refsetId referencedComponentId sourceEffectiveTime "
         "targetEffectiveTime".split()
@@ -204,7 +205,7 @@ SIMPLE_MAP = Component(
         "member_id:char effective_date:date active:small module_id:id refset_id:id "
         "referenced_component_id:id map_target:text"
     ),
-    key=("refset_id", "referenced_component_id", "map_target"),
+    key=("referenced_component_id", "map_target", "refset_id"),
     header=tuple(
         "id effectiveTime active moduleId refsetId referencedComponentId mapTarget".split()
     ),
@@ -218,7 +219,7 @@ LANGUAGE = Component(
         "member_id:char effective_date:date active:small module_id:id refset_id:id "
         "description_id:id acceptability_id:id"
     ),
-    key=("refset_id", "description_id"),
+    key=("description_id", "refset_id"),
     header=tuple(
         "id effectiveTime active moduleId refsetId referencedComponentId acceptabilityId".split()
     ),
@@ -234,7 +235,7 @@ MAORI_LANGUAGE = Component(
         "member_id:char effective_date:date active:small module_id:id refset_id:id "
         "referenced_component_id:id acceptability_id:id"
     ),
-    key=("refset_id", "referenced_component_id"),
+    key=("referenced_component_id", "refset_id"),
     header=LANGUAGE.header,
     order=LANGUAGE.order,
     folder="Refset/Language",
@@ -263,7 +264,7 @@ SIMPLE_REFSET = Component(
     schema=_schema(
         "member_id:char effective_date:date active:small module_id:id refset_id:id concept_id:id"
     ),
-    key=("refset_id", "concept_id"),
+    key=("concept_id", "refset_id"),
     header=tuple("id effectiveTime active moduleId refsetId referencedComponentId".split()),
     order=("member_id", "effective_date"),
     folder="Refset/Content",
