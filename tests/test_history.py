@@ -164,15 +164,6 @@ def test_member_ids_are_stable_uuids(spark):
     assert all(str(uuid.UUID(i)) == i and uuid.UUID(i).version == 3 for i in ids)
 
 
-def test_snapshot_plan_is_one_hash_aggregate(spark, small):
-    rows = fx.fx_map_full(spark, small).select("member_id", "effective_date", "active", *Q.MAP_KEY)
-    written = spark.createDataFrame(rows.limit(0).collect(), rows.schema)
-    plan = history.snapshot(written, MAP_ID)._jdf.queryExecution().explainString(
-        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
-    )
-    assert "SortAggregate" not in plan and plan.count("Exchange") <= 1
-
-
 def test_carry_forward(spark, small):
     rows = fx.fx_dep(spark, small)
     new = history.carry_forward(rows, dt.date(2018, 11, 1), dt.date(2019, 2, 1), dt.date(2019, 1, 31))
