@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termledger.session import StepFolder
@@ -116,17 +116,27 @@ def load_unique(
 ) -> DataFrame:
     """Rows in order, skipping one that repeats a unique key of a kept row.
 
-    With several unique keys a skipped row blocks no later one, so keys cannot
-    be handled one after the other. Each round keeps the rows that come first
-    under all their keys among the rows left, and drops the rows these block;
-    the earliest row left is always kept, so the rounds end. Data without
-    repeats takes one round. ``order_by`` must be unique; rows are written once
-    at the start so that positions taken from a file scan stay as they are.
+    Rows whose keys all occur once are kept as they are; finding them shuffles
+    keys, not rows. Among the others a skipped row blocks no later one, so keys
+    cannot be handled one after the other. Each round keeps the rows that come
+    first under all their keys among the rows left, and drops the rows these
+    block; the earliest row left is always kept, so the rounds end.
+
+    ``order_by`` must be unique. Rows are written once at the start so that
+    positions taken from a file scan stay as they are.
     """
     steps = StepFolder(df.sparkSession, "load-unique", keep=True)
-    left = steps.write(df)
-    kept = []
-    while True:
+    rows = steps.write(df)
+    repeats = F.lit(False)
+    marked = rows
+    for number, keys in enumerate(unique):
+        repeated = steps.write(count_by(rows, keys).where("n > 1").select(*keys))
+        mark = f"_repeats_{number}"
+        marked = marked.join(repeated.withColumn(mark, F.lit(True)), list(keys), "left")
+        repeats = repeats | F.col(mark).isNotNull()
+    kept = [marked.where(~repeats).select(*df.columns)]
+    left = steps.write(marked.where(repeats).select(*df.columns))
+    while not left.isEmpty():
         winners = left
         for keys in unique:
             first = left.groupBy(*keys).agg(F.min(order_by).alias(order_by))
@@ -134,7 +144,5 @@ def load_unique(
         kept.append(steps.write(winners))
         for keys in unique:
             left = anti_join(left, kept[-1], keys)
-        seen = Observation()
-        left = steps.write(left.observe(seen, F.count(F.lit(1)).alias("rows")))
-        if not seen.get["rows"]:
-            return reduce(DataFrame.unionByName, kept)
+        left = steps.write(left)
+    return reduce(DataFrame.unionByName, kept)

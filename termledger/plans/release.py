@@ -192,6 +192,14 @@ def international_checks(t: Stages) -> dict[str, DataFrame]:
     return checks
 
 
+def international_counts(t: Stages) -> dict[str, DataFrame]:
+    """Rows per refset of the map table and per type of the description table."""
+    return {
+        "map members": rel.count_by(t["map_load"], ["refset_id"]),
+        "descriptions": rel.count_by(t["description_active"], ["is_fsn", "is_pt"]),
+    }
+
+
 # -- roll forward ------------------------------------------------------------
 
 
@@ -384,6 +392,33 @@ def extension_checks(
         )
     for name in ("concept", "description", "relationship", "stated_relationship"):
         checks[f"{name} id"] = identifiers.invalid_ids(t[name], f"{name.removeprefix('stated_')}_id")
+    for name, key in (
+        ("all_concept", ["concept_id"]),
+        ("all_description", ["description_id"]),
+        ("map_refset", ["refset_id"]),
+        ("simple_refset_refset", ["refset_id"]),
+        ("read_to_concept", ["read_code", "read_term_code"]),
+        ("concept_to_read", ["concept_id"]),
+        ("medicines", ["mp_id"]),
+        ("medicines_map", ["mp_id"]),
+        ("patient_friendly", ["read_code", "read_term_code"]),
+    ):
+        checks[f"{name} unique"] = quality.duplicates(t[name], key)
+    for name in ("read_to_concept", "concept_to_read", "medicines", "patient_friendly"):
+        checks[f"{name} concept"] = quality.orphans(t[name], active, ["concept_id"])
+    checks["patient_friendly description"] = quality.orphans(
+        t["patient_friendly"], t["all_description"], ["description_id"]
+    )
+    for name in ("map_refset", "simple_refset_refset"):
+        checks[f"{name} concept"] = quality.orphans(t[name], t["concept"], ["refset_id"], ["concept_id"])
+    checks["descriptor concept"] = quality.orphans(
+        t["refset_descriptor"], t["concept_snapshot"], ["referenced_component_id"], ["concept_id"]
+    )
+    read_to_concept = f"prepared_map_{K.MAP_READ_TO_CONCEPT}"
+    if read_to_concept in t.tables:
+        checks[f"{read_to_concept} key"] = quality.duplicates(
+            t[read_to_concept], ["read_code", "read_term_code"]
+        )
     for refset_id in (K.MAP_CONCEPT_TO_READ, K.MAP_BENEFITS, K.MAP_ACCIDENT_CLAIMS):
         name = f"prepared_map_{refset_id}"
         if name in t.tables:

@@ -17,7 +17,7 @@ TESTDATA = Path("/root/testdata")
 def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[*]")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -87,6 +87,12 @@ def test_international_checks(intl):
     assert set(found.values()) == {0}
 
 
+def test_international_counts(intl):
+    found = {name: rows(df) for name, df in release.international_counts(intl).items()}
+    assert found["map members"] == [(446608001, 1), (K.LEGACY_CODE_MAP_REFSET, 2)]
+    assert found["descriptions"] == [(0, 0, 7), (0, 1, 6), (1, 0, 7)]
+
+
 def test_map_release(extension):
     new = extension["simple_map"].where("effective_date = '2019-02-01'")
     c2r, r2c = K.MAP_CONCEPT_TO_READ, K.MAP_READ_TO_CONCEPT
