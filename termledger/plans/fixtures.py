@@ -203,18 +203,19 @@ def fx_refset_active(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_dep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Module dependencies, one per supplier in each of two releases, so that
+    the table grows with the data."""
     dates = F.array(F.lit("2018-08-01").cast("date"), F.lit("2018-11-01").cast("date"))
     return (
-        table(spark, sf_dir, "region")
-        .where(F.col("r_regionkey") < 2)
+        table(spark, sf_dir, "supplier")
         .withColumn("effective_date", F.explode(dates))
         .select(
-            F.md5("r_name").alias("dep_id"),
+            F.md5("s_name").alias("dep_id"),
             "effective_date",
             F.lit(1).alias("active"),
             F.lit(K.EXTENSION_MODULE).alias("module_id"),
             F.lit(900000000000534007).alias("refset_id"),
-            F.col("r_regionkey").cast("bigint").alias("referenced_component_id"),
+            F.col("s_suppkey").alias("referenced_component_id"),
             F.col("effective_date").alias("source_effective_date"),
             F.col("effective_date").alias("target_effective_date"),
         )

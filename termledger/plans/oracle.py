@@ -97,11 +97,10 @@ from customer where c_acctbal > 0""",
 )
 _view(
     "fx_dep",
-    """select md5(r_name) as dep_id, d.effective_date, 1 as active, 21000210109 as module_id,
-  900000000000534007 as refset_id, cast(r_regionkey as bigint) as referenced_component_id,
+    """select md5(s_name) as dep_id, d.effective_date, 1 as active, 21000210109 as module_id,
+  900000000000534007 as refset_id, s_suppkey as referenced_component_id,
   d.effective_date as source_effective_date, d.effective_date as target_effective_date
-from region cross join (select date '2018-08-01' as effective_date union all select date '2018-11-01') d
-where r_regionkey < 2""",
+from supplier cross join (select date '2018-08-01' as effective_date union all select date '2018-11-01') d""",
 )
 _view(
     "fx_read_term",

@@ -77,6 +77,38 @@ class ExtensionFiles:
     refset_extracts: Sequence[str]
 
 
+def international_files(
+    folder: str, release: dt.date, edition: str = "INT", language: str = "en"
+) -> InternationalFiles:
+    """Snapshot files of a release folder under their standard names."""
+    tail = f"{edition}_{release:%Y%m%d}.txt"
+    terminology, refset = f"{folder}/Snapshot/Terminology", f"{folder}/Snapshot/Refset"
+    return InternationalFiles(
+        concept=f"{terminology}/sct2_Concept_Snapshot_{tail}",
+        description=f"{terminology}/sct2_Description_Snapshot-{language}_{tail}",
+        relationship=f"{terminology}/sct2_Relationship_Snapshot_{tail}",
+        stated_relationship=f"{terminology}/sct2_StatedRelationship_Snapshot_{tail}",
+        language=f"{refset}/Language/der2_cRefset_LanguageSnapshot-{language}_{tail}",
+        simple_map=f"{refset}/Map/der2_sRefset_SimpleMapSnapshot_{tail}",
+        extended_map=f"{refset}/Map/der2_iisssccRefset_ExtendedMapSnapshot_{tail}",
+    )
+
+
+def extension_histories(previous: str, new: str, context: ReleaseContext) -> dict[str, str]:
+    """Full files by table, for :class:`ExtensionFiles`: those of the previous
+    release folder, and from the new one the terminology files, to which the
+    release's rows have been added by hand."""
+    paths = {}
+    for component in (*S.COMPONENTS, S.MAORI_LANGUAGE):
+        edited = component.folder == "Terminology"
+        folder, day = (new, context.release) if edited else (previous, context.previous)
+        language = "mi" if component is S.MAORI_LANGUAGE else context.language
+        paths[component.name] = (
+            f"{folder}/{component.file_name('Full', context.namespace, f'{day:%Y%m%d}', language)}"
+        )
+    return paths
+
+
 @dataclass
 class Stages:
     """Tables of a job, each written below the base folder when it is saved."""

@@ -186,6 +186,17 @@ def test_extension_counts(extension, intl):
     }
 
 
+def test_standard_file_names():
+    found = release.international_files("/in", dt.date(2019, 1, 31))
+    assert found.concept == "/in/Snapshot/Terminology/sct2_Concept_Snapshot_INT_20190131.txt"
+    assert found.language == "/in/Snapshot/Refset/Language/der2_cRefset_LanguageSnapshot-en_INT_20190131.txt"
+    paths = release.extension_histories("/old", "/new", W.CONTEXT)
+    assert paths["concept"] == "/new/Full/Terminology/sct2_Concept_Full_XX1000210_20190201.txt"
+    assert paths["simple_map"] == "/old/Full/Refset/Map/der2_sRefset_SimpleMapFull_XX1000210_20181101.txt"
+    assert paths["maori_language"].endswith("der2_cRefset_LanguageFull-mi_XX1000210_20181101.txt")
+    assert len(paths) == 10
+
+
 def test_printed_files(spark, folder, printed, extension):
     assert len(printed) == 23
     assert sum(name.startswith("Full/") for name in printed) == 5
@@ -220,19 +231,15 @@ def test_rerun_gives_the_same_release(spark, folder, intl, extension, printed):
 def test_next_release_with_the_same_targets_is_empty(spark, folder, intl, extension, printed):
     """The printed release is the input of the next one."""
     files = W.extension(folder / "extension")
-    out = folder / "out"
-    full = {
-        c.name: str(out / c.file_name("Full", "XX1000210", "20190201", "en-XX"))
-        for c in S.COMPONENTS
-        if c.writes_full
-    }
-    files = replace(files, **full)
     context = replace(
         W.CONTEXT,
         release=dt.date(2019, 5, 1),
         previous=W.RELEASE,
         calendar=[*W.CONTEXT.calendar, dt.date(2019, 5, 1)],
     )
+    histories = release.extension_histories(str(folder / "out"), str(folder / "edited"), context)
+    full = {c.name: histories[c.name] for c in S.COMPONENTS if c.writes_full}
+    files = replace(files, **full)
     following = release.roll_extension(spark, files, intl, context, str(folder / "stages/next"))
     for name in ("simple_map", "language", "simple_refset", "refset_descriptor"):
         assert following[name].where("effective_date = '2019-05-01'").count() == 0
