@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from termledger.operators import history, quality, refsets
+from termledger.operators import relational as rel
 from termledger.plans import fixtures as fx
 from termledger.plans import queries as Q
 from termledger.sources.writers import materialize
@@ -92,3 +93,71 @@ def test_count_of_a_hot_group_is_spread(spark, tiny):
     rows = fx.fx_map_full(spark, tiny).select("refset_id", F.col("concept_id"))
     text = plan(rows.groupBy("refset_id").agg(F.count_distinct("concept_id")))
     assert "hashpartitioning(refset_id" in text and text.count("HashAggregate") >= 4
+
+
+@pytest.fixture()
+def small_skew_limits(spark):
+    """Limits of the adaptive skew handling, scaled down to test data."""
+    limits = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "65536",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "65536",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    }
+    for name, value in limits.items():
+        spark.conf.set(name, value)
+    yield
+    for name in limits:
+        spark.conf.unset(name)
+
+
+@pytest.mark.parametrize("join", [rel.semi_join, rel.anti_join, rel.enrich])
+def test_a_concept_with_a_third_of_the_members_is_split(spark, join, small_skew_limits):
+    members = spark.range(0, 300_000, 1, 8).select(
+        F.col("id").alias("member_id"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("concept_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    concepts = spark.range(0, 200_000, 1, 4).select(F.col("id").alias("concept_id"))
+    joined = join(members, concepts, ["concept_id"])
+    expected = {rel.semi_join: 233_333, rel.anti_join: 66_667, rel.enrich: 300_000}[join]
+    joined.write.format("noop").mode("overwrite").save()
+    assert len(joined.collect()) == expected
+    assert "skew=true" in plan(joined)
+
+
+def test_many_versions_of_one_member_leave_a_task_once(spark, stored):
+    """A member with a third of the history is combined before the shuffle."""
+    hot = spark.range(0, 200_000, 1, 8).select(
+        F.lit("hot").alias("member_id"),
+        F.date_add(F.lit(Q.DELTA_DAY), F.col("id").cast("int") % 900).alias("effective_date"),
+        (F.col("id") % 2).cast("int").alias("active"),
+        F.lit(0).cast("bigint").alias("refset_id"),
+        F.lit(7).cast("bigint").alias("concept_id"),
+        F.lit("hot").alias("map_target"),
+    )
+    found = history.snapshot(hot, ["member_id", *Q.MAP_KEY])
+    rows = found.collect()
+    assert len(rows) == 1
+    final = found._jdf.queryExecution().executedPlan()
+    spark_plan = final.toString()
+    assert "partial_max_by" in spark_plan
+    written = _shuffled_rows(final)
+    assert written <= 8
+
+
+def _shuffled_rows(physical) -> int:
+    """Rows written by the only shuffle of an adaptive plan that has run."""
+    node = physical.executedPlan() if "AdaptiveSparkPlan" in physical.nodeName() else physical
+    todo, total = [node], 0
+    while todo:
+        node = todo.pop()
+        if "ShuffleQueryStage" in node.nodeName():
+            node = node.plan()
+        metrics = node.metrics()
+        if metrics.contains("shuffleRecordsWritten"):
+            total += metrics.apply("shuffleRecordsWritten").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.length())]
+    return total
