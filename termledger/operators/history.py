@@ -79,7 +79,8 @@ def compare(
     arrives at the join partitioned and sorted: each side is shuffled once.
     Versions are combined before that shuffle and both sides hold a key once
     when they meet, so no key can be frequent. Name the most selective key
-    column first: the sorts compare it first.
+    column first: the sorts compare it first. A stored snapshot may stand in
+    for the history; it has the same latest versions.
 
     Returns one row per key: ``change``, the id, the version it had, and for
     ``active`` and each value the state after the release. A member is

@@ -13,6 +13,8 @@ from termledger.functions import text
 from termledger.functions.check_digit import check_digit, check_remainder
 from termledger.operators import identifiers, refsets, terms
 from termledger.operators import relational as rel
+from termledger.plans import fixtures as fx
+from termledger.plans import queries as Q
 
 KNOWN_IDS = [
     900000000000207008,
@@ -145,6 +147,18 @@ def test_load_unique_skipped_row_blocks_nothing(spark):
     assert sorted(r.line for r in out.collect()) == [1, 3]
 
 
+def test_load_unique_query_against_brute_force(spark, tiny):
+    """The registered query has no SQL form, so it is replayed row by row."""
+    lines = fx.table(spark, tiny, "lineitem")
+    first = ["l_orderkey", "l_linenumber"]
+    order = first + [c for c in lines.columns if c not in first]
+    rows = [tuple(r) for r in lines.select(*order).collect()]
+    at = order.index
+    unique = [(at("l_orderkey"), at("l_linenumber")), (at("l_partkey"), at("l_suppkey"))]
+    found = Q.load_unique(spark, tiny).select(*order).collect()
+    assert sorted(tuple(r) for r in found) == in_order(rows, unique)
+
+
 def test_dedupe_first(spark):
     rows = [(1, 3, "c"), (1, 1, "z"), (1, 1, "a"), (2, 5, "b")]
     out = rel.dedupe_first(spark.createDataFrame(rows, "k int, o int, t string"), ["k"], ["o", "t"])
