@@ -59,18 +59,6 @@ def member_uuid(*key: Column) -> Column:
     name-based UUID.
     """
     digest = F.md5(F.concat_ws("|", *[part.cast("string") for part in key]))
-    variant = F.substring(
-        F.lit("89ab"), (F.instr(F.lit("0123456789abcdef"), F.substring(digest, 17, 1)) - 1) % 4 + 1, 1
-    )
-    return F.concat(
-        F.substring(digest, 1, 8),
-        F.lit("-"),
-        F.substring(digest, 9, 4),
-        F.lit("-3"),
-        F.substring(digest, 14, 3),
-        F.lit("-"),
-        variant,
-        F.substring(digest, 18, 3),
-        F.lit("-"),
-        F.substring(digest, 21, 12),
-    )
+    # The 13th digit becomes the version, the 17th the variant.
+    layout = "^(.{8})(.{4}).(.{3}).(.{3})(.{12})$"
+    return F.regexp_replace(digest, layout, "$1-$2-3$3-8$4-$5")

@@ -127,10 +127,9 @@ def _uuid(*key: str) -> str:
     """Name-based UUID of a key."""
     parts = ", ".join(f"cast({part} as string)" for part in key)
     d = f"md5(concat_ws('|', {parts}))"
-    variant = f"substr('89ab', (instr('0123456789abcdef', substr({d}, 17, 1)) - 1) % 4 + 1, 1)"
     return (
-        f"substr({d}, 1, 8) || '-' || substr({d}, 9, 4) || '-3' || substr({d}, 14, 3) || '-' || "
-        f"{variant} || substr({d}, 18, 3) || '-' || substr({d}, 21, 12)"
+        f"substr({d}, 1, 8) || '-' || substr({d}, 9, 4) || '-3' || substr({d}, 14, 3) || '-8' || "
+        f"substr({d}, 18, 3) || '-' || substr({d}, 21, 12)"
     )
 
 
