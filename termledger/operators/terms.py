@@ -86,33 +86,33 @@ def active_descriptions(described: DataFrame) -> DataFrame:
     )
 
 
-def concepts(
-    concept_rows: DataFrame,
-    full_names: DataFrame,
-    preferred: DataFrame,
-    legacy_codes: DataFrame | None = None,
-    active_only: bool = True,
-) -> DataFrame:
-    """One row per named concept; all joins share the concept id, so the rows
-    of a concept meet in one partition and are shuffled once per table."""
-    rows = concept_rows.where(F.col("active") == 1) if active_only else concept_rows
-    rows = rows.select(
+def concepts(concept_rows: DataFrame, full_names: DataFrame, preferred: DataFrame) -> DataFrame:
+    """One row per named concept of any status. All joins share the concept id,
+    so the rows of a concept meet in one partition and are shuffled once per
+    table."""
+    rows = concept_rows.select(
         "concept_id",
         F.col("effective_time").alias("concept_effective_time"),
         F.col("active").alias("concept_active"),
         "definition_status_id",
     )
     named = rows.join(full_names, "concept_id").join(preferred, "concept_id")
-    columns = ["concept_id", "concept_effective_time", "concept_active"]
-    columns += [c for c in full_names.columns + preferred.columns if c != "concept_id"]
     defined = flag(F.col("definition_status_id") == K.FULLY_DEFINED).alias("fully_defined")
-    if legacy_codes is None:
-        return named.select(*columns, defined)
-    return enrich(named, legacy_codes.select("concept_id", "ctv3_code"), ["concept_id"]).select(
-        *columns, defined, "ctv3_code"
+    return named.select(
+        "concept_id",
+        "concept_effective_time",
+        "concept_active",
+        *[c for c in full_names.columns + preferred.columns if c != "concept_id"],
+        defined,
     )
 
 
+def active_concepts(named: DataFrame, legacy_codes: DataFrame) -> DataFrame:
+    """The active ones among named concepts, with their legacy code if any."""
+    codes = legacy_codes.select("concept_id", "ctv3_code")
+    return enrich(named.where(F.col("concept_active") == 1), codes, ["concept_id"])
+
+
 def concept_synonyms(concept: DataFrame, synonym: DataFrame) -> DataFrame:
     """One row per synonym with all columns of its concept."""
     return natural_join(concept, synonym)

@@ -564,26 +564,20 @@ def description_active(spark, sf_dir):
 
 
 @query
-def concept(spark, sf_dir):
-    codes = fx.fx_read_term(spark, sf_dir).select(
-        F.col("read_code").cast("bigint").alias("concept_id"), F.col("read_code").alias("ctv3_code")
-    )
+def concept_active_or_inactive(spark, sf_dir):
     return terms.concepts(
         fx.fx_concept(spark, sf_dir),
         fully_specified_name(spark, sf_dir),
         preferred_term(spark, sf_dir),
-        codes,
     )
 
 
 @query
-def concept_active_or_inactive(spark, sf_dir):
-    return terms.concepts(
-        fx.fx_concept(spark, sf_dir),
-        fully_specified_name(spark, sf_dir),
-        preferred_term(spark, sf_dir),
-        active_only=False,
+def concept(spark, sf_dir):
+    codes = fx.fx_read_term(spark, sf_dir).select(
+        F.col("read_code").cast("bigint").alias("concept_id"), F.col("read_code").alias("ctv3_code")
     )
+    return terms.active_concepts(concept_active_or_inactive(spark, sf_dir), codes)
 
 
 @query

@@ -166,12 +166,11 @@ def load_international(spark: SparkSession, files: InternationalFiles, base: str
     t.view("fully_specified_name", terms.fully_specified_names(described))
     t.view("description_active", terms.active_descriptions(described))
 
-    names = t["fully_specified_name"], t["preferred_term"]
-    t.save("concept", terms.concepts(t["concept_load"], *names, t["ctv3_map"]))
-    t.save(
+    named = t.save(
         "concept_active_or_inactive",
-        terms.concepts(t["concept_load"], *names, active_only=False),
+        terms.concepts(t["concept_load"], t["fully_specified_name"], t["preferred_term"]),
     )
+    t.save("concept", terms.active_concepts(named, t["ctv3_map"]))
     t.view("concept_synonym", terms.concept_synonyms(t["concept"], t["synonym_term"]))
 
     core = terms.core_relationships(t["relationship_load"])
