@@ -13,6 +13,9 @@ from termledger.schemas import Component
 
 # A printed table of at most this many rows is one file.
 ROWS_PER_FILE = 2_000_000
+LINE_END = "\r\n"
+# The low bits of monotonically_increasing_id count the rows of a partition.
+ROW_IN_PARTITION = (1 << 33) - 1
 
 
 def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -57,28 +60,33 @@ def to_rf2(df: DataFrame, component: Component) -> DataFrame:
 def write_rf2(
     df: DataFrame, path: str, component: Component, rows_per_file: int = ROWS_PER_FILE
 ) -> int:
-    """Print a table in its order: header, tabs, CRLF, nothing quoted.
+    """Print a table in its order: header, tabs, CRLF, every field as it is.
 
     The table is range-partitioned on the print order, so every task sorts and
-    writes one bounded slice. One slice becomes the file ``path``. More slices
-    become a folder ``path`` whose parts, read in name order, are the table;
-    each part has the header and is a release file by itself. The id breaks
-    ties, which makes the output the same on every run.
+    writes one slice of about ``rows_per_file`` rows. One slice becomes the
+    file ``path``. More slices become a folder ``path`` whose parts, read in
+    name order, are the table; each part has the header and is a release file
+    by itself. The id breaks ties, which makes the output the same on every run.
 
-    Returns the number of rows.
+    Lines are written as text because a CSV writer would quote a field that
+    holds a carriage return. Returns the number of rows.
     """
     rows = df.count()
     slices = max(1, -(-rows // rows_per_file))
     order = list(dict.fromkeys([*component.order, component.id_column]))
-    printed = to_rf2(df.repartitionByRange(slices, *order).sortWithinPartitions(*order), component)
+    sliced = df.repartitionByRange(slices, *order).sortWithinPartitions(*order)
+    header = "\t".join(component.header)
+    if rows:
+        printed = to_rf2(sliced, component)
+        fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in printed.columns]
+        line = F.concat_ws("\t", *fields)
+        rank = F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_IN_PARTITION))
+        headed = F.concat(F.lit(header + LINE_END), line)
+        lines = printed.select(F.when(rank == 0, headed).otherwise(line).alias("value"))
+    else:
+        lines = df.sparkSession.createDataFrame([(header,)], "value string").coalesce(1)
     staged = f"{path}.staged"
-    (
-        printed.write.mode("overwrite")
-        .options(sep="\t", header=True, lineSep="\r\n", quote="\u0000", escape="\u0000")
-        .options(emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False)
-        .options(ignoreTrailingWhiteSpace=False)
-        .csv(staged)
-    )
+    lines.write.mode("overwrite").option("lineSep", LINE_END).text(staged)
     _publish(df, staged, path, single=slices == 1)
     return rows
 

@@ -131,6 +131,24 @@ def test_written_bytes(members, tmp_path):
     )
 
 
+def test_odd_characters_are_printed_as_they_are(spark, tmp_path):
+    values = ["A\rB", "#c", "'q'", '"', "é", "\\N", " x "]
+    rows = [(str(n), dt.date(2018, 8, 1), 1, 1, 1, 1, v) for n, v in enumerate(values)]
+    path = tmp_path / "odd.txt"
+    write_rf2(spark.createDataFrame(rows, S.SIMPLE_MAP.schema), str(path), S.SIMPLE_MAP)
+    lines = path.read_bytes().decode().split("\r\n")[1:-1]
+    assert [line.split("\t")[-1] for line in lines] == values
+    back = read_rf2(spark, str(path), S.SIMPLE_MAP.schema).orderBy("member_id").collect()
+    assert [r.map_target for r in back] == values
+
+
+def test_missing_values_are_empty_fields(spark, tmp_path):
+    schema = S.StructType([S.StructField(f.name, f.dataType, True) for f in S.SIMPLE_MAP.schema])
+    path = tmp_path / "null.txt"
+    write_rf2(spark.createDataFrame([("a", None, 1, 1, 1, 1, None)], schema), str(path), S.SIMPLE_MAP)
+    assert path.read_bytes().endswith(b"\r\na\t\t1\t1\t1\t1\t\r\n")
+
+
 def test_round_trip_and_rewrite(spark, members, tmp_path):
     path = str(tmp_path / "map.txt")
     write_rf2(members, path, S.SIMPLE_MAP)
