@@ -394,7 +394,7 @@ cross join (values {_DATES}) d(effective_date)""",
         "fx_map_full",
     ),
     "left_enrich": _sql(
-        """select d.description_id, d.concept_id, d.term, a.acceptability_id
+        """select d.description_id, d.concept_id, d.term, cast(a.acceptability_id as string) as acceptability_id
 from fx_description d left join fx_dialect a on a.description_id = d.description_id""",
         "fx_description",
         "fx_dialect",
@@ -657,7 +657,8 @@ union all select 'active_members', count(*) from lang_snapshot where active = 1"
         "lang_snapshot",
     ),
     "must_be_active": _sql(
-        """select t.description_id, s.member_id, s.effective_date, s.active, s.refset_id, s.acceptability_id
+        """select t.description_id, s.member_id,
+  case when s.active is null then 'missing' else 'inactive' end as state
 from fx_lang_active t left join lang_snapshot s on s.description_id = t.description_id
 where s.active is null or s.active <> 1""",
         "fx_lang_active",

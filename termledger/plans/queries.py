@@ -210,7 +210,13 @@ def cross_join(spark, sf_dir):
 def left_enrich(spark, sf_dir):
     return rel.enrich(
         fx.fx_description(spark, sf_dir), fx.fx_dialect(spark, sf_dir), ["description_id"]
-    ).select("description_id", "concept_id", "term", "acceptability_id")
+    ).select(
+        "description_id",
+        "concept_id",
+        "term",
+        # A null among 18-digit ids would turn them into floats in pandas.
+        text.cast_code(F.col("acceptability_id")).alias("acceptability_id"),
+    )
 
 
 @query
@@ -673,9 +679,11 @@ def reconcile_counts(spark, sf_dir):
 
 @query
 def must_be_active(spark, sf_dir):
-    return quality.must_be_active(
+    found = quality.must_be_active(
         fx.fx_lang_active(spark, sf_dir), snapshot_lang(spark, sf_dir), "description_id"
     )
+    state = F.when(F.col("active").isNull(), "missing").otherwise("inactive")
+    return found.select("description_id", "member_id", state.alias("state"))
 
 
 @query
