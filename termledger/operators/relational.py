@@ -39,12 +39,15 @@ def enrich(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     return left.join(right, list(keys), "left")
 
 
-def append(target: DataFrame, rows: DataFrame) -> DataFrame:
+def append(target: DataFrame, rows: DataFrame, by_position: bool = False) -> DataFrame:
     """Rows added to a table, columns matched by name in the table's order.
 
     Columns the rows do not have stay null; a column the table does not have
-    is an error.
+    is an error. ``by_position`` takes the columns in order whatever their
+    names, and needs all of them.
     """
+    if by_position:
+        return target.unionByName(rows.toDF(*target.columns))
     extra = set(rows.columns) - set(target.columns)
     if extra:
         raise ValueError(f"not columns of the table: {sorted(extra)}")

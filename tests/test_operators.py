@@ -90,6 +90,12 @@ def test_append_matches_by_name(spark):
         rel.append(target, spark.createDataFrame([(1, 2)], "k int, other int"))
 
 
+def test_append_by_position(spark):
+    target = spark.createDataFrame([(1, "a")], "k int, t string")
+    rows = spark.createDataFrame([(2, "b")], "new_k int, anything string")
+    assert {tuple(r) for r in rel.append(target, rows, by_position=True).collect()} == {(1, "a"), (2, "b")}
+
+
 def test_release_calendar(spark):
     days = [dt.date(2018, 1, 1), dt.date(2018, 2, 1)]
     out = rel.release_calendar(spark.range(3).toDF("module_id"), days)
