@@ -3,12 +3,24 @@ can say it. The queries reduce the operators' results to the agreed columns."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from termledger.llm import mixing, sharding, simhash
+from termledger.llm import lines, mixing, sharding, simhash, tokens, topk, url_rules
 from termledger.llm.common import load
+from termledger.llm.url_rules import Rule
+from termledger.session import work_dir
 
 MIX_WEIGHTS = (5, 2, 1)
+URL_RULES = [
+    Rule("allow", "org", "/"),
+    Rule("block", "example.org", "/es/"),
+    Rule("block", "example.org", "/en/1"),
+    Rule("allow", "com", "/fr/"),
+    Rule("block", "com", "/de/"),
+]
+TOKENIZER = "piece_bpe_32k.model"
 SHARDS = [f"shard-{k:02d}" for k in range(16)]
 
 
@@ -18,6 +30,11 @@ def op1_mixing(spark, sf_dir):
     )
 
 
+def op3_url_filter(spark, sf_dir):
+    found = url_rules.judge(load(spark, sf_dir, "pages"), URL_RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict", "mined", "confidence")
+
+
 def op5_simhash(spark, sf_dir):
     found = simhash.near_duplicates(load(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
@@ -27,10 +44,33 @@ def op7_sharding(spark, sf_dir):
     return sharding.place(load(spark, sf_dir, "documents").select("doc_id"), SHARDS)
 
 
+def op8_line_dedup(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "clean_text")
+
+
+def op9_token_counts(spark, sf_dir):
+    """With a cache of its own, so that every run does the whole work."""
+    import public_tokenizers
+
+    tokenizer = tokens.Tokenizer(public_tokenizers.path(TOKENIZER))
+    cache = f"{work_dir(spark)}/token-counts-{uuid.uuid4().hex}"
+    return tokens.count_tokens(load(spark, sf_dir, "documents"), tokenizer, cache)
+
+
+def op10_topk(spark, sf_dir):
+    found = topk.top_k(load(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op3_url_filter": op3_url_filter,
     "op5_simhash": op5_simhash,
     "op7_sharding": op7_sharding,
+    "op8_line_dedup": op8_line_dedup,
+    "op9_token_counts": op9_token_counts,
+    "op10_topk": op10_topk,
 }
 
 _SIZE = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
@@ -94,5 +134,33 @@ with recursive shards as (
 select d.doc_id, d.slot, shards.shard
 from (select doc_id, {_draw("shard", "doc_id")} % 1601 as slot from documents) d
 join fill on fill.slot = d.slot join shards on shards.s = (fill.step - 1) % 16
+""",
+    "op8_line_dedup": r"""
+with l as (
+  select doc_id, source, i, line, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as bare from (
+    select doc_id, source, unnest(range(len(string_split(text, chr(10))))) as i, unnest(string_split(text, chr(10))) as line
+    from documents)
+), shared as (
+  select bare from l where bare <> '' group by bare having count(distinct source) >= 8
+), d as (
+  select doc_id, count(*) as n_lines, count(s.bare) as n_removed,
+    coalesce(string_agg(line, chr(10) order by i) filter (s.bare is null), '') as clean_text
+  from l left join shared s using (bare) group by doc_id
+)
+select doc_id, coalesce(d.n_lines, 0) as n_lines, coalesce(d.n_removed, 0) as n_removed, clean_text
+from documents left join d using (doc_id)
+""",
+    "op10_topk": """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as e from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+), p as (
+  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0
+)
+select query_id, cast(rank as int) as rank, vec_id, score from (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from p
+) where rank <= 10
 """,
 }
