@@ -7,7 +7,18 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from termledger.llm import lines, mixing, sharding, simhash, tokens, topk, url_rules
+from termledger.llm import (
+    decontaminate,
+    licenses,
+    lines,
+    mixing,
+    sharding,
+    simhash,
+    tokens,
+    topk,
+    toxicity,
+    url_rules,
+)
 from termledger.llm.common import load
 from termledger.llm.url_rules import Rule
 from termledger.session import work_dir
@@ -30,16 +41,30 @@ def op1_mixing(spark, sf_dir):
     )
 
 
+def op2_toxicity(spark, sf_dir):
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(~toxicity.held_out()))
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def op3_url_filter(spark, sf_dir):
     found = url_rules.judge(load(spark, sf_dir, "pages"), URL_RULES)
     return found.select("page_id", "host", "path", "rule", "verdict", "mined", "confidence")
 
 
+def op4_license_scan(spark, sf_dir):
+    return licenses.scan(load(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark, sf_dir):
     found = simhash.near_duplicates(load(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op6_decontamination(spark, sf_dir):
+    return decontaminate.contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def op7_sharding(spark, sf_dir):
     return sharding.place(load(spark, sf_dir, "documents").select("doc_id"), SHARDS)
 
@@ -65,8 +90,11 @@ def op10_topk(spark, sf_dir):
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_toxicity": op2_toxicity,
     "op3_url_filter": op3_url_filter,
+    "op4_license_scan": op4_license_scan,
     "op5_simhash": op5_simhash,
+    "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
     "op8_line_dedup": op8_line_dedup,
     "op9_token_counts": op9_token_counts,
