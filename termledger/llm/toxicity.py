@@ -33,6 +33,9 @@ STEMS = (4, 5, 6)
 MIN_DOCS, MIN_RATIO, MAX_ENTRIES = 3, 15.0, 2000
 #: Words between a hit and a second-person word that still count as near.
 NEAR = 5
+#: Weight of the trees' own probability in the score: it orders documents that
+#: the calibration puts on one step.
+WITHIN_STEP = 1e-3
 #: Word counts that one task holds before it passes them on.
 HELD = 200_000
 
@@ -277,9 +280,9 @@ def score(
     else:
         xs = _featured(rows, [model.lexicon], "id").select("id", array_to_vector("x").alias("features"))
         margins = model.trees.transform(xs).select("id", vector_to_array("probability")[1].alias("margin"))
-        scored = model.calibration.transform(margins).select(
-            "id", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("prediction"))).alias("score")
-        )
+        step = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("prediction")))
+        mixed = step * (1 - WITHIN_STEP) + F.col("margin") * WITHIN_STEP
+        scored = model.calibration.transform(margins).select("id", mixed.alias("score"))
     return scored.select(F.col("id").alias(id_col), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
