@@ -107,7 +107,6 @@ def contaminated(
     items = canonical(items.where("item is not null").distinct(), "text", "item")
     items = folder.write(
         items.select("item", "raw", "canon", F.xxhash64("raw").alias("item_text"), windows(F.col("canon")).alias("at"))
-        .where("size(at) > 0")
     )
     owned = folder.write(items.select("item", "item_text", F.explode(F.array_distinct("at")).alias("window")))
     known = folder.write(owned.select("window").distinct())

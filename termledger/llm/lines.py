@@ -20,7 +20,7 @@ BAND = 4.0
 
 def line_key(line: Column) -> Column:
     """Key of a line without its outer white space; null for a blank line."""
-    bare = F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
+    bare = F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))
     return F.when(bare != "", F.xxhash64(bare))
 
 
