@@ -79,7 +79,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", f"{folder}/checkpoint")
+        .config("spark.sql.warehouse.dir", f"{folder}/warehouse")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

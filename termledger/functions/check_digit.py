@@ -68,7 +68,7 @@ def _product(identifier: Column, offset: int) -> Column:
     the chain and keeps the generated method small enough to be compiled.
     Pairs left of the first digit contribute zero, the group's identity.
     """
-    number = identifier.cast("bigint")
+    number = identifier.try_cast("bigint")
     multiplied = _constant("".join(MULTIPLICATION))
     product = F.lit(0)
     for place in range(0, LONGEST_ID, 2):
@@ -83,7 +83,7 @@ def _product(identifier: Column, offset: int) -> Column:
 
 
 def check_remainder(identifier: Column) -> Column:
-    """Zero for a valid identifier, null for a null one."""
+    """Zero for a valid identifier, null for one that is null or no bigint."""
     return _product(identifier, offset=0).alias("check_digit")
 
 

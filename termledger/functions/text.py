@@ -58,7 +58,9 @@ def member_uuid(*key: Column) -> Column:
     which a random id would not. The version and variant digits mark it as a
     name-based UUID.
     """
-    digest = F.md5(F.concat_ws("|", *[part.cast("string") for part in key]))
+    texts = [F.coalesce(part.cast("string"), F.raise_error(F.lit("a member key has a null part"))) for part in key]
+    # each part's length before it, so that no two keys read alike
+    digest = F.md5(F.concat(*[x for text in texts for x in (F.length(text).cast("string"), F.lit(":"), text)]))
     # The 13th digit becomes the version, the 17th the variant.
     layout = "^(.{8})(.{4}).(.{3}).(.{3})(.{12})$"
     return F.regexp_replace(digest, layout, "$1-$2-3$3-8$4-$5")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from termledger.functions.text import member_uuid
 
 VERSION = "effective_date"
+MODULE = "module_id"
 
 # Classes of a key when a history meets the target set of a new release.
 INACTIVATED = "inactivated"
@@ -91,11 +92,14 @@ def compare(
     * ``updated`` when it was inactive or a value differs (keeps its id),
     * ``unchanged`` otherwise.
 
+    The module of the history, if it has one, goes along for the snapshot.
+
     Keys must be non-null and stand for one id, the target must hold a key
     once; ``nulls``, ``fd_violations`` and ``duplicates`` check that.
     """
     key, values = list(key), list(values)
-    before = snapshot(full.select(id_col, version, "active", *key, *values), key, version)
+    module = [MODULE] if MODULE in full.columns else []
+    before = snapshot(full.select(id_col, version, "active", *key, *values, *module), key, version)
     after = target.select(
         *key,
         F.lit(True).alias("_wanted"),
@@ -122,6 +126,7 @@ def compare(
         F.when(wanted, 1).otherwise(0).alias("active"),
         *key,
         *[F.when(wanted, F.col(f"_new_{v}")).otherwise(F.col(v)).alias(v) for v in values],
+        *module,
     )
 
 
@@ -134,20 +139,26 @@ def release_rows(
 ) -> DataFrame:
     """History rows a release appends, optionally of some change classes."""
     id_col = compared.columns[1]
-    rest = [c for c in compared.columns if c not in {"change", id_col, version, "active"}]
+    rest = [c for c in compared.columns if c not in {"change", id_col, version, "active", MODULE}]
     return compared.where(F.col("change").isin(*changes)).select(
         id_col,
         F.lit(release).alias(version),
         "active",
-        F.lit(module_id).alias("module_id"),
+        F.lit(module_id).alias(MODULE),
         *rest,
     )
 
 
-def release_snapshot(compared: DataFrame, release: dt.date, version: str = VERSION) -> DataFrame:
-    """Snapshot after the release, from the same single pass."""
-    stamped = F.when(F.col("change") == UNCHANGED, F.col(version)).otherwise(F.lit(release))
-    return compared.withColumn(version, stamped).drop("change")
+def release_snapshot(
+    compared: DataFrame, release: dt.date, module_id: int | None = None, version: str = VERSION
+) -> DataFrame:
+    """Snapshot after the release, from the same single pass. Unchanged members
+    keep their version and module, the others have the release's."""
+    same = F.col("change") == UNCHANGED
+    stamped = compared.withColumn(version, F.when(same, F.col(version)).otherwise(F.lit(release)))
+    if MODULE in compared.columns:
+        stamped = stamped.withColumn(MODULE, F.when(same, F.col(MODULE)).otherwise(F.lit(module_id)))
+    return stamped.drop("change")
 
 
 def roll_forward(

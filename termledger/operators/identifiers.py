@@ -12,8 +12,8 @@ NAMESPACED_LENGTH = 10
 
 
 def invalid_ids(df: DataFrame, column: str) -> DataFrame:
-    """Rows whose identifier fails its check digit."""
-    return df.where(check_remainder(F.col(column)) != 0)
+    """Rows whose identifier is missing, no bigint, or fails its check digit."""
+    return df.where(~check_remainder(F.col(column)).eqNullSafe(F.lit(0)))
 
 
 def add_check_digit(df: DataFrame, column: str, name: str) -> DataFrame:

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from termledger import constants as K
 
+#: Added to a key to get one that no history holds.
+NEVER_SEEN = 1_000_000_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -22,10 +25,6 @@ def _either(predicate: Column, then: int, otherwise: int) -> Column:
     return F.when(predicate, F.lit(then)).otherwise(F.lit(otherwise))
 
 
-def _before(column: str, day: str) -> Column:
-    return F.col(column) < F.expr(f"timestamp_ntz'{day} 00:00:00'")
-
-
 def _digest(*columns) -> Column:
     return F.md5(F.concat_ws("|", *columns))
 
@@ -74,6 +73,18 @@ def fx_dialect(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fx_dialect_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two descriptions of every part, preferred and acceptable."""
+    return (
+        table(spark, sf_dir, "part")
+        .withColumn("k", F.explode(F.array(F.lit(2), F.lit(3))))
+        .select(
+            (F.col("p_partkey") * 10 + F.col("k")).alias("description_id"),
+            _either(F.col("k") == 2, K.PREFERRED, K.ACCEPTABLE).alias("acceptability_id"),
+        )
+    )
+
+
 def fx_relationship(spark: SparkSession, sf_dir: str) -> DataFrame:
     even_line = F.col("l_linenumber") % 2 == 0
     return (
@@ -111,7 +122,6 @@ def fx_is_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fx_map_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "lineitem")
-        .where(_before("l_shipdate", "2000-01-01"))
         .groupBy(
             F.col("l_partkey").alias("concept_id"),
             F.col("l_suppkey"),
@@ -129,11 +139,30 @@ def fx_map_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fx_map_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of part and supplier once, as a set of map members."""
+    return (
+        table(spark, sf_dir, "lineitem")
+        .select("l_partkey", "l_suppkey")
+        .distinct()
+        .select(
+            (F.col("l_suppkey") % 5).alias("refset_id"),
+            F.col("l_partkey").alias("concept_id"),
+            F.col("l_suppkey").cast("string").alias("map_target"),
+        )
+    )
+
+
 def fx_map_active(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a new release should hold, which must differ from the history: lines
+    of small quantity are gone, seventh lines have a code never seen."""
     return (
         table(spark, sf_dir, "lineitem")
         .where(F.col("l_quantity") > 15)
-        .select("l_partkey", "l_suppkey")
+        .select(
+            "l_partkey",
+            F.when(F.col("l_linenumber") == 7, F.col("l_suppkey") + NEVER_SEEN).otherwise(F.col("l_suppkey")).alias("l_suppkey"),
+        )
         .distinct()
         .select(
             (F.col("l_suppkey") % 5).alias("refset_id"),
@@ -147,7 +176,6 @@ def fx_lang_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
     return (
         table(spark, sf_dir, "orders")
-        .where(_before("o_orderdate", "1998-01-01"))
         .groupBy(
             F.col("o_custkey").alias("description_id"),
             F.to_date("o_orderdate").alias("effective_date"),
@@ -167,13 +195,29 @@ def fx_lang_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _new_customers() -> Column:
+    """Every tenth key becomes one that no order has."""
+    key = F.col("c_custkey")
+    return F.when(key % 10 == 0, key + NEVER_SEEN).otherwise(key)
+
+
+def fx_lang_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer as a language member."""
+    return table(spark, sf_dir, "customer").select(
+        (F.col("c_custkey") % 2).alias("refset_id"),
+        F.col("c_custkey").alias("description_id"),
+        _either(F.col("c_mktsegment") == "BUILDING", K.PREFERRED, K.ACCEPTABLE).alias("acceptability_id"),
+    )
+
+
 def fx_lang_active(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a new release should hold; differs from the history."""
     return (
         table(spark, sf_dir, "customer")
         .where(F.col("c_acctbal") > 0)
         .select(
             (F.col("c_custkey") % 2).alias("refset_id"),
-            F.col("c_custkey").alias("description_id"),
+            _new_customers().alias("description_id"),
             _either(F.col("c_mktsegment") == "BUILDING", K.PREFERRED, K.ACCEPTABLE).alias(
                 "acceptability_id"
             ),
@@ -197,7 +241,7 @@ def fx_refset_active(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             _digest(F.lit("tool"), "c_custkey").alias("member_id"),
             (F.col("c_custkey") % 2).alias("refset_id"),
-            F.col("c_custkey").alias("concept_id"),
+            _new_customers().alias("concept_id"),
         )
     )
 

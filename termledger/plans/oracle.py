@@ -41,6 +41,12 @@ _view(
 from part cross join (select 2 as k union all select 3) t
 where p_partkey % 7 <> 0""",
 )
+_view(
+    "fx_dialect_all",
+    """select p_partkey * 10 + k as description_id,
+  case when k = 2 then 900000000000548007 else 900000000000549004 end as acceptability_id
+from part cross join (select 2 as k union all select 3) t""",
+)
 _view(
     "fx_relationship",
     """select l_orderkey * 10 + l_linenumber as relationship_id, min(l_partkey) as source_id,
@@ -61,13 +67,25 @@ _view(
     """select md5(concat_ws('|', cast(l_partkey as string), cast(l_suppkey as string))) as member_id,
   cast(l_shipdate as date) as effective_date, min(case when l_returnflag = 'R' then 0 else 1 end) as active,
   l_suppkey % 5 as refset_id, l_partkey as concept_id, cast(l_suppkey as string) as map_target
-from lineitem where l_shipdate < timestamp '2000-01-01 00:00:00'
+from lineitem
 group by l_partkey, l_suppkey, cast(l_shipdate as date)""",
 )
 _view(
     "fx_map_active",
+    """select distinct code % 5 as refset_id, l_partkey as concept_id, cast(code as string) as map_target
+from (select *, case when l_linenumber = 7 then l_suppkey + 1000000000 else l_suppkey end as code from lineitem) t
+where l_quantity > 15""",
+)
+_view(
+    "fx_map_pairs",
     """select distinct l_suppkey % 5 as refset_id, l_partkey as concept_id, cast(l_suppkey as string) as map_target
-from lineitem where l_quantity > 15""",
+from lineitem""",
+)
+_view(
+    "fx_lang_customers",
+    """select c_custkey % 2 as refset_id, c_custkey as description_id,
+  case when c_mktsegment = 'BUILDING' then 900000000000548007 else 900000000000549004 end as acceptability_id
+from customer""",
 )
 _view(
     "fx_lang_full",
@@ -75,12 +93,13 @@ _view(
   cast(o_orderdate as date) as effective_date, min(case when o_orderstatus = 'F' then 0 else 1 end) as active,
   o_custkey % 2 as refset_id, o_custkey as description_id,
   max(case when o_orderpriority in ('1-URGENT', '2-HIGH') then 900000000000548007 else 900000000000549004 end) as acceptability_id
-from orders where o_orderdate < timestamp '1998-01-01 00:00:00'
+from orders
 group by o_custkey, cast(o_orderdate as date)""",
 )
 _view(
     "fx_lang_active",
-    """select c_custkey % 2 as refset_id, c_custkey as description_id,
+    """select c_custkey % 2 as refset_id,
+  case when c_custkey % 10 = 0 then c_custkey + 1000000000 else c_custkey end as description_id,
   case when c_mktsegment = 'BUILDING' then 900000000000548007 else 900000000000549004 end as acceptability_id
 from customer where c_acctbal > 0""",
 )
@@ -92,7 +111,8 @@ _view(
 _view(
     "fx_refset_active",
     """select md5(concat_ws('|', 'tool', cast(c_custkey as string))) as member_id,
-  c_custkey % 2 as refset_id, c_custkey as concept_id
+  c_custkey % 2 as refset_id,
+  case when c_custkey % 10 = 0 then c_custkey + 1000000000 else c_custkey end as concept_id
 from customer where c_acctbal > 0""",
 )
 _view(
@@ -125,8 +145,8 @@ def _latest(full: str) -> str:
 
 def _uuid(*key: str) -> str:
     """Name-based UUID of a key."""
-    parts = ", ".join(f"cast({part} as string)" for part in key)
-    d = f"md5(concat_ws('|', {parts}))"
+    parts = " || ".join(f"length(cast({part} as string)) || ':' || cast({part} as string)" for part in key)
+    d = f"md5({parts})"
     return (
         f"substr({d}, 1, 8) || '-' || substr({d}, 9, 4) || '-3' || substr({d}, 14, 3) || '-8' || "
         f"substr({d}, 18, 3) || '-' || substr({d}, 21, 12)"
@@ -325,6 +345,22 @@ from (select refset_id, count(*) as n from fx_map_full group by refset_id) c
 join (values {_NAMES}) t(refset_id, refset_name) using (refset_id)""",
         "fx_map_full",
     ),
+    # Number the lines; in each step keep those that come first under both keys,
+    # pass on those that no kept line blocks.
+    "load_unique": """with recursive numbered as (
+  select *, row_number() over (order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+    l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) as line,
+    l_orderkey || '-' || l_linenumber as a, l_partkey || '-' || l_suppkey as b from lineitem
+), steps as (
+  select line, a, b, 0 as kept from numbered
+  union all
+  select line, a, b, flag from (
+    select *, max(flag) over (partition by a) as by_a, max(flag) over (partition by b) as by_b from (
+      select line, a, b, case when line = min(line) over (partition by a) and line = min(line) over (partition by b)
+        then 1 else 0 end as flag from steps where kept = 0) f) g
+  where flag = 1 or (by_a = 0 and by_b = 0)
+)
+select n.* exclude (line, a, b) from numbered n join steps s using (line) where s.kept = 1""",
     "dedupe_first": f"""select * exclude (line_rank) from (
   select *, row_number() over (partition by l_orderkey, l_linenumber order by {_LINE_ORDER}) as line_rank
   from lineitem) t where line_rank = 1""",
@@ -334,8 +370,8 @@ join (values {_NAMES}) t(refset_id, refset_name) using (refset_id)""",
     ),
     "literal_columns": _sql(
         f"""select {_STAMP}, 1 as active, {_MODULE}, refset_id, concept_id, map_target
-from fx_map_active""",
-        "fx_map_active",
+from fx_map_pairs""",
+        "fx_map_pairs",
     ),
     "case_flags": _sql(
         """select description_id,
@@ -377,14 +413,14 @@ where active = 0 or s.acceptability_id <> t.acceptability_id""",
         "concept_named",
     ),
     "natural_join": _sql(
-        "select * from fx_description natural join fx_dialect", "fx_description", "fx_dialect"
+        "select * from fx_description natural join fx_dialect_all", "fx_description", "fx_dialect_all"
     ),
     "natural_join_chain": _sql(
         "select * from fx_concept natural join fsn natural join pt", "fx_concept", "fsn", "pt"
     ),
     "semi_join": _sql(
-        "select m.* from fx_map_active m where concept_id in (select concept_id from active_concept)",
-        "fx_map_active",
+        "select m.* from fx_map_pairs m where concept_id in (select concept_id from active_concept)",
+        "fx_map_pairs",
         "active_concept",
     ),
     "cross_join": _sql(
@@ -480,7 +516,7 @@ from fx_map_full where refset_id = {Q.SAMPLE_REFSET}""",
 where refset_id = {Q.SAMPLE_REFSET} and active = 1""",
         "map_snapshot",
     ),
-    "member_ids": _sql(f"select *, {_uuid(*Q.MAP_KEY)} as member_id from fx_map_active", "fx_map_active"),
+    "member_ids": _sql(f"select *, {_uuid(*Q.MAP_KEY)} as member_id from fx_map_pairs", "fx_map_pairs"),
     "export_projection": _sql(
         f"""select member_id as id, strftime(effective_date, '%Y%m%d') as "effectiveTime", active,
   cast({K.EXTENSION_MODULE} as bigint) as "moduleId", refset_id as "refsetId",
@@ -537,22 +573,22 @@ from fx_dep where effective_date = date '{Q.CARRY_FROM}'""",
   select cast({K.MAP_CONCEPT_TO_READ} as bigint), cast(read_code as bigint), concat(read_code, term_code)
   from fx_read_term
   union all
-  select cast({K.MAP_MEDICINES} as bigint), concept_id, cast(refset_id as string) from fx_map_active) t
+  select cast({K.MAP_MEDICINES} as bigint), concept_id, cast(refset_id as string) from fx_map_pairs) t
 join active_concept c on c.concept_id = t.concept_id""",
         "fx_read_term",
-        "fx_map_active",
+        "fx_map_pairs",
         "active_concept",
     ),
     "lang_target_set": _sql(
         f"""select cast({K.LANGUAGE_ENGLISH} as bigint) as refset_id, description_id, acceptability_id
-from fx_dialect
+from fx_dialect_all
 union select cast({K.LANGUAGE_PATIENT_FRIENDLY} as bigint), description_id, 900000000000548007
-from fx_lang_active
+from fx_lang_customers
 union select cast({K.LANGUAGE_ENGLISH} as bigint), description_id, 900000000000548007
 from fx_description where type_id = 900000000000003001
   and description_id not between {_LOW} and {_HIGH}""",
-        "fx_dialect",
-        "fx_lang_active",
+        "fx_dialect_all",
+        "fx_lang_customers",
         "fx_description",
     ),
     "is_a_closure": _sql("select * from closure", "fx_is_a", recursive=_closure("fx_is_a")),
@@ -635,9 +671,9 @@ where p.description_id is null""",
         "fx_map_full",
     ),
     "dq_inactive_refs": _sql(
-        """select m.* from fx_map_active m left join active_concept c on c.concept_id = m.concept_id
+        """select m.* from fx_map_pairs m left join active_concept c on c.concept_id = m.concept_id
 where c.concept_id is null""",
-        "fx_map_active",
+        "fx_map_pairs",
         "active_concept",
     ),
     "active_counts": _sql(

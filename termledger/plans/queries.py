@@ -16,7 +16,8 @@ from termledger.plans import fixtures as fx
 from termledger.schemas import SIMPLE_MAP
 from termledger.sources.writers import to_rf2
 
-RELEASE = dt.date(2000, 1, 1)
+# After the last date of the data.
+RELEASE = dt.date(2002, 1, 1)
 AS_OF = dt.date(1996, 6, 30)
 DELTA_DAY = dt.date(1996, 3, 15)
 CARRY_FROM, CARRY_TO, CARRY_TARGET = dt.date(2018, 11, 1), dt.date(2019, 2, 1), dt.date(2019, 1, 31)
@@ -106,7 +107,7 @@ def project_rename(spark, sf_dir):
 
 @query
 def literal_columns(spark, sf_dir):
-    return fx.fx_map_active(spark, sf_dir).select(
+    return fx.fx_map_pairs(spark, sf_dir).select(
         F.lit(RELEASE).alias("effective_date"),
         F.lit(1).alias("active"),
         F.lit(K.EXTENSION_MODULE).alias("module_id"),
@@ -186,7 +187,7 @@ def role_view(spark, sf_dir):
 
 @query
 def natural_join(spark, sf_dir):
-    return rel.natural_join(fx.fx_description(spark, sf_dir), fx.fx_dialect(spark, sf_dir))
+    return rel.natural_join(fx.fx_description(spark, sf_dir), fx.fx_dialect_all(spark, sf_dir))
 
 
 @query
@@ -197,7 +198,7 @@ def natural_join_chain(spark, sf_dir):
 
 @query
 def semi_join(spark, sf_dir):
-    return refsets.restrict_active(fx.fx_map_active(spark, sf_dir), _active_concepts(spark, sf_dir))
+    return refsets.restrict_active(fx.fx_map_pairs(spark, sf_dir), _active_concepts(spark, sf_dir))
 
 
 @query
@@ -348,7 +349,7 @@ def nzmt_style_map(spark, sf_dir):
 
 @query
 def member_ids(spark, sf_dir):
-    return history.assign_member_ids(fx.fx_map_active(spark, sf_dir), MAP_KEY)
+    return history.assign_member_ids(fx.fx_map_pairs(spark, sf_dir), MAP_KEY)
 
 
 @query
@@ -485,7 +486,7 @@ def refset_descriptors(spark, sf_dir):
 @query
 def map_target_set(spark, sf_dir):
     prepared = fx.fx_read_term(spark, sf_dir).withColumn("concept_id", F.col("read_code").cast("bigint"))
-    medicines = fx.fx_map_active(spark, sf_dir)
+    medicines = fx.fx_map_pairs(spark, sf_dir)
     code = text.join_code(F.col("read_code"), F.col("term_code"))
     return refsets.build_target(
         [
@@ -501,8 +502,8 @@ def map_target_set(spark, sf_dir):
 def lang_target_set(spark, sf_dir):
     own = fx.fx_description(spark, sf_dir).where(F.col("type_id") == K.FULLY_SPECIFIED_NAME)
     return refsets.build_language_target(
-        fx.fx_dialect(spark, sf_dir),
-        fx.fx_lang_active(spark, sf_dir),
+        fx.fx_dialect_all(spark, sf_dir),
+        fx.fx_lang_customers(spark, sf_dir),
         own,
         rel.outside_range("description_id", *OWN_RANGE),
     )
@@ -655,7 +656,7 @@ def date_profile(spark, sf_dir):
 @query
 def dq_inactive_refs(spark, sf_dir):
     return quality.inactive_references(
-        fx.fx_map_active(spark, sf_dir), _active_concepts(spark, sf_dir)
+        fx.fx_map_pairs(spark, sf_dir), _active_concepts(spark, sf_dir)
     )
 
 

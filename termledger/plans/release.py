@@ -235,9 +235,26 @@ def international_counts(t: Stages) -> dict[str, DataFrame]:
 
 
 def _load_history(t: Stages, component: Component, paths: Paths, until: dt.date) -> DataFrame:
-    """History up to a date, partitioned by release."""
-    rows = read_rf2(t.spark, paths, component.schema).where(F.col(VERSION) <= F.lit(until))
-    return t.save(component.name, rows, [VERSION])
+    """History up to a date, partitioned by release.
+
+    Rows without a readable date and rows of a later one are stored beside it as
+    rejects, so that every line of the input is in one of the two tables.
+    """
+    rows = read_rf2(t.spark, paths, component.schema)
+    belongs = F.coalesce(F.col(VERSION) <= F.lit(until), F.lit(False))
+    t.save(_rejects(component), rows.where(~belongs))
+    return t.save(component.name, rows.where(belongs), [VERSION])
+
+
+def _rejects(component: Component) -> str:
+    return f"{component.name}_rejects"
+
+
+def _refuse_rejects(t: Stages, component: Component) -> None:
+    """A history that lacks rows must not be rolled forward: members in them
+    would be taken for new ones and get other ids."""
+    if not t[_rejects(component)].isEmpty():
+        raise ValueError(f"{component.name}: rows without a date up to the previous release, see {_rejects(component)}")
 
 
 def _roll(
@@ -252,6 +269,7 @@ def _roll(
 
     The comparison is saved once; delta and snapshot are projections of it.
     """
+    _refuse_rejects(t, component)
     compared = t.save(
         f"{component.name}_compared",
         history.compare(t[component.name], target, component.key, values, supplied_id=supplied_id),
@@ -259,7 +277,7 @@ def _roll(
     t.add_release(
         component.name, history.release_rows(compared, context.release, context.module_id)
     )
-    t.view(f"{component.name}_snapshot", history.release_snapshot(compared, context.release))
+    t.view(f"{component.name}_snapshot", history.release_snapshot(compared, context.release, context.module_id))
 
 
 def roll_extension(
@@ -279,6 +297,7 @@ def roll_extension(
     t.view("module_release", rel.release_calendar(modules, context.calendar))
 
     dependencies = _load_history(t, S.MODULE_DEPENDENCY, files.module_dependency, context.previous)
+    _refuse_rejects(t, S.MODULE_DEPENDENCY)
     t.add_release(
         S.MODULE_DEPENDENCY.name,
         history.carry_forward(dependencies, context.previous, context.release, context.target),
@@ -392,6 +411,7 @@ def extension_checks(
         )
         checks[f"{name} release"] = quality.not_in(released, calendar, ["module_id", VERSION])
         checks[f"{name} nulls"] = quality.nulls(rows, rows.columns)
+        checks[f"{name} rejects"] = t[_rejects(component)]
     for component in (S.SIMPLE_MAP, S.LANGUAGE, S.SIMPLE_REFSET):
         rows, name = t[component.name], component.name
         member, key = [component.id_column], list(component.key)

@@ -205,3 +205,23 @@ def test_release_partition_is_replaced_not_repeated(spark, members, tmp_path):
     assert new.count() == 1
     plan = new._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(effective_date" in plan
+
+
+def test_a_history_load_loses_no_line(spark, tmp_path):
+    from termledger.plans import release
+
+    rows = [
+        ["m1", "20180801", "1", "1", "41", "5", "A"],
+        ["m2", "00000000", "1", "1", "41", "6", "B"],
+        ["m3", "2018-8-1x", "1", "1", "41", "7", "C"],
+        ["m4", "20300101", "1", "1", "41", "8", "D"],
+        ["m5", "20181101", "1", "1", "41", "9", "E"],
+    ]
+    path = lines(tmp_path / "map.txt", [MAP_HEADER, *rows])
+    stages = release.Stages(spark, str(tmp_path / "stages"))
+    history = release._load_history(stages, S.SIMPLE_MAP, path, dt.date(2018, 11, 1))
+    rejects = stages[f"{S.SIMPLE_MAP.name}_rejects"]
+    assert {r.member_id for r in history.collect()} == {"m1", "m5"}
+    assert {r.member_id for r in rejects.collect()} == {"m2", "m3", "m4"}
+    with pytest.raises(ValueError, match="rejects"):
+        release._refuse_rejects(stages, S.SIMPLE_MAP)

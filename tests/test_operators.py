@@ -197,3 +197,11 @@ def test_active_relationships_flag_and_columns(spark):
     df = spark.createDataFrame(rows, "relationship_id bigint, active int, characteristic_type_id bigint")
     out = terms.active_relationships(df).collect()
     assert {tuple(r) for r in out} == {(1, 1), (2, 0)}
+
+
+def test_malformed_ids_are_reported(spark):
+    df = spark.createDataFrame([("21000210109",), ("abc",), ("1" * 21,), (None,), ("21000210108",)], "id string")
+    bad = {r.id for r in identifiers.invalid_ids(df, "id").collect()}
+    assert bad == {"abc", "1" * 21, None, "21000210108"}
+    assert identifiers.id_profile(df, "id").count() == 5
+    assert identifiers.add_check_digit(df, "id", "digit").count() == 5

@@ -45,10 +45,13 @@ def test_kept_rounds_stay(spark):
 def test_a_cluster_must_name_the_folder():
     with pytest.raises(ValueError):
         work_dir(session(master="yarn"))
+    with pytest.raises(ValueError):
+        work_dir(SimpleNamespace(conf=Conf({"spark.master": "yarn", "spark.sql.warehouse.dir": "file:/tmp/w"})))
     assert work_dir(session(master="yarn", checkpoint_dir="hdfs://shared/steps/")) == "hdfs://shared/steps"
 
 
-def test_local_mode_makes_one_folder_per_application():
-    first = work_dir(session(master="local[2]", app_id="a"))
-    assert first == work_dir(session(master="local[2]", app_id="a"))
-    assert first != work_dir(session(master="local[2]", app_id="b"))
+def test_without_the_setting_steps_go_below_the_warehouse():
+    shared = {"spark.master": "yarn", "spark.sql.warehouse.dir": "hdfs://shared/warehouse/"}
+    assert work_dir(SimpleNamespace(conf=Conf(shared))) == "hdfs://shared/warehouse/_steps"
+    local = {"spark.master": "local[2]", "spark.sql.warehouse.dir": "file:/tmp/w"}
+    assert work_dir(SimpleNamespace(conf=Conf(local))) == "file:/tmp/w/_steps"
