@@ -33,6 +33,8 @@ STEMS = (4, 5, 6)
 MIN_DOCS, MIN_RATIO, MAX_ENTRIES = 3, 15.0, 2000
 #: Words between a hit and a second-person word that still count as near.
 NEAR = 5
+#: Rows added to the calibration whose label is the trees' own probability.
+PRIOR_ROWS = 39
 #: Weight of the trees' own probability in the score: it orders documents that
 #: the calibration puts on one step.
 WITHIN_STEP = 1e-3
@@ -262,7 +264,11 @@ def fit(
         fitting = train.where(F.col("fold") < FOLDS - 1)
     trees = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.3, minInstancesPerNode=3, seed=seed).fit(fitting)
     margins = trees.transform(calibrating).select("label", vector_to_array("probability")[1].alias("margin"))
-    calibration = IsotonicRegression(featuresCol="margin").fit(margins)
+    # a few rows that trust the trees' probability, so that a small sample can't
+    # make one labelled row the whole step
+    grid = docs.sparkSession.range(1, PRIOR_ROWS + 1).select((F.col("id") / (PRIOR_ROWS + 1)).alias("label"))
+    prior = grid.select("label", F.col("label").alias("margin"))
+    calibration = IsotonicRegression(featuresCol="margin").fit(margins.unionByName(prior))
     return Model(lexicons[-1], trees, calibration)
 
 

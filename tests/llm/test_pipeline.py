@@ -27,7 +27,7 @@ def test_stages(spark, tiny, tmp_path):
     assert ids["toxicity"] >= ids["near_duplicates"] >= ids["decontamination"] >= ids["mixing"] == ids["sharding"]
     assert None in ids["decontamination"] and 900001 in ids["toxicity"]
     clean = docs.join(toxic, "doc_id", "left_anti").count()
-    assert len(ids["toxicity"]) >= 0.98 * clean
+    assert len(ids["toxicity"]) >= 0.95 * clean
     assert 900002 in ids["near_duplicates"] and 900002 not in ids["decontamination"]
     assert 900003 in ids["toxicity"] and 900003 not in ids["near_duplicates"]
     kept = simhash.near_duplicates(after["near_duplicates"].where("doc_id is not null"))
