@@ -14,6 +14,8 @@ from termledger.session import StepFolder
 MIN_SITES = 8
 #: Logarithm of the sketch's registers; the relative standard error is 1.04 / sqrt(2 ** LG).
 LG = 12
+#: Shared lines that may travel as constants of the plan; it is counted first.
+IN_PLAN = 10_000
 #: Standard errors around the threshold within which sites are counted exactly.
 BAND = 4.0
 
@@ -60,6 +62,7 @@ def dedup_lines(
     text_col: str = "text",
     site_col: str = "source",
     min_sites: int = MIN_SITES,
+    in_plan: int = IN_PLAN,
 ) -> DataFrame:
     """``docs`` with the columns ``clean_text``, ``n_lines`` and ``n_removed``
     added (replacing columns of these names); the lines that many sites share
@@ -69,27 +72,41 @@ def dedup_lines(
     lines always stay. A null text stays null with no lines; a document without
     a site loses shared lines, but doesn't count as a site. Repeated rows and ids
     change nothing: what a document loses follows from its text alone.
+
+    Up to ``in_plan`` shared lines, which are few beside the documents, are
+    constants of the filter, and no text is shuffled. Beyond that the keys of the
+    shared lines of each distinct text are joined to the documents.
     """
     folder = StepFolder(docs.sparkSession, "lines", keep=True)
     docs = docs.drop("clean_text", "n_lines", "n_removed")
     shared = folder.write(boilerplate(docs, folder, text_col, site_col, min_sites))
     text = F.col(text_col)
     split = F.split(text, "\n", -1)
+    n_shared = shared.count()
+    if n_shared <= in_plan:
+        keys = [r.line for r in shared.collect()]
+        rows = docs.withColumn("_shared", F.lit(True))
+        hit = lambda line: line_key(line).isin(keys)
+        return _cleaned(rows, docs.columns, text, split, hit)
     hits = (
         docs.select(F.xxhash64(text).alias("_text"), F.explode(F.array_distinct(F.transform(split, line_key))).alias("line"))
-        .join(broadcast_if_small(shared, shared.count()), "line", "left_semi")
+        .join(broadcast_if_small(shared, n_shared), "line", "left_semi")
         .distinct()
     )
     hits = folder.write(hits.groupBy("_text").agg(F.collect_list("line").alias("_shared")))
-    stays = lambda line: ~F.coalesce(F.array_contains("_shared", line_key(line)), F.lit(False))
-    kept = F.when(F.col("_shared").isNull(), split).otherwise(F.filter(split, stays))
-    return (
-        docs.withColumn("_text", F.xxhash64(text))
-        .join(hits, "_text", "left")
-        .select(
-            *docs.columns,
-            F.when(F.col("_shared").isNull(), text).otherwise(F.array_join(kept, "\n")).alias("clean_text"),
-            F.when(text.isNull(), 0).otherwise(F.size(split)).cast("long").alias("n_lines"),
-            F.when(F.col("_shared").isNull(), 0).otherwise(F.size(split) - F.size(kept)).cast("long").alias("n_removed"),
-        )
+    rows = docs.withColumn("_text", F.xxhash64(text)).join(hits, "_text", "left")
+    return _cleaned(rows, docs.columns, text, split, lambda line: F.array_contains("_shared", line_key(line)))
+
+
+def _cleaned(rows: DataFrame, columns: list[str], text: Column, split: Column, hit) -> DataFrame:
+    """Filter the lines of rows whose ``_shared`` isn't null."""
+    kept = F.filter(split, lambda line: ~F.coalesce(hit(line), F.lit(False)))
+    touched = F.col("_shared").isNotNull()
+    done = rows.select(*columns, "_shared", F.size(split).alias("_lines"), F.when(touched, kept).alias("_kept"))
+    changed = touched & (F.size("_kept") < F.col("_lines"))
+    return done.select(
+        *columns,
+        F.when(changed, F.array_join("_kept", "\n")).otherwise(text).alias("clean_text"),
+        F.when(text.isNull(), 0).otherwise(F.col("_lines")).cast("long").alias("n_lines"),
+        F.when(changed, F.col("_lines") - F.size("_kept")).otherwise(0).cast("long").alias("n_removed"),
     )
