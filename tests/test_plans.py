@@ -55,7 +55,7 @@ def test_comparison_shuffles_each_side_once(stored):
 
 def test_filters_and_columns_reach_the_scan(spark, tiny):
     text = plan(Q.rf_lang_snapshot(spark, tiny))
-    assert "PushedFilters: [IsNotNull(o_orderdate), LessThan(o_orderdate" in text
+    assert "PushedFilters: [IsNotNull(c_acctbal), GreaterThan(c_acctbal" in text
     assert "o_totalprice" not in text and "c_name" not in text
 
 
