@@ -62,6 +62,26 @@ def descendants(closure: DataFrame, concept_id: int) -> DataFrame:
     return closure.where(F.col("super_concept_id") == concept_id).select("sub_concept_id")
 
 
+def reachable(edges: DataFrame, concept_id: int, start: str, end: str) -> DataFrame:
+    """Concepts at the end of a path of one or more edges from a concept, as the
+    column ``end``; without a stored closure.
+
+    A frontier moves from the concept, one level a round, so the work follows the
+    answer and not the graph. As many rounds as the longest of the shortest paths
+    has edges. The concept itself is part of the answer only if it is on a cycle.
+    """
+    steps = StepFolder(edges.sparkSession, "reachable", keep=True)
+    edges = edges.where(F.col(start).isNotNull() & F.col(end).isNotNull()).select(start, end)
+    frontier = steps.write(edges.where(F.col(start) == concept_id).select(end).distinct())
+    found = frontier
+    while not frontier.isEmpty():
+        here = frontier.withColumnRenamed(end, start)
+        beyond = edges.join(here, start, "left_semi").select(end).distinct()
+        frontier = steps.write(beyond.join(found, end, "left_anti"))
+        found = found.unionByName(frontier)
+    return found
+
+
 def closure_cycles(closure: DataFrame) -> DataFrame:
     """Concepts that are their own ancestor; empty for a sound hierarchy."""
     return closure.where(F.col("sub_concept_id") == F.col("super_concept_id"))

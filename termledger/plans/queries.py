@@ -519,12 +519,12 @@ def is_a_closure(spark, sf_dir):
 
 @query
 def descendants_of(spark, sf_dir):
-    return closure.descendants(is_a_closure(spark, sf_dir), SAMPLE_ANCESTOR)
+    return closure.reachable(fx.fx_is_a(spark, sf_dir), SAMPLE_ANCESTOR, "super_concept_id", "sub_concept_id")
 
 
 @query
 def ancestors_of(spark, sf_dir):
-    return closure.ancestors(is_a_closure(spark, sf_dir), SAMPLE_CONCEPT)
+    return closure.reachable(fx.fx_is_a(spark, sf_dir), SAMPLE_CONCEPT, "sub_concept_id", "super_concept_id")
 
 
 @query

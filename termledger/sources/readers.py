@@ -11,6 +11,8 @@ from pyspark.sql.types import StringType, StructType
 
 # Position of a line: number of its file, start of its block, rank in the block.
 LINE = "_line"
+# Holds the header of a printed table; Spark's readers pass over its name.
+HEADER_FILE = "_header"
 
 
 def read_rf2(
@@ -25,7 +27,8 @@ def read_rf2(
     Nothing is a quote or an escape. The explicit line separator keeps a lone
     carriage return inside its field and leaves the file splittable. ``columns``
     picks columns by name; ``with_line`` adds the position of each line, which
-    orders rows as the files do.
+    orders rows as the files do. A folder printed by ``write_rf2`` keeps its header
+    in a file of its own, so its parts are read whole.
     """
     options = {"sep": "\t", "header": True, "quote": "\u0000", "escape": "\u0000"}
     return _read(spark, paths, schema, options, columns, with_line)
@@ -46,14 +49,19 @@ def read_delimited(
 
 def _read(spark, paths, schema, options, columns, with_line) -> DataFrame:
     paths = [paths] if isinstance(paths, str) else list(paths)
-    reader = (
-        spark.read.schema(schema)
-        .options(**options)
-        .options(enforceSchema=True, lineSep="\r\n", dateFormat="yyyyMMdd")
-    )
+
+    def scan(paths, header):
+        return (
+            spark.read.schema(schema)
+            .options(**options)
+            .options(enforceSchema=True, lineSep="\r\n", dateFormat="yyyyMMdd", header=header)
+            .csv(paths)
+        )
+
+    printed = {path for path in paths if _is_printed(spark, path)}
     if with_line:
         files = [
-            reader.csv(path).select(
+            scan(path, options["header"] and path not in printed).select(
                 *schema.fieldNames(),
                 F.struct(
                     F.lit(number).alias("file"),
@@ -66,12 +74,19 @@ def _read(spark, paths, schema, options, columns, with_line) -> DataFrame:
         ]
         rows = reduce(DataFrame.unionByName, files)
     else:
-        rows = reader.csv(paths)
+        plain = [path for path in paths if path not in printed]
+        kinds = [(plain, options["header"]), ([path for path in paths if path in printed], False)]
+        rows = reduce(DataFrame.unionByName, [scan(*kind) for kind in kinds if kind[0]])
     wanted = list(columns or schema.fieldNames())
     cleaned = [_clean(schema[name]) for name in wanted]
     return rows.select(*cleaned, *([LINE] if with_line else []))
 
 
+def _is_printed(spark: SparkSession, path: str) -> bool:
+    header = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{HEADER_FILE}")
+    return header.getFileSystem(spark._jsc.hadoopConfiguration()).exists(header)
+
+
 def _clean(field):
     """An absent text is empty, as a text load has no nulls; code columns lose
     the blanks that pad them."""

@@ -4,18 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
 from termledger.functions.text import rf2_date
 from termledger.schemas import Component
+from termledger.sources.readers import HEADER_FILE
 
-# A printed table of at most this many rows is one file.
+# Rows of one part of a printed table at most.
 ROWS_PER_FILE = 2_000_000
 LINE_END = "\r\n"
-# The low bits of monotonically_increasing_id count the rows of a partition.
-ROW_IN_PARTITION = (1 << 33) - 1
 
 
 def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -36,10 +35,12 @@ def replace_release(df: DataFrame, path: str, version: str) -> None:
     """Add the rows of a release to a date-partitioned history.
 
     Only the partitions of the dates in ``df`` are written. Older history stays
-    untouched on disk, and a rerun replaces what the failed run left.
+    untouched on disk, and a rerun replaces what the failed run left. Rows of a
+    date are brought together first, as in :func:`materialize`.
     """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", version)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(version)
         .parquet(path)
@@ -62,49 +63,49 @@ def write_rf2(
 ) -> int:
     """Print a table in its order: header, tabs, CRLF, every field as it is.
 
-    The table is range-partitioned on the print order, so every task sorts and
-    writes one slice of about ``rows_per_file`` rows. One slice becomes the
-    file ``path``. More slices become a folder ``path`` whose parts, read in
-    name order, are the table; each part has the header and is a release file
-    by itself. The id breaks ties, which makes the output the same on every run.
+    The result has one form at every size: a folder ``path`` that holds the
+    header in ``_header`` and the lines in ordered parts of ``rows_per_file`` rows
+    at most. Joined in name order, its files are the release file byte for byte;
+    an empty table is its header. :func:`read_rf2` reads the folder as it reads a
+    file. The table is dealt by ranges of the print order, so no task sorts all of
+    it. The id breaks ties, which makes the output the same on every run.
 
     Lines are written as text because a CSV writer would quote a field that
-    holds a carriage return. Returns the number of rows.
+    holds a carriage return. Rows are counted while they are written. Returns
+    their number.
     """
-    rows = df.count()
-    slices = max(1, -(-rows // rows_per_file))
     order = list(dict.fromkeys([*component.order, component.id_column]))
-    sliced = df.repartitionByRange(slices, *order).sortWithinPartitions(*order)
-    header = "\t".join(component.header)
-    if rows:
-        printed = to_rf2(sliced, component)
-        fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in printed.columns]
-        line = F.concat_ws("\t", *fields)
-        rank = F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_IN_PARTITION))
-        headed = F.concat(F.lit(header + LINE_END), line)
-        lines = printed.select(F.when(rank == 0, headed).otherwise(line).alias("value"))
-    else:
-        lines = df.sparkSession.createDataFrame([(header,)], "value string").coalesce(1)
+    written = Observation()
+    printed = to_rf2(df.orderBy(*order).observe(written, F.count(F.lit(1)).alias("rows")), component)
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in printed.columns]
+    lines = printed.select(F.concat_ws("\t", *fields).alias("value"))
     staged = f"{path}.staged"
-    lines.write.mode("overwrite").option("lineSep", LINE_END).text(staged)
-    _publish(df, staged, path, single=slices == 1)
-    return rows
+    (
+        lines.write.mode("overwrite")
+        .option("lineSep", LINE_END)
+        .option("maxRecordsPerFile", rows_per_file)
+        .text(staged)
+    )
+    _publish(df.sparkSession, staged, path, "\t".join(component.header) + LINE_END)
+    return written.get["rows"]
 
 
-def _publish(df: DataFrame, staged: str, path: str, single: bool) -> None:
-    """Rename the written folder, or its only part, to the final name."""
-    spark = df.sparkSession
+def _publish(spark: SparkSession, staged: str, path: str, header: str) -> None:
+    """Complete the written folder and give it the final name. What had that name
+    is moved aside and deleted last, so a failure loses no release."""
     Path = spark._jvm.org.apache.hadoop.fs.Path
-    source, target = Path(staged), Path(path)
+    source, target, aside = Path(staged), Path(path), Path(f"{path}.previous")
     files = source.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(target, True)
-    if not single:
-        files.rename(source, target)
-        return
-    (part,) = [
-        entry.getPath()
-        for entry in files.listStatus(source)
-        if entry.getPath().getName().startswith("part-")
-    ]
-    files.rename(part, target)
-    files.delete(source, True)
+    out = files.create(Path(source, HEADER_FILE))
+    out.write(bytearray(header.encode()))
+    out.close()
+    if files.exists(target):
+        files.delete(aside, True)
+        _rename(files, target, aside)
+    _rename(files, source, target)
+    files.delete(aside, True)
+
+
+def _rename(files, source, target) -> None:
+    if not files.rename(source, target):
+        raise OSError(f"{source} could not be renamed to {target}")

@@ -75,3 +75,16 @@ def test_lookups(spark, small):
     down = {r[0] for r in closure.descendants(table, 100).collect()}
     assert up == {b for a, b in pairs if a == 100}
     assert down == {a for a, b in pairs if b == 100}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_reachable_is_a_slice_of_the_closure(spark, seed):
+    draw = random.Random(seed)
+    edges = [(draw.randrange(25), draw.randrange(25)) for _ in range(35)] + [(None, 3), (3, None)]
+    pairs = brute_force([e for e in edges if None not in e])
+    df = spark.createDataFrame(edges, SCHEMA)
+    for concept in (0, 3, 99):
+        up = closure.reachable(df, concept, "sub_concept_id", "super_concept_id").collect()
+        down = closure.reachable(df, concept, "super_concept_id", "sub_concept_id").collect()
+        assert sorted(r[0] for r in up) == sorted(b for a, b in pairs if a == concept)
+        assert sorted(r[0] for r in down) == sorted(a for a, b in pairs if b == concept)

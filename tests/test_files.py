@@ -108,6 +108,11 @@ def test_line_order_holds_across_blocks(spark, tmp_path):
     assert ordered == sorted(ordered) and len(ordered) == 20_000
 
 
+def joined(path) -> bytes:
+    """The files of a printed table in name order; Hadoop's checksums are hidden."""
+    return b"".join(p.read_bytes() for p in sorted(path.iterdir()) if not p.name.startswith("."))
+
+
 @pytest.fixture()
 def members(spark):
     rows = [
@@ -122,7 +127,7 @@ def members(spark):
 def test_written_bytes(members, tmp_path):
     path = tmp_path / "out" / "map.txt"
     assert write_rf2(members, str(path), S.SIMPLE_MAP) == 4
-    assert path.read_bytes() == (
+    assert joined(path) == (
         b"id\teffectiveTime\tactive\tmoduleId\trefsetId\treferencedComponentId\tmapTarget\r\n"
         b"a\t20180801\t1\t900000000000207008\t41\t1376001\t back\\slash \r\n"
         b'b\t20180801\t1\t21000210109\t41\t368009\tsay "hi"\r\n'
@@ -136,7 +141,7 @@ def test_odd_characters_are_printed_as_they_are(spark, tmp_path):
     rows = [(str(n), dt.date(2018, 8, 1), 1, 1, 1, 1, v) for n, v in enumerate(values)]
     path = tmp_path / "odd.txt"
     write_rf2(spark.createDataFrame(rows, S.SIMPLE_MAP.schema), str(path), S.SIMPLE_MAP)
-    lines = path.read_bytes().decode().split("\r\n")[1:-1]
+    lines = joined(path).decode().split("\r\n")[1:-1]
     assert [line.split("\t")[-1] for line in lines] == values
     back = read_rf2(spark, str(path), S.SIMPLE_MAP.schema).orderBy("member_id").collect()
     assert [r.map_target for r in back] == values
@@ -146,13 +151,14 @@ def test_missing_values_are_empty_fields(spark, tmp_path):
     schema = S.StructType([S.StructField(f.name, f.dataType, True) for f in S.SIMPLE_MAP.schema])
     path = tmp_path / "null.txt"
     write_rf2(spark.createDataFrame([("a", None, 1, 1, 1, 1, None)], schema), str(path), S.SIMPLE_MAP)
-    assert path.read_bytes().endswith(b"\r\na\t\t1\t1\t1\t1\t\r\n")
+    assert joined(path).endswith(b"\r\na\t\t1\t1\t1\t1\t\r\n")
 
 
 def test_round_trip_and_rewrite(spark, members, tmp_path):
     path = str(tmp_path / "map.txt")
     write_rf2(members, path, S.SIMPLE_MAP)
     write_rf2(members, path, S.SIMPLE_MAP)
+    assert [p.name for p in tmp_path.iterdir()] == ["map.txt"]
     back = read_rf2(spark, path, S.SIMPLE_MAP.schema)
     assert back.exceptAll(members).count() == 0 and members.exceptAll(back).count() == 0
 
@@ -160,7 +166,8 @@ def test_round_trip_and_rewrite(spark, members, tmp_path):
 def test_empty_table_has_its_header(spark, members, tmp_path):
     path = tmp_path / "empty.txt"
     write_rf2(members.where("active = 7"), str(path), S.SIMPLE_MAP)
-    assert path.read_bytes() == b"\t".join(h.encode() for h in S.SIMPLE_MAP.header) + b"\r\n"
+    assert joined(path) == b"\t".join(h.encode() for h in S.SIMPLE_MAP.header) + b"\r\n"
+    assert read_rf2(spark, str(path), S.SIMPLE_MAP.schema).count() == 0
 
 
 def test_large_table_is_ordered_parts(spark, tmp_path):
@@ -173,19 +180,36 @@ def test_large_table_is_ordered_parts(spark, tmp_path):
         F.col("id").alias("concept_id"),
     )
     path = tmp_path / "refset.txt"
-    write_rf2(rows, str(path), S.SIMPLE_REFSET, rows_per_file=300)
-    parts = sorted(p for p in path.iterdir() if p.name.startswith("part-"))
-    assert len(parts) == 4
-    header = b"\t".join(h.encode() for h in S.SIMPLE_REFSET.header)
-    found = []
-    for part in parts:
-        first, *rest = part.read_bytes().split(b"\r\n")[:-1]
-        assert first == header
-        found += [line.split(b"\t")[0] for line in rest]
+    assert write_rf2(rows, str(path), S.SIMPLE_REFSET, rows_per_file=30) == 1000
+    assert sum(p.name.startswith("part-") for p in path.iterdir()) > 30
+    header, *lines = joined(path).split(b"\r\n")[:-1]
+    assert header == b"\t".join(h.encode() for h in S.SIMPLE_REFSET.header)
+    found = [line.split(b"\t")[0] for line in lines]
     assert found == sorted(found) and len(found) == 1000
+    one = tmp_path / "one.txt"
+    write_rf2(rows, str(one), S.SIMPLE_REFSET)
+    assert joined(one) == joined(path)
     assert read_rf2(spark, str(path), S.SIMPLE_REFSET.schema).exceptAll(rows).count() == 0
 
 
+def test_plain_files_and_printed_folders_are_read_together(spark, members, tmp_path):
+    write_rf2(members.where("member_id = 'b'"), str(tmp_path / "printed.txt"), S.SIMPLE_MAP)
+    plain = lines(tmp_path / "plain.txt", [MAP_HEADER, ["x", "20180801", "1", "1", "41", "5", "A"]])
+    paths = [str(tmp_path / "printed.txt"), plain]
+    for with_line in (False, True):
+        found = read_rf2(spark, paths, S.SIMPLE_MAP.schema, with_line=with_line).collect()
+        assert sorted(r.member_id for r in found) == ["b", "b", "x"]
+
+
+def test_a_failed_print_keeps_the_release(spark, members, tmp_path):
+    path = tmp_path / "map.txt"
+    write_rf2(members, str(path), S.SIMPLE_MAP)
+    before = joined(path)
+    with pytest.raises(Exception):
+        write_rf2(members.withColumn("map_target", F.raise_error(F.lit("x"))), str(path), S.SIMPLE_MAP)
+    assert joined(path) == before
+
+
 def test_export_of_every_component(spark):
     for component in S.COMPONENTS:
         assert len(component.header) == len(component.schema.fields)
