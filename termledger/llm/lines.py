@@ -14,8 +14,6 @@ from termledger.session import StepFolder
 MIN_SITES = 8
 #: Logarithm of the sketch's registers; the relative standard error is 1.04 / sqrt(2 ** LG).
 LG = 12
-#: Shared lines that may travel as constants of the plan; it is counted first.
-IN_PLAN = 10_000
 #: Standard errors around the threshold within which sites are counted exactly.
 BAND = 4.0
 
@@ -62,7 +60,6 @@ def dedup_lines(
     text_col: str = "text",
     site_col: str = "source",
     min_sites: int = MIN_SITES,
-    in_plan: int = IN_PLAN,
 ) -> DataFrame:
     """``docs`` with the columns ``clean_text``, ``n_lines`` and ``n_removed``
     added (replacing columns of these names); the lines that many sites share
@@ -71,42 +68,39 @@ def dedup_lines(
     Lines end at a line feed and are compared without outer white space; blank
     lines always stay. A null text stays null with no lines; a document without
     a site loses shared lines, but doesn't count as a site. Repeated rows and ids
-    change nothing: what a document loses follows from its text alone.
+    change nothing: what a document loses follows from its text alone. Other
+    columns stay, whatever their names.
 
-    Up to ``in_plan`` shared lines, which are few beside the documents, are
-    constants of the filter, and no text is shuffled. Beyond that the keys of the
-    shared lines of each distinct text are joined to the documents.
+    Texts meet the shared lines they hold by digest, in one shuffle of the texts
+    at every size. The planner may not broadcast that side: it grows with the
+    documents. A text that very many rows repeat is a large partition of the
+    row side, which adaptive execution splits.
     """
     folder = StepFolder(docs.sparkSession, "lines", keep=True)
     docs = docs.drop("clean_text", "n_lines", "n_removed")
     shared = folder.write(boilerplate(docs, folder, text_col, site_col, min_sites))
     text = F.col(text_col)
-    split = F.split(text, "\n", -1)
-    n_shared = shared.count()
-    if n_shared <= in_plan:
-        keys = [r.line for r in shared.collect()]
-        rows = docs.withColumn("_shared", F.lit(True))
-        hit = lambda line: line_key(line).isin(keys)
-        return _cleaned(rows, docs.columns, text, split, hit)
+    keys = F.array_distinct(F.transform(F.split(text, "\n", -1), line_key))
     hits = (
-        docs.select(F.xxhash64(text).alias("_text"), F.explode(F.array_distinct(F.transform(split, line_key))).alias("line"))
-        .join(broadcast_if_small(shared, n_shared), "line", "left_semi")
+        docs.select(F.xxhash64(text).alias("digest"), F.explode(keys).alias("line"))
+        .join(broadcast_if_small(shared, shared.count()), "line", "left_semi")
         .distinct()
     )
-    hits = folder.write(hits.groupBy("_text").agg(F.collect_list("line").alias("_shared")))
-    rows = docs.withColumn("_text", F.xxhash64(text)).join(hits, "_text", "left")
-    return _cleaned(rows, docs.columns, text, split, lambda line: F.array_contains("_shared", line_key(line)))
+    hits = folder.write(hits.groupBy("digest").agg(F.collect_list("line").alias("shared")))
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.xxhash64(text).alias("digest"))
+    return _cleaned(rows.join(hits.hint("merge"), "digest", "left"), F.col("doc")[text_col])
 
 
-def _cleaned(rows: DataFrame, columns: list[str], text: Column, split: Column, hit) -> DataFrame:
-    """Filter the lines of rows whose ``_shared`` isn't null."""
-    kept = F.filter(split, lambda line: ~F.coalesce(hit(line), F.lit(False)))
-    touched = F.col("_shared").isNotNull()
-    done = rows.select(*columns, "_shared", F.size(split).alias("_lines"), F.when(touched, kept).alias("_kept"))
-    changed = touched & (F.size("_kept") < F.col("_lines"))
+def _cleaned(rows: DataFrame, text: Column) -> DataFrame:
+    """Rows (doc, shared) without the shared lines, if any."""
+    split = F.split(text, "\n", -1)
+    kept = F.filter(split, lambda line: ~F.coalesce(F.array_contains("shared", line_key(line)), F.lit(False)))
+    touched = F.col("shared").isNotNull()
+    done = rows.select("doc", F.size(split).alias("lines"), F.when(touched, kept).alias("kept"))
+    changed = F.col("kept").isNotNull() & (F.size("kept") < F.col("lines"))
     return done.select(
-        *columns,
-        F.when(changed, F.array_join("_kept", "\n")).otherwise(text).alias("clean_text"),
-        F.when(text.isNull(), 0).otherwise(F.col("_lines")).cast("long").alias("n_lines"),
-        F.when(changed, F.col("_lines") - F.size("_kept")).otherwise(0).cast("long").alias("n_removed"),
+        "doc.*",
+        F.when(changed, F.array_join("kept", "\n")).otherwise(text).alias("clean_text"),
+        F.when(text.isNull(), 0).otherwise(F.col("lines")).cast("long").alias("n_lines"),
+        F.when(changed, F.col("lines") - F.size("kept")).otherwise(0).cast("long").alias("n_removed"),
     )

@@ -133,16 +133,18 @@ def test_placement(spark):
 # -- lines, licenses, benchmark ----------------------------------------------
 
 
-@pytest.mark.parametrize("in_plan", [100, 0])
-def test_shared_lines_go(spark, in_plan):
+def test_shared_lines_go(spark):
     rows = [(n, f"own {n}\n  menu  \n\ntail {n}", f"s{n % 10}") for n in range(30)]
     rows += [(100 + n, "rare\nmenu", "s0") for n in range(20)] + [(200, None, "s1"), (201, "", None), (202, "menu", None)]
-    docs = spark.createDataFrame(rows, DOCS).withColumn("line", F.lit(1)).withColumn("n_lines", F.lit("clash"))
-    out = {r.doc_id: r for r in lines.dedup_lines(docs, min_sites=8, in_plan=in_plan).collect()}
+    docs = spark.createDataFrame(rows, DOCS).withColumn("n_lines", F.lit("clash"))
+    for name in ("line", "lines", "doc", "digest", "shared", "kept"):
+        docs = docs.withColumn(name, F.lit(f"own {name}"))
+    out = {r.doc_id: r for r in lines.dedup_lines(docs, min_sites=8).collect()}
     assert out[3].clean_text == "own 3\n\ntail 3" and (out[3].n_lines, out[3].n_removed) == (4, 1)
+    assert {out[3][name] for name in ("doc", "digest", "shared")} == {"own doc", "own digest", "own shared"}
     assert out[100].clean_text == "rare" and out[202].clean_text == ""
     assert out[200].clean_text is None and out[200].n_lines == 0 and out[201].clean_text == ""
-    more = lines.dedup_lines(docs, min_sites=11, in_plan=in_plan)
+    more = lines.dedup_lines(docs, min_sites=11)
     assert more.where("n_removed > 0").count() == 0
     assert lines.dedup_lines(docs.limit(0)).count() == 0
 
