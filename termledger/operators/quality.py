@@ -54,6 +54,11 @@ def nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.where(reduce(Column.__or__, [F.col(c).isNull() for c in columns]))
 
 
+def too_long(df: DataFrame, widths: Mapping[str, int]) -> DataFrame:
+    """Rows with a text that is longer, in characters, than its declared width."""
+    return df.where(reduce(Column.__or__, [F.char_length(c) > n for c, n in widths.items()], F.lit(False)))
+
+
 def fd_violations(df: DataFrame, lhs: Sequence[str], rhs: Sequence[str]) -> DataFrame:
     """Left values that stand for more than one right value.
 
@@ -132,6 +137,17 @@ def reconcile(source: DataFrame, members: DataFrame, key: str) -> DataFrame:
     return met.unpivot([], names, "name", "n").unionByName(check_counts({"active_members": active}))
 
 
+def count_mismatch(parts: Sequence[DataFrame], whole: DataFrame) -> DataFrame:
+    """One row (parts, whole) if the rows of the parts don't add up to those of
+    the whole, else none. Each table is counted where it lies."""
+    counted = check_counts({**{f"part {k}": df for k, df in enumerate(parts)}, "whole": whole})
+    is_whole = F.col("name") == "whole"
+    return counted.agg(
+        F.sum(F.when(is_whole, 0).otherwise(F.col("n"))).alias("parts"),
+        F.sum(F.when(is_whole, F.col("n")).otherwise(0)).alias("whole"),
+    ).where("parts != whole")
+
+
 def check_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(name, n) for every table, counted in one job."""
     counted = [

@@ -123,7 +123,8 @@ def load_unique(
     keys, not rows. Among the others a skipped row blocks no later one, so keys
     cannot be handled one after the other. Each round keeps the rows that come
     first under all their keys among the rows left, and drops the rows these
-    block; the earliest row left is always kept, so the rounds end.
+    block; the earliest row left is always kept, so the rounds end. A key with a
+    null in it repeats nothing, as in a unique constraint.
 
     ``order_by`` must be unique. Rows are written once at the start so that
     positions taken from a file scan stay as they are.
@@ -142,9 +143,10 @@ def load_unique(
     while not left.isEmpty():
         winners = left
         for keys in unique:
-            first = left.groupBy(*keys).agg(F.min(order_by).alias(order_by))
-            winners = semi_join(winners, first, [*keys, order_by])
-        kept.append(steps.write(winners))
+            first = left.dropna(subset=list(keys)).groupBy(*keys).agg(F.min(order_by).alias("_first"))
+            met = winners.join(first, list(keys), "left")
+            winners = met.where(F.col("_first").isNull() | (F.col("_first") == F.col(order_by))).drop("_first")
+        kept.append(steps.write(winners.select(*df.columns)))
         for keys in unique:
             left = anti_join(left, kept[-1], keys)
         left = steps.write(left)

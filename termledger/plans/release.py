@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from termledger import constants as K
 from termledger import schemas as S
@@ -190,6 +191,15 @@ def load_international(spark: SparkSession, files: InternationalFiles, base: str
     return t
 
 
+def _width_checks(t: Stages, loaded: Mapping[str, StructType]) -> dict[str, DataFrame]:
+    """Texts that a column of the declared width would have cut."""
+    return {
+        f"{name} width": quality.too_long(t[name], S.widths(schema))
+        for name, schema in loaded.items()
+        if name in t.tables and S.widths(schema)
+    }
+
+
 def international_checks(t: Stages) -> dict[str, DataFrame]:
     """Constraints of the loaded and derived tables, as violating rows."""
     keys = {
@@ -206,8 +216,25 @@ def international_checks(t: Stages) -> dict[str, DataFrame]:
         "description_active": ["description_id"],
         "concept": ["concept_id"],
         "is_a": ["sub_concept_id", "super_concept_id"],
+        "concept_active_or_inactive": ["concept_id"],
+        "concept_synonym": ["synonym_description_id"],
+        "extended_map_load": ["id"],
+        "read_tab": ["read_code"],
+        "read_term_load": ["read_code", "term_code", "uniquifier"],
     }
-    checks = {f"{name} key": quality.duplicates(t[name], key) for name, key in keys.items()}
+    checks = {f"{name} key": quality.duplicates(t[name], key) for name, key in keys.items() if name in t.tables}
+    for kind in ("preferred_term", "fully_specified_name"):
+        for name in (kind, "concept", "concept_active_or_inactive"):
+            checks[f"{name} {kind} id"] = quality.duplicates(t[name], [f"{kind}_description_id"])
+    checks |= _width_checks(t, {
+        "description_load": S.DESCRIPTION_SNAPSHOT,
+        "language_load": S.LANGUAGE_SNAPSHOT,
+        "map_load": S.SIMPLE_MAP_SNAPSHOT,
+        "extended_map_load": S.EXTENDED_MAP_SNAPSHOT,
+        "read_tab": S.LEGACY_CODES,
+        "read_term_load": S.LEGACY_TERMS,
+    })
+    checks["concept width"] = quality.too_long(t["concept"], {"ctv3_code": 5})
     checks["ctv3_map code"] = quality.duplicates(t["ctv3_map"], ["ctv3_code"], nulls_equal=False)
     checks["concept code"] = quality.duplicates(t["concept"], ["ctv3_code"], nulls_equal=False)
     for name in ("dialect_description", "description_active"):
@@ -417,6 +444,20 @@ def extension_checks(
         member, key = [component.id_column], list(component.key)
         checks[f"{name} one member per key"] = quality.fd_violations(rows, key, member)
         checks[f"{name} one key per member"] = quality.fd_violations(rows, member, key)
+        checks[f"{name} snapshot member"] = quality.duplicates(t[f"{name}_snapshot"], member)
+        checks[f"{name} snapshot key"] = quality.duplicates(t[f"{name}_snapshot"], key)
+    codes = ["concept_id", "read_code", "read_term_code"]
+    for name, key in (("concept_to_read_snapshot", codes), ("refset_target", ["refset_id", "concept_id"])):
+        checks[f"{name} member"] = quality.duplicates(t[name], ["member_id"])
+        checks[f"{name} key"] = quality.duplicates(t[name], key)
+    loaded = {c.name: c.schema for c in (*S.COMPONENTS, S.MAORI_LANGUAGE)}
+    loaded |= {name: S.PREPARED_MAP for name in t.tables if name.startswith("prepared_map_")}
+    loaded |= {
+        "medicines_map": S.MEDICINES_MAP,
+        "patient_friendly": S.PATIENT_FRIENDLY_TERMS,
+        "refset_extract": S.REFSET_EXTRACT,
+    }
+    checks |= _width_checks(t, loaded)
 
     concepts, active = international["concept_load"], international["concept"]
     checks["map concept"] = quality.orphans(
@@ -475,6 +516,7 @@ def extension_checks(
         if name in t.tables:
             checks[f"{name} id"] = identifiers.invalid_ids(t[name], "concept_id")
             checks[f"{name} key"] = quality.duplicates(t[name], ["concept_id"])
+            checks[f"{name} concept"] = quality.orphans(t[name], concepts, ["concept_id"])
     claims, benefits = (f"prepared_map_{r}" for r in (K.MAP_ACCIDENT_CLAIMS, K.MAP_BENEFITS))
     if claims in t.tables and benefits in t.tables:
         checks["claims within benefits"] = quality.not_in(t[claims], t[benefits], t[claims].columns)
@@ -485,6 +527,12 @@ def extension_checks(
     checks["own description inactive"] = quality.must_be_active(
         t["description_snapshot"], t["language_snapshot"], "description_id"
     )
+    english = t["language_snapshot"].where(
+        (F.col("refset_id") == K.LANGUAGE_ENGLISH) & (F.col("active") == 1)
+    )
+    checks["language total"] = quality.count_mismatch(
+        [international["dialect"], _own_descriptions(t)], english
+    )
     named = ["description_id", "concept_id", "type_id"]
     described = t["description_snapshot"].select(named).unionByName(
         international["description_load"].select(named)
@@ -495,6 +543,12 @@ def extension_checks(
     return checks
 
 
+def _own_descriptions(t: Stages) -> DataFrame:
+    """The extension's descriptions outside its patient-friendly set."""
+    friendly = t["language_snapshot"].where(F.col("refset_id") == K.LANGUAGE_PATIENT_FRIENDLY)
+    return rel.anti_join(t["description_snapshot"].select("description_id"), friendly, ["description_id"])
+
+
 def extension_counts(
     t: Stages, international: Mapping[str, DataFrame], context: ReleaseContext
 ) -> dict[str, DataFrame]:
@@ -524,6 +578,7 @@ def extension_counts(
     counts["dialect in language"] = quality.reconcile(
         international["dialect"], english, "description_id"
     )
+    counts["own descriptions in language"] = quality.check_counts({"own_descriptions": _own_descriptions(t)})
     counts["preferred members"] = quality.preferred_cardinality(t["language_snapshot"])
     return counts
 

@@ -3,10 +3,12 @@
 Schemas are never inferred: identifiers have up to 18 digits and must be read
 as bigint, dates are eight digits, and flags are plain integers. A text column
 marked ``char`` holds fixed-width codes, whose trailing blanks do not count.
+Declared widths cut nothing; a check reports what a bounded column would cut.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql.types import (
@@ -28,25 +30,34 @@ _TYPES: dict[str, DataType] = {
 }
 
 
+_COLUMN = re.compile(r"(\w+):([a-z]+)(\d*)(\??)")
+
+
 def _schema(columns: str) -> StructType:
-    """Schema from ``name:kind`` words; a trailing ``?`` allows nulls."""
+    """Schema from ``name:kind`` words; a number behind the kind is a declared
+    width, a trailing ``?`` allows nulls."""
     fields = []
     for word in columns.split():
-        name, kind = word.split(":")
-        nullable = kind.endswith("?")
-        kind = kind.rstrip("?")
+        name, kind, width, nullable = _COLUMN.fullmatch(word).groups()
         metadata = {"char": True} if kind == "char" else {}
-        fields.append(StructField(name, _TYPES[kind], nullable, metadata))
+        if width:
+            metadata["width"] = int(width)
+        fields.append(StructField(name, _TYPES[kind], bool(nullable), metadata))
     return StructType(fields)
 
 
+def widths(schema: StructType) -> dict[str, int]:
+    """Declared widths of the columns that have one, in characters."""
+    return {f.name: f.metadata["width"] for f in schema.fields if "width" in f.metadata}
+
+
 # Snapshot files of the international release.
 CONCEPT_SNAPSHOT = _schema(
     "concept_id:id effective_time:date active:small module_id:id definition_status_id:id"
 )
 DESCRIPTION_SNAPSHOT = _schema(
     "description_id:id effective_time:date active:small module_id:id concept_id:id "
-    "language_code:char type_id:id term:text case_significance_id:id"
+    "language_code:char2 type_id:id term:text case_significance_id:id"
 )
 RELATIONSHIP_SNAPSHOT = _schema(
     "relationship_id:id effective_time:date active:small module_id:id source_id:id "
@@ -54,42 +65,42 @@ RELATIONSHIP_SNAPSHOT = _schema(
 )
 STATED_RELATIONSHIP_SNAPSHOT = RELATIONSHIP_SNAPSHOT
 LANGUAGE_SNAPSHOT = _schema(
-    "member_id:char effective_date:date active:small module_id:id refset_id:id "
+    "member_id:char36 effective_date:date active:small module_id:id refset_id:id "
     "description_id:id acceptability_id:id"
 )
 SIMPLE_MAP_SNAPSHOT = _schema(
-    "id:char effective_time:date active:small module_id:id refset_id:id "
-    "referenced_component_id:id map_target:text"
+    "id:char36 effective_time:date active:small module_id:id refset_id:id "
+    "referenced_component_id:id map_target:text20"
 )
 EXTENDED_MAP_SNAPSHOT = _schema(
-    "id:char effective_time:date active:small module_id:id refset_id:id "
-    "referenced_component_id:id map_group:small map_priority:small? map_rule:text "
-    "map_advice:text? map_target:text correlation_id:id? map_category_id:id?"
+    "id:char36 effective_time:date active:small module_id:id refset_id:id "
+    "referenced_component_id:id map_group:small map_priority:small? map_rule:text500 "
+    "map_advice:text500? map_target:text20 correlation_id:id? map_category_id:id?"
 )
 
 # Prepared inputs of an extension release.
-PREPARED_MAP = _schema("concept_id:id read_code:char read_term_code:char")
+PREPARED_MAP = _schema("concept_id:id read_code:char5 read_term_code:char2")
 MEDICINES_MAP = _schema(
-    "mp_id:id mp_term:text effective_date:date description_id:id concept_id:id "
-    "fully_specified_name:text"
+    "mp_id:id mp_term:text500 effective_date:date description_id:id concept_id:id "
+    "fully_specified_name:text150"
 )
 PATIENT_FRIENDLY_TERMS = _schema(
-    "read_code:char read_term_code:char read_term:text pft:text concept_id:id description_id:id"
+    "read_code:char5 read_term_code:char2 read_term:text100 pft:text100 concept_id:id description_id:id"
 )
 REFSET_EXTRACT = _schema(
-    "member_id:char effective_date:date active:small module_id:id refset_id:id concept_id:id"
+    "member_id:char36 effective_date:date active:small module_id:id refset_id:id concept_id:id"
 )
 
 # Legacy code system.
 LEGACY_CODES = _schema(
-    "read_code:char preferred_term_30:text preferred_term_60:text? preferred_term_198:text? "
-    "icd9_code:text? icd9_code_def:text? icd9_cm_code:text? icd9_cm_code_def:text? "
-    "opcs_42_code:text? opcs_code_def:text? specialty_flag:text? status_flag:small? "
-    "language_code:text"
+    "read_code:char5 preferred_term_30:text30 preferred_term_60:text60? preferred_term_198:text198? "
+    "icd9_code:text20? icd9_code_def:text2? icd9_cm_code:text20? icd9_cm_code_def:text2? "
+    "opcs_42_code:text20? opcs_code_def:text2? specialty_flag:text10? status_flag:small? "
+    "language_code:text2"
 )
 LEGACY_TERMS = _schema(
-    "term_key:text uniquifier:text term_30:text? term_60:text? term_198:text? term_code:char "
-    "language_code:text read_code:char status_flag:small"
+    "term_key:text10 uniquifier:text2 term_30:text30? term_60:text60? term_198:text198? term_code:char2 "
+    "language_code:text2 read_code:char5 status_flag:small"
 )
 
 
@@ -138,7 +149,7 @@ _RELATIONSHIP_HEADER = (
 MODULE_DEPENDENCY = Component(
     name="module_dependency",
     schema=_schema(
-        "dep_id:char effective_date:date active:small module_id:id refset_id:id "
+        "dep_id:char36 effective_date:date active:small module_id:id refset_id:id "
         "referenced_component_id:id source_effective_date:date target_effective_date:date"
     ),
     key=("referenced_component_id", "module_id"),
@@ -166,7 +177,7 @@ DESCRIPTION = Component(
     name="description",
     schema=_schema(
         "description_id:id effective_date:date active:small module_id:id concept_id:id "
-        "language_code:char type_id:id term:text case_significance_id:id"
+        "language_code:char2 type_id:id term:text case_significance_id:id"
     ),
     key=("description_id",),
     header=tuple(
@@ -202,8 +213,8 @@ STATED_RELATIONSHIP = Component(
 SIMPLE_MAP = Component(
     name="simple_map",
     schema=_schema(
-        "member_id:char effective_date:date active:small module_id:id refset_id:id "
-        "referenced_component_id:id map_target:text"
+        "member_id:char36 effective_date:date active:small module_id:id refset_id:id "
+        "referenced_component_id:id map_target:text20"
     ),
     key=("referenced_component_id", "map_target", "refset_id"),
     header=tuple(
@@ -216,7 +227,7 @@ SIMPLE_MAP = Component(
 LANGUAGE = Component(
     name="language",
     schema=_schema(
-        "member_id:char effective_date:date active:small module_id:id refset_id:id "
+        "member_id:char36 effective_date:date active:small module_id:id refset_id:id "
         "description_id:id acceptability_id:id"
     ),
     key=("description_id", "refset_id"),
@@ -232,7 +243,7 @@ LANGUAGE = Component(
 MAORI_LANGUAGE = Component(
     name="maori_language",
     schema=_schema(
-        "member_id:char effective_date:date active:small module_id:id refset_id:id "
+        "member_id:char36 effective_date:date active:small module_id:id refset_id:id "
         "referenced_component_id:id acceptability_id:id"
     ),
     key=("referenced_component_id", "refset_id"),
@@ -246,7 +257,7 @@ MAORI_LANGUAGE = Component(
 REFSET_DESCRIPTOR = Component(
     name="refset_descriptor",
     schema=_schema(
-        "attribute_id:char effective_date:date active:small module_id:id refset_id:id "
+        "attribute_id:char36 effective_date:date active:small module_id:id refset_id:id "
         "referenced_component_id:id attribute_description:id attribute_type:id "
         "attribute_order:small"
     ),
@@ -262,7 +273,7 @@ REFSET_DESCRIPTOR = Component(
 SIMPLE_REFSET = Component(
     name="simple_refset",
     schema=_schema(
-        "member_id:char effective_date:date active:small module_id:id refset_id:id concept_id:id"
+        "member_id:char36 effective_date:date active:small module_id:id refset_id:id concept_id:id"
     ),
     key=("concept_id", "refset_id"),
     header=tuple("id effectiveTime active moduleId refsetId referencedComponentId".split()),

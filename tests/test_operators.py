@@ -153,8 +153,14 @@ def test_load_unique_skipped_row_blocks_nothing(spark):
     assert sorted(r.line for r in out.collect()) == [1, 3]
 
 
+def test_load_unique_null_keys_repeat_nothing(spark):
+    rows = [(1, None, 1), (2, None, 1), (3, None, 2), (4, 5, None), (5, 5, None), (6, None, None), (7, None, None), (8, 5, 2)]
+    out = rel.load_unique(spark.createDataFrame(rows, "line int, a int, b int"), [["a"], ["b"]], "line")
+    assert sorted(r.line for r in out.collect()) == [1, 3, 4, 6, 7]
+
+
 def test_load_unique_query_against_brute_force(spark, tiny):
-    """The registered query has no SQL form, so it is replayed row by row."""
+    """The registered query replayed row by row, beside its SQL form."""
     lines = fx.table(spark, tiny, "lineitem")
     first = ["l_orderkey", "l_linenumber"]
     order = first + [c for c in lines.columns if c not in first]

@@ -122,6 +122,17 @@ def test_tags(spark):
     assert rows_of(df.where(rel.without_tags("n", K.PRODUCT_TAGS))) == [("C (substance)",)]
 
 
+def test_too_long(spark):
+    df = spark.createDataFrame([("ab", "é" * 3), ("abc", "x"), (None, "xxxx")], "a string, b string")
+    assert rows_of(quality.too_long(df, {"a": 2, "b": 3}).select("b")) == [("x",), ("xxxx",)]
+    assert quality.too_long(df, {}).count() == 0
+
+
+def test_counts_that_must_add_up(spark):
+    assert rows_of(quality.count_mismatch([spark.range(3), spark.range(2)], spark.range(5))) == []
+    assert rows_of(quality.count_mismatch([spark.range(3), spark.range(0)], spark.range(5))) == [(3, 5)]
+
+
 def test_reconcile(spark):
     source = spark.createDataFrame([(1,), (2,), (3,)], "description_id bigint")
     members = spark.createDataFrame([(1, 1), (2, 0), (9, 1)], "description_id bigint, active int")

@@ -7,6 +7,7 @@ from dataclasses import replace
 
 import pytest
 import world as W
+from pyspark.sql import functions as F
 
 from termledger import constants as K
 from termledger import schemas as S
@@ -169,6 +170,36 @@ def test_extension_checks(extension, intl):
     }
 
 
+def seeded(stages, twice, **changed):
+    """The stages with the rows of some tables doubled and others replaced."""
+    tables = stages.tables | {name: stages[name].unionByName(stages[name]) for name in twice} | changed
+    return replace(stages, tables=tables)
+
+
+def test_seeded_faults_of_the_international_tables(intl):
+    twice = ["preferred_term", "fully_specified_name", "concept", "concept_active_or_inactive", "concept_synonym",
+             "read_tab", "read_term_load", "extended_map_load"]
+    long = intl["map_load"].withColumn("map_target", F.repeat("map_target", 20))
+    checks = release.international_checks(seeded(intl, twice, map_load=long))
+    fire = [f"{name} key" for name in twice] + ["map_load width"]
+    fire += [f"{name} {kind} id" for kind in ("preferred_term", "fully_specified_name")
+             for name in (kind, "concept", "concept_active_or_inactive")]
+    assert [name for name in fire if checks[name].isEmpty()] == []
+
+
+def test_seeded_faults_of_the_extension(spark, extension, intl):
+    twice = ["simple_map_snapshot", "language_snapshot", "simple_refset_snapshot", "concept_to_read_snapshot", "refset_target"]
+    prepared = [f"prepared_map_{n}" for n in (K.MAP_CONCEPT_TO_READ, K.MAP_BENEFITS, K.MAP_ACCIDENT_CLAIMS)]
+    changed = {
+        name: extension[name].unionByName(spark.createDataFrame([(404, "AAAAAA", "00")], S.PREPARED_MAP)) for name in prepared
+    }
+    checks = release.extension_checks(seeded(extension, twice, **changed), intl, W.CONTEXT)
+    fire = [f"{name} {kind}" for name in ("simple_map snapshot", "language snapshot", "simple_refset snapshot",
+                                          "concept_to_read_snapshot", "refset_target") for kind in ("member", "key")]
+    fire += [f"{name} {kind}" for name in prepared for kind in ("concept", "width")] + ["language total"]
+    assert [name for name in fire if checks[name].isEmpty()] == []
+
+
 def test_extension_counts(extension, intl):
     found = {name: rows(df) for name, df in release.extension_counts(extension, intl, W.CONTEXT).items()}
     assert found["simple_map active"] == sorted([
@@ -184,6 +215,7 @@ def test_extension_counts(extension, intl):
     assert dict(found["dialect in language"]) == {
         "source_rows": 20, "present": 20, "missing": 0, "active_members": 21,
     }
+    assert found["own descriptions in language"] == [("own_descriptions", 1)]
 
 
 def test_standard_file_names():
