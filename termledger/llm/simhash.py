@@ -30,20 +30,26 @@ BLOCK = 65_536
 PAIRED = 256
 
 
-def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
-    """SimHash over the XXH64 of all shingles, repeats included, as a signed
-    64-bit number. A bit is 1 if it is set in over half the hashes. Fewer words
-    than a shingle count as one shingle; no word gives zero."""
+def word_hashes(text: str | None, shingle: int, seed: int = 42) -> np.ndarray:
+    """The XXH64 of all shingles, repeats included. Fewer words than a shingle
+    count as one shingle."""
     words = _WORD.findall((text or "").encode("utf-8", "surrogatepass").translate(_LOWER))
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = np.concatenate(([0], ends[:-1]))
     shingle = min(shingle, len(words))
     spans = zip(starts[: len(words) - shingle + 1].tolist(), (ends[shingle - 1 :] - 1).tolist())
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], seed) for a, b in spans), np.uint64)
+    return np.fromiter((digest(joined[a:b], seed) for a, b in spans), np.uint64)
+
+
+def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
+    """SimHash over the XXH64 of all shingles, repeats included, as a signed
+    64-bit number. A bit is 1 if it is set in over half the hashes. Fewer words
+    than a shingle count as one shingle; no word gives zero."""
+    hashes = word_hashes(text, shingle, seed)
     ones = np.zeros(64, np.int64)
     for k in range(0, len(hashes), BLOCK):
         part = hashes[k : k + BLOCK].astype(">u8").view(np.uint8).reshape(-1, 8)
