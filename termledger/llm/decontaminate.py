@@ -59,15 +59,16 @@ def canonical(df: DataFrame, text_col: str, *keep: str) -> DataFrame:
     return both.select(*keep, F.transform("_b", F.lower).alias("raw"), F.transform("_b", canon).alias("canon"))
 
 
-def windows(canon: Column) -> Column:
+def windows(canon: Column, *salt: Column) -> Column:
     """Hash of each run of five canonical words; fewer make one window.
     ``canon`` must be a column of the input."""
     runs = F.transform(
-        F.sequence(F.lit(0), F.size(canon) - WINDOW), lambda i: F.xxhash64(*[F.get(canon, i + k) for k in range(WINDOW)])
+        F.sequence(F.lit(0), F.size(canon) - WINDOW),
+        lambda i: F.xxhash64(*salt, *[F.get(canon, i + k) for k in range(WINDOW)]),
     )
     return (
         F.when(F.size(canon) >= WINDOW, runs)
-        .when(F.size(canon) > 0, F.array(F.xxhash64(F.concat_ws(" ", canon))))
+        .when(F.size(canon) > 0, F.array(F.xxhash64(*salt, F.concat_ws(" ", canon))))
         .otherwise(F.array().cast("array<bigint>"))
     )
 
@@ -87,11 +88,12 @@ def contaminated(
     consistent slots.
 
     Numbers, names and units become typed placeholders, so a question whose
-    numbers or names were changed has the same windows. Its slots must agree: at
-    the shift at which most windows of the two match, each value of the item
-    must always have become the same value of the document; ``slot_agreement`` is
-    the share of slots that do. ``kind`` is ``exact`` if all values are the same,
-    else ``changed``. Without slots the agreement is 1.
+    numbers or names were changed has the same windows. Its slots must agree:
+    each value of the item must always have become the same value of the
+    document; ``slot_agreement`` is the share of slots that do. ``kind`` is
+    ``exact`` if all values are the same, else ``changed``. Without slots the
+    agreement is 1. Slots are read where the windows that cover them match
+    (``_aligned``); slots under no matched window are left out.
 
     Windows of documents meet the distinct windows of the benchmark in an
     equality join; only hits go on. Candidate pairs come from each item's rarest
@@ -104,23 +106,28 @@ def contaminated(
     spark = docs.sparkSession
     folder = StepFolder(spark, "decontaminate", keep=True)
     items = benchmark.select(F.col(item_id_col).alias("item"), F.col(item_text_col).alias("text"))
-    items = canonical(items.where("item is not null").distinct(), "text", "item")
+    items = items.where("item is not null").distinct().withColumn("item_text", F.xxhash64("text"))
+    items = canonical(items, "text", "item", "item_text")
     items = folder.write(
-        items.select("item", "raw", "canon", F.xxhash64("raw").alias("item_text"), windows(F.col("canon")).alias("at"))
+        items.select("item", "item_text", "raw", "canon", windows(F.col("canon")).alias("at"))
     )
-    owned = folder.write(items.select("item", "item_text", F.explode(F.array_distinct("at")).alias("window")))
+    forms = F.create_map(F.lit("canon"), F.array_distinct("at"))
+    owned = items.select("item", "item_text", F.explode(forms).alias("form", "windows"))
+    owned = folder.write(owned.select("item", "item_text", "form", F.explode("windows").alias("window")))
     known = folder.write(owned.select("window").distinct())
 
     keyed = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("doc_text"))
-    hits = canonical(keyed, "text", "doc_text").select("doc_text", F.explode(windows(F.col("canon"))).alias("window")).join(
+    split = canonical(keyed, "text", "doc_text")
+    held = windows(F.col("canon"))
+    hits = split.select("doc_text", F.explode(held).alias("window")).join(
         broadcast_if_small(known, known.count()), "window", "left_semi"
     )
     hits = folder.write(hits.distinct())
 
     # the rarest windows of an item, one more than a match may lack
     often = hits.groupBy("window").agg(F.count(F.lit(1)).alias("often"))
-    rarest = Window.partitionBy("item", "item_text").orderBy("often", "window")
-    n = F.count(F.lit(1)).over(Window.partitionBy("item", "item_text"))
+    rarest = Window.partitionBy("item", "item_text", "form").orderBy("often", "window")
+    n = F.count(F.lit(1)).over(Window.partitionBy("item", "item_text", "form"))
     ranked = (
         owned.join(often, "window", "left")
         .withColumn("often", F.coalesce("often", F.lit(0)))
@@ -128,12 +135,12 @@ def contaminated(
         .withColumn("n", n)
     )
     needed = F.ceil(F.col("n") * similarity - 1e-9)
-    signature = ranked.where(F.col("place") <= F.col("n") - needed + 1).select("window", "item", "item_text", "n")
-    pairs = hits.join(signature, "window").select("doc_text", "item", "item_text", "n").distinct()
+    signature = ranked.where(F.col("place") <= F.col("n") - needed + 1).select("window", "item", "item_text", "form", "n")
+    pairs = hits.join(signature, "window").select("doc_text", "item", "item_text", "form", "n").distinct()
     matched = (
-        pairs.join(owned, ["item", "item_text"])
+        pairs.join(owned, ["item", "item_text", "form"])
         .join(hits, ["doc_text", "window"])
-        .groupBy("doc_text", "item", "item_text")
+        .groupBy("doc_text", "item", "item_text", "form")
         .agg((F.count(F.lit(1)) / F.first("n")).alias("containment"))
         .where(F.col("containment") >= similarity - 1e-9)
     )
@@ -147,42 +154,65 @@ def contaminated(
         "doc_text", F.col("raw").alias("doc_raw"), windows(F.col("canon")).alias("doc_at")
     )
     slotted = folder.write(slotted)
-    aligned = matched.join(slotted, "doc_text").join(items, ["item", "item_text"])
-    aligned = folder.write(aligned.withColumn("shifts", _shifts("at", "doc_at")).drop("at", "doc_at"))
-    aligned = folder.write(aligned.withColumn("shift", _most_frequent("shifts")))
-    slot = F.filter(
-        F.transform("canon", lambda c, i: F.when(
-            c.isin(NUM, NAME, UNIT), F.struct(F.get("raw", i).alias("a"), F.get("doc_raw", i + F.col("shift")).alias("b"))
-        )),
-        lambda s: s.isNotNull() & s["b"].isNotNull(),
-    )
-    aligned = folder.write(aligned.select("doc_text", "item", "containment", slot.alias("slots")))
-    # a slot agrees if its value became what most slots of that value became
-    values = F.array_distinct("slots")
-    apart = F.size(values) - F.size(F.array_distinct(F.transform("slots", lambda s: s["a"])))
-    agreement = F.when(F.size("slots") == 0, 1.0).otherwise(1 - apart / F.size("slots"))
+    pairs = matched.where("form = 'canon'").select("doc_text", "item", "item_text", "containment")
+    aligned = _aligned(pairs, slotted, items, folder)
     same = F.forall("slots", lambda s: s["a"] == s["b"])
-    verified = aligned.select(
-        "doc_text", "item", "containment", agreement.alias("slot_agreement"),
-        F.when(same, "exact").otherwise("changed").alias("kind"),
+    # a slot agrees if its value became what most slots of that value became
+    apart = F.size(F.array_distinct("slots")) - F.size(F.array_distinct(F.transform("slots", lambda s: s["a"])))
+    changed = pairs.join(aligned, ["doc_text", "item", "item_text"], "left").select(
+        "doc_text", "item", "containment",
+        F.when(F.size("slots") > 0, 1 - apart / F.size("slots")).otherwise(1.0).alias("slot_agreement"),
+        F.when(F.coalesce(same, F.lit(True)), "exact").otherwise("changed").alias("kind"),
     ).where(F.col("slot_agreement") >= slots)
+    verified = changed
     verified = verified.groupBy("doc_text", "item").agg(F.max_by(
         F.struct("containment", "slot_agreement", "kind"), F.struct("containment", "slot_agreement", "kind")
     ).alias("best"))
     return ids.join(verified, "doc_text").select(F.col("doc").alias(id_col), F.col("item").alias(item_id_col), "best.*")
 
 
-def _shifts(at: str, doc_at: str) -> Column:
-    """Per window of the item that the document holds: how far behind the
-    item's place the document's first such window lies."""
-    place = lambda w, i: F.when(F.array_contains(doc_at, w), F.array_position(doc_at, w) - 1 - i)
-    return F.filter(F.transform(at, place), lambda s: s.isNotNull())
-
+def _aligned(pairs: DataFrame, slotted: DataFrame, items: DataFrame, folder: StepFolder) -> DataFrame:
+    """(doc_text, item, item_text, slots) per pair and alignment; pairs without
+    a slot under a matched window have no row.
 
-def _most_frequent(shifts: str) -> Column:
-    """The most frequent value, the smallest of equals."""
-    often = F.transform(
-        F.array_distinct(shifts),
-        lambda s: F.struct((-F.size(F.filter(shifts, lambda x: x == s))).alias("n"), s.cast("int").alias("shift")),
+    A window may lie at several places of the document. Each distance between
+    an item's place and a document's is tried as the base of an alignment: every
+    slot is read at the shift, among those of the matched windows that cover it,
+    that is nearest to the base; of two as near, once the smaller and once the
+    larger one.
+    """
+    key = ["doc_text", "item", "item_text"]
+    wanted = F.col("c").isin(NUM, NAME, UNIT)
+    slot = items.select("item", "item_text", "raw", "at", F.posexplode("canon").alias("j", "c")).where(wanted)
+    # the windows over a slot; the one window of a short item is over all
+    over = F.sequence(F.greatest(F.col("j") - WINDOW + 1, F.lit(0)), F.least("j", F.size("at") - 1))
+    slot = slot.select("item", "item_text", "j", F.get("raw", F.col("j")).alias("a"), "at", F.explode(over).alias("i"))
+    cover = folder.write(slot.select("item", "item_text", "j", "a", "i", F.get("at", F.col("i")).alias("window")))
+    # the words go with each window, so no row holds a whole document
+    held = F.transform("doc_at", lambda w, p: F.struct(
+        w.alias("window"), p.alias("p"), F.slice("doc_raw", p + 1, WINDOW).alias("words")
+    ))
+    places = slotted.select("doc_text", F.explode(held).alias("_h")).select("doc_text", "_h.*")
+    wide = folder.write(cover.select("window").distinct())
+    places = folder.write(places.join(broadcast_if_small(wide, wide.count()), "window", "left_semi"))
+    cover = broadcast_if_small(cover, cover.count())
+    read = (
+        pairs.select(*key).join(cover, ["item", "item_text"]).join(places, ["doc_text", "window"])
+        .select(*key, "j", "a", (F.col("p") - F.col("i")).alias("shift"), F.get("words", F.col("j") - F.col("i")).alias("b"))
+        .distinct()
+    )
+    read = folder.write(read)
+    bases = read.select(*key, F.col("shift").alias("base")).distinct()
+    far = F.abs(F.col("shift") - F.col("base"))
+    return (
+        read.join(bases, key)
+        .groupBy(*key, "base", "j", "a")
+        .agg(
+            F.min_by("b", F.struct(far, F.col("shift"))).alias("low"),
+            F.min_by("b", F.struct(far, -F.col("shift"))).alias("high"),
+        )
+        .select(*key, "base", "a", F.explode(F.create_map(F.lit(0), "low", F.lit(1), "high")).alias("tie", "b"))
+        .groupBy(*key, "base", "tie")
+        .agg(F.collect_list(F.struct("a", "b")).alias("slots"))
+        .drop("base", "tie")
     )
-    return F.array_min(often)["shift"]

@@ -3,14 +3,30 @@
 from __future__ import annotations
 
 import random
+import re
 
 import corpus_pipeline as pipeline
-from test_operators import classes, sentence
-from termledger.llm import shingles
+from termledger.llm import decontaminate, shingles
 
 ROWS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
+def sentence(draw, n):
+    return " ".join(draw.choice("abcdefghij") + str(draw.randrange(400)) for _ in range(n))
+
+
+def classes(nodes, pairs):
+    """Smallest node reachable, for every node."""
+    root = {n: n for n in nodes}
+    for _ in nodes:
+        before = dict(root)
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+        if root == before:
+            return root
+    return root
+
+
 def shingle_sets(texts):
     split = [t.lower().split() for t in texts]
     return [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in split]
@@ -64,3 +80,37 @@ def test_near_duplicates_stage(spark, tiny):
     out = pipeline.near_duplicates(spark, docs, tiny).collect()
     expected = [(2, text), (None, others[0]), (None, others[1]), (4, others[2]), (4, others[3]), (6, None)]
     assert sorted(map(str, ((r.doc_id, r.text) for r in out))) == sorted(map(str, expected))
+
+
+WORDS = "item_id long, text string"
+
+
+def question(draw, n=50):
+    """An item whose names and numbers repeat."""
+    words = [draw.choice("abcdefghij") + "xyzuv"[k % 5] + str(draw.randrange(9)) for k in range(n)]
+    words[0] = "Say"
+    for k in range(3, n - 1, 4):
+        words[k] = draw.choice(["Paris", "Anna", "Otto", "7", "12"])
+    return words
+
+
+def found(spark, texts, items):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), WORDS)
+    return {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs, bench).collect()}
+
+
+def test_slots_after_an_inserted_or_deleted_word(spark):
+    """Each place of insertion and deletion, with other names and numbers."""
+    draw = random.Random(21)
+    words = question(draw)
+    other = {"Paris": "Rome", "Anna": "Berta", "Otto": "Karl", "7": "31", "12": "55"}
+    changed = [other.get(w, w) for w in words]
+    texts = [" ".join(changed[:k] + ["inserted"] + changed[k:]) for k in range(1, 50)]
+    texts += [" ".join(changed[:k] + changed[k + 1 :]) for k in range(1, 49)]
+    # an earlier instance of the template, filled at random
+    loose = " ".join(draw.choice("BCDEF") + "ob" if w in ("Paris", "Anna", "Otto") else str(draw.randrange(99)) if w in other else w for w in words)
+    texts += [loose, f"{loose}. {' '.join(changed)}"]
+    out = found(spark, texts, [" ".join(words)])
+    assert {d for d, _ in out} == set(range(len(texts))) - {len(texts) - 2}
+    assert {r.kind for r in out.values()} == {"changed"}
