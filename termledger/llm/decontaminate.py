@@ -73,6 +73,11 @@ def windows(canon: Column, *salt: Column) -> Column:
     )
 
 
+def plain(text_col: str) -> Column:
+    """The lower-cased words whatever the marks between them."""
+    return F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -85,7 +90,7 @@ def contaminated(
 ) -> DataFrame:
     """(id, item id, containment, slot_agreement, kind) for each document that
     holds ``similarity`` or more of an item's distinct canonical windows, with
-    consistent slots.
+    consistent slots, or of its distinct windows of plain words.
 
     Numbers, names and units become typed placeholders, so a question whose
     numbers or names were changed has the same windows. Its slots must agree:
@@ -95,6 +100,10 @@ def contaminated(
     agreement is 1. Slots are read where the windows that cover them match
     (``_aligned``); slots under no matched window are left out.
 
+    What is a name depends on capitals and marks. So the lower-cased words
+    without marks have windows of their own; a document that holds enough of
+    those holds the item's own words, and its slots agree.
+
     Windows of documents meet the distinct windows of the benchmark in an
     equality join; only hits go on. Candidate pairs come from each item's rarest
     windows, of which a match must hold one, so a window that many documents or
@@ -107,18 +116,19 @@ def contaminated(
     folder = StepFolder(spark, "decontaminate", keep=True)
     items = benchmark.select(F.col(item_id_col).alias("item"), F.col(item_text_col).alias("text"))
     items = items.where("item is not null").distinct().withColumn("item_text", F.xxhash64("text"))
-    items = canonical(items, "text", "item", "item_text")
+    items = canonical(items.withColumn("plain", plain("text")), "text", "item", "item_text", "plain")
     items = folder.write(
-        items.select("item", "item_text", "raw", "canon", windows(F.col("canon")).alias("at"))
+        items.select("item", "item_text", "raw", "canon", windows(F.col("canon")).alias("at"),
+                     windows(F.col("plain"), F.lit("plain")).alias("plain_at"))
     )
-    forms = F.create_map(F.lit("canon"), F.array_distinct("at"))
+    forms = F.create_map(F.lit("canon"), F.array_distinct("at"), F.lit("plain"), F.array_distinct("plain_at"))
     owned = items.select("item", "item_text", F.explode(forms).alias("form", "windows"))
     owned = folder.write(owned.select("item", "item_text", "form", F.explode("windows").alias("window")))
     known = folder.write(owned.select("window").distinct())
 
     keyed = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("doc_text"))
-    split = canonical(keyed, "text", "doc_text")
-    held = windows(F.col("canon"))
+    split = canonical(keyed.withColumn("plain", plain("text")), "text", "doc_text", "plain")
+    held = F.concat(windows(F.col("canon")), windows(F.col("plain"), F.lit("plain")))
     hits = split.select("doc_text", F.explode(held).alias("window")).join(
         broadcast_if_small(known, known.count()), "window", "left_semi"
     )
@@ -164,7 +174,10 @@ def contaminated(
         F.when(F.size("slots") > 0, 1 - apart / F.size("slots")).otherwise(1.0).alias("slot_agreement"),
         F.when(F.coalesce(same, F.lit(True)), "exact").otherwise("changed").alias("kind"),
     ).where(F.col("slot_agreement") >= slots)
-    verified = changed
+    own_words = matched.where("form = 'plain'").select(
+        "doc_text", "item", "containment", F.lit(1.0).alias("slot_agreement"), F.lit("exact").alias("kind")
+    )
+    verified = changed.unionByName(own_words)
     verified = verified.groupBy("doc_text", "item").agg(F.max_by(
         F.struct("containment", "slot_agreement", "kind"), F.struct("containment", "slot_agreement", "kind")
     ).alias("best"))

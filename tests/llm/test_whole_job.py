@@ -114,3 +114,31 @@ def test_slots_after_an_inserted_or_deleted_word(spark):
     out = found(spark, texts, [" ".join(words)])
     assert {d for d, _ in out} == set(range(len(texts))) - {len(texts) - 2}
     assert {r.kind for r in out.values()} == {"changed"}
+
+
+def test_own_words_whatever_the_marks_and_capitals(spark):
+    """Against nested loops over the plain words of every document and item."""
+    draw = random.Random(22)
+    items = []
+    for n in (5, 6, 8, 20, 50):
+        words = question(draw, n)
+        items.append(" ".join(w + ("," if k % 7 == 3 else "." if k % 9 == 8 else "") for k, w in enumerate(words)) + "?")
+    items.append("What is 3 plus 5?")
+    texts = []
+    for item in items:
+        bare = re.sub(r"[.,?]", "", item)
+        texts += [item, bare, item.upper(), item.lower(), f"Question {item}", f'he said "{bare}" and (more', f"({item}) It"]
+        texts.append(" ".join(bare.split()[:-3] + ["else", "and", "other"]))
+    texts.append(sentence(draw, 80))
+
+    def plain(text):
+        words = re.findall(r"[a-z0-9]+", text.lower())
+        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+    expected = {
+        (d, i) for d, text in enumerate(texts) for i, item in enumerate(items)
+        if len(plain(text) & plain(item)) >= 0.8 * len(plain(item)) - 1e-9
+    }
+    out = found(spark, texts, items)
+    assert expected <= set(out) and len(expected) >= 7 * len(items)
+    assert not any(d == len(texts) - 1 for d, _ in out)
