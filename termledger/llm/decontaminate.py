@@ -88,7 +88,7 @@ def contaminated(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """(id, item id, containment, slot_agreement, kind) for each document that
+    """(id, item id, containment, slot_agreement, kind, doc_text) for each document that
     holds ``similarity`` or more of an item's distinct canonical windows, with
     consistent slots, or of its distinct windows of plain words.
 
@@ -110,7 +110,7 @@ def contaminated(
     items share makes no pairs by itself. Item ids that are null are left out;
     rows that repeat an item's id and text count once. Null and empty texts match
     nothing. Documents are told apart by id and by a digest of the text, so null
-    and repeated ids are fine. Other columns are left out.
+    and repeated ids are fine; ``doc_text`` is that digest. Other columns are left out.
     """
     spark = docs.sparkSession
     folder = StepFolder(spark, "decontaminate", keep=True)
@@ -181,7 +181,7 @@ def contaminated(
     verified = verified.groupBy("doc_text", "item").agg(F.max_by(
         F.struct("containment", "slot_agreement", "kind"), F.struct("containment", "slot_agreement", "kind")
     ).alias("best"))
-    return ids.join(verified, "doc_text").select(F.col("doc").alias(id_col), F.col("item").alias(item_id_col), "best.*")
+    return ids.join(verified, "doc_text").select(F.col("doc").alias(id_col), F.col("item").alias(item_id_col), "best.*", "doc_text")
 
 
 def _aligned(pairs: DataFrame, slotted: DataFrame, items: DataFrame, folder: StepFolder) -> DataFrame:

@@ -142,3 +142,28 @@ def test_own_words_whatever_the_marks_and_capitals(spark):
     out = found(spark, texts, items)
     assert expected <= set(out) and len(expected) >= 7 * len(items)
     assert not any(d == len(texts) - 1 for d, _ in out)
+
+
+def test_stages_tell_rows_apart_by_id_and_text(spark, tiny):
+    """A third of the rows lacks an id; ids repeat with different texts."""
+    draw = random.Random(31)
+    item = pipeline.load(spark, tiny, "benchmark").first().text
+    rows = [(None if n % 3 == 0 else n // 2, sentence(draw, draw.randrange(20, 90)), "en", f"s{n % 3}", n) for n in range(150)]
+    leaks = [(None, f"Before.\n{item}", "en", "s0", 0), (2, f"{item}\nafter", "en", "s1", 0)]
+    docs = spark.createDataFrame(rows + leaks, ROWS)
+    kept = pipeline.decontaminated(spark, docs, tiny).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, rows))
+
+    rows += [rows[0]] * 4
+    docs = spark.createDataFrame(rows, ROWS)
+    out = pipeline.mixed(spark, docs, tiny).collect()
+    size = lambda r: len(r[1].split())
+    total = sum(map(size, rows))
+    targets = {r.source: r.target for r in pipeline.mixing.mix(docs, pipeline.MIX_WEIGHTS).collect()}
+    for source, target in targets.items():
+        taken = sum(size(r) for r in out if r.source == source)
+        assert abs(taken - target) <= 45, (source, taken, target, total)
+    times = {}
+    for r in out:
+        times[tuple(r)] = times.get(tuple(r), 0) + 1
+    assert all(n <= 2 * rows.count(r) for r, n in times.items())
