@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import math
 import re
+from itertools import combinations
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termledger.session import StepFolder
+
 MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.9
 MAX_ANTECEDENT = 3
-_LABEL = "label="
 _UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _TAIL = re.compile(r"\?([^#]*)")
 
@@ -50,8 +52,8 @@ def split_url(url: str | None) -> tuple[str, str]:
 
 
 def tokens(url: str | None) -> list[str]:
-    """What the miner sees of a url: one token of each kind at most, so a
-    url has ten tokens at most, however long it is."""
+    """What the miner sees of a url: its host, each host label, path segment and
+    query key, and what is known of the whole."""
     host, path = split_url(url)
     if not host:
         return []
@@ -71,7 +73,8 @@ def tokens(url: str | None) -> list[str]:
         "query": ",".join(keys),
         "depth": str(min(len(steps), 8)),
     }
-    return [f"{k}={v}" for k, v in found.items() if v]
+    parts = [("part", x) for x in labels[:-1]] + [("step", x) for x in steps] + [("key", x) for x in keys]
+    return list(dict.fromkeys(f"{k}={v}" for k, v in [*found.items(), *parts] if v))
 
 
 def stated(rules: list[Rule]):
@@ -101,32 +104,49 @@ def mine(
 ) -> list[Mined]:
     """Association rules from (tokens, label), every row of it.
 
-    FP-growth finds the token combinations; kept are those that lead to a label
-    with enough support and confidence and have no shorter part that does so at
-    least as surely. A row has ten tokens at most, so there are fewer than
-    2 ** 11 / min_support combinations, which bounds what reaches the driver.
+    Kept are the combinations of ``max_antecedent`` tokens at most that lead to
+    a label with enough support and confidence and have no shorter part that
+    does so at least as surely. Tokens that don't have the support with a label go first,
+    which loses no rule and leaves few different baskets; their combinations are
+    counted by size, as no longer ones are kept. A basket of k frequent tokens
+    makes k ** max_antecedent combinations at most, where FP-growth would go
+    through 2 ** k, so long urls need no cut.
     """
-    baskets = labelled.where("label is not null and size(tokens) > 0").select(
-        F.array_distinct(F.concat("tokens", F.array(F.concat(F.lit(_LABEL), "label")))).alias("items")
-    )
-    if baskets.isEmpty():
+    folder = StepFolder(labelled.sparkSession, "url-rules", keep=True)
+    baskets = labelled.where("label is not null and size(tokens) > 0")
+    rows = baskets.count()
+    if not rows:
         return []
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    found = (
-        model.associationRules.where(F.col("consequent")[0].startswith(_LABEL))
-        .where(F.size("antecedent") <= max_antecedent)
-        .collect()
-    )
-    found = [
-        Mined(tuple(sorted(r["antecedent"])), r["consequent"][0][len(_LABEL) :], r["confidence"], r["support"])
-        for r in found
-    ]
-    kept: list[Mined] = []
+    least = math.ceil(rows * min_support - 1e-9)
+    often = baskets.select(F.explode(F.array_distinct("tokens")).alias("t"), "label").groupBy("t", "label").count()
+    # a row's number of tokens over the support bounds how many there are
+    frequent = {r["t"] for r in often.where(F.col("count") >= least).select("t").distinct().collect()}
+
+    def run(batches):
+        for batch in batches:
+            left = [sorted(frequent.intersection(x.as_py())) for x in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.list_(pa.string())), batch.column(1)], names=["tokens", "label"])
+
+    left = baskets.select("tokens", "label").mapInArrow(run, "tokens array<string>, label string")
+    sets = folder.write(left.groupBy("tokens", "label").agg(F.count(F.lit(1)).alias("n")))
+    sets = sets.select("tokens", "label", "n", F.array().cast("array<string>").alias("set"), F.lit(-1).alias("at"))
+    found = []
+    for _ in range(max_antecedent):
+        sets = sets.where("at + 1 < size(tokens)").withColumn("at", F.expr("explode(sequence(at + 1, size(tokens) - 1))"))
+        sets = sets.withColumn("set", F.concat("set", F.array(F.get("tokens", F.col("at")))))
+        counts = folder.write(sets.groupBy("set", "label").agg(F.sum("n").alias("n")))
+        total = counts.groupBy("set").agg(F.sum("n").alias("total"))
+        sure = counts.where(F.col("n") >= least).join(total, "set").where(F.col("n") / F.col("total") >= min_confidence)
+        found += [
+            Mined(tuple(r["set"]), r["label"], r["n"] / r["total"], r["n"] / rows) for r in sure.collect()
+        ]
+    kept: dict[tuple, Mined] = {}
     for rule in sorted(found, key=lambda r: (len(r.tokens), r.tokens, r.verdict)):
-        shorter = (r for r in kept if r.verdict == rule.verdict and set(r.tokens) < set(rule.tokens))
+        parts = (p for k in range(1, len(rule.tokens)) for p in combinations(rule.tokens, k))
+        shorter = (kept[rule.verdict, p] for p in parts if (rule.verdict, p) in kept)
         if not any(r.confidence >= rule.confidence for r in shorter):
-            kept.append(rule)
-    return kept
+            kept[rule.verdict, rule.tokens] = rule
+    return list(kept.values())
 
 
 def matcher(mined: list[Mined]):

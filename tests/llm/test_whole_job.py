@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import re
 
 import corpus_pipeline as pipeline
-from termledger.llm import decontaminate, shingles
+from termledger.llm import decontaminate, shingles, url_rules
 
 ROWS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -167,3 +168,35 @@ def test_stages_tell_rows_apart_by_id_and_text(spark, tiny):
     for r in out:
         times[tuple(r)] = times.get(tuple(r), 0) + 1
     assert all(n <= 2 * rows.count(r) for r, n in times.items())
+
+
+def test_url_rules_see_the_whole_url(spark):
+    """Deep segments, inner host labels and keys; the rules by nested loops."""
+    draw, rows = random.Random(41), []
+    for n in range(400):
+        bad, host = n % 2, f"h{n}"
+        kind = n % 3
+        label = f"{'pills' if bad and kind == 0 else 'shop' if kind == 0 else 'plain'}"
+        step = "buy" if bad and kind == 1 else "read"
+        key = "aff" if bad and kind == 2 else "lang"
+        url = f"https://{draw.choice(['www', 'm', 'x', 'y'])}.{label}.{host}.com/a/b/{step}/{n}/{'/'.join(f's{k}' for k in range(25))}?{key}=1&id={n}"
+        rows.append((n, url, "block" if bad else "allow"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, label string")
+    labels = pages.where("page_id < 300").select("url", "label")
+    out = url_rules.judge(pages, [], labels, min_support=0.02).collect()
+    assert {r.page_id: r.verdict for r in out} == {n: v for n, _, v in rows}
+
+    baskets = [(set(url_rules.tokens(u)[:14]), v) for _, u, v in rows[:60]]
+    frame = spark.createDataFrame([(sorted(t), v) for t, v in baskets], "tokens array<string>, label string")
+    singles = sorted({t for b, _ in baskets for t in b})
+    sure = {}
+    for k in (1, 2):
+        for c in itertools.combinations(singles, k):
+            labels = [v for b, v in baskets if b.issuperset(c)]
+            for v in set(labels):
+                n, surety = labels.count(v), labels.count(v) / len(labels)
+                parts = [sure.get(((t,), v), 0) for t in c] if k > 1 else []
+                if n >= 6 and surety >= 0.9 and not any(p >= surety for p in parts):
+                    sure[c, v] = surety
+    mined = url_rules.mine(frame, min_support=0.1, max_antecedent=2)
+    assert {(r.tokens, r.verdict): r.confidence for r in mined} == sure
