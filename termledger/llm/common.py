@@ -24,6 +24,11 @@ def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) ->
     return F.broadcast(df) if rows <= limit else df
 
 
+def quoted(name: str) -> str:
+    """A column's name as Spark reads it, whatever signs it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())
 

@@ -7,7 +7,7 @@ import hashlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termledger.llm.common import seeded
+from termledger.llm.common import quoted, seeded
 
 #: Slots for each shard at least; no shard then holds 1 % more slots than another.
 SLOTS_PER_SHARD = 100
@@ -77,4 +77,4 @@ def place(
     )
     docs = docs.drop("slot", "shard")
     keyed = docs.withColumn("slot", seeded(seed, F.col(id_col)) % len(table))
-    return keyed.join(F.broadcast(slots), "slot").select(*docs.columns, "slot", "shard")
+    return keyed.join(F.broadcast(slots), "slot").select(*map(quoted, docs.columns), "slot", "shard")

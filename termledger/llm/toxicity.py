@@ -38,8 +38,10 @@ PRIOR_ROWS = 39
 #: Weight of the trees' own probability in the score: it orders documents that
 #: the calibration puts on one step.
 WITHIN_STEP = 1e-3
-#: Word counts that one task holds before it passes them on.
-HELD = 200_000
+#: Word counts that one task holds before it passes them on, and weights of words that it keeps.
+HELD = 20_000
+#: Letters of the longest word whose weight is kept: bounds the bytes of what is held.
+KEPT_LETTERS = 64
 
 # Second-person words of the corpus languages, and letters that signs stand for.
 SECOND_PERSON = frozenset(
@@ -82,11 +84,14 @@ def features(text: str | None, weights: dict[str, float], known: dict[str, float
     known = {} if known is None else known
 
     def weight(word: str) -> float:
-        if word not in known:
-            if len(known) > HELD:
-                known.clear()
-            known[word] = max((weights[g] for g in grams(word) if g in weights), default=0.0)
-        return known[word]
+        found = known.get(word)
+        if found is None:
+            found = max((weights[g] for g in grams(word) if g in weights), default=0.0)
+            if len(word) <= KEPT_LETTERS:
+                if len(known) >= HELD:
+                    known.clear()
+                known[word] = found
+        return found
 
     hits: list[int] = []
     second: list[int] = []
@@ -156,7 +161,7 @@ def _count_grams(batches):
                 held = counts.setdefault((g, fold), [0, 0])
                 held[0] += toxic
                 held[1] += 1
-            if len(counts) > HELD:
+            if len(counts) >= HELD:
                 yield flush(counts)
                 counts = {}
     yield flush(counts)
@@ -200,15 +205,19 @@ def _lexicons(rows: DataFrame, folder) -> list[dict[str, float]]:
 
 
 def _featured(rows: DataFrame, lexicons: list[dict[str, float]], keep: str) -> DataFrame:
-    """(keep, x) for rows (keep, text, fold): a row's features by its fold's lexicon."""
+    """(keep, x) for rows (keep, text, fold): a row's features by its fold's
+    lexicon. The weights kept are those of one lexicon at a time, and a batch is
+    read fold by fold, so a task keeps ``HELD`` words at most."""
 
     def run(batches):
-        known = [{} for _ in lexicons]
+        known, of = {}, 0
         for batch in batches:
-            xs = [
-                features(text.as_py(), lexicons[fold.as_py()], known[fold.as_py()])
-                for text, fold in zip(batch.column(1), batch.column(2))
-            ]
+            folds = batch.column(2).to_numpy(zero_copy_only=False)
+            xs = [None] * len(folds)
+            for k in np.argsort(folds, kind="stable").tolist():
+                if folds[k] != of:
+                    known, of = {}, int(folds[k])
+                xs[k] = features(batch.column(1)[k].as_py(), lexicons[of], known)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(xs, pa.list_(pa.float64()))], names=[keep, "x"])
 
     kind = rows.schema[keep].dataType.simpleString()

@@ -6,8 +6,10 @@ import itertools
 import random
 import re
 
+import xxhash
+
 import corpus_pipeline as pipeline
-from termledger.llm import decontaminate, shingles, url_rules
+from termledger.llm import decontaminate, url_rules
 
 ROWS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -28,59 +30,42 @@ def classes(nodes, pairs):
     return root
 
 
-def shingle_sets(texts):
-    split = [t.lower().split() for t in texts]
-    return [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in split]
-
-
-def linked(texts, similarity=0.8):
-    """Pairs of texts with the similarity, by nested loops."""
-    sets = shingle_sets(texts)
-    return [
-        (a, b) for a in range(len(sets)) for b in range(a)
-        if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]) - 1e-9
-    ]
-
-
-def near_texts(draw):
-    texts = []
-    for _ in range(30):
-        words = sentence(draw, draw.randrange(40, 300)).split()
-        texts.append(" ".join(words))
-        for _ in range(draw.randrange(4)):
-            copy = list(words)
-            for _ in range(draw.randrange(1, 7)):
-                copy[draw.randrange(len(copy))] = "other" + str(draw.randrange(99))
-            texts.append(" ".join(copy))
-    return texts
-
-
-def test_near_copies_by_nested_loops(spark):
-    texts = near_texts(random.Random(11))
-    expected = classes(list(range(len(texts))), linked(texts))
-    assert 30 < len(set(expected.values())) < len(texts)
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    groups = {}
-    for r in shingles.near_copies(docs).collect():
-        groups.setdefault(r.component, set()).add(r.doc_id)
-    assert sorted(map(min, groups.values())) == sorted(set(expected.values()))
-    assert all(len({expected[n] for n in g}) == 1 for g in groups.values())
+def prints(text):
+    """The fingerprint by its definition: three words, XXH64 with seed 42."""
+    words = (text or "").lower().split()
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def test_near_duplicates_stage(spark, tiny):
-    """Five words in 100 changed is a near copy; rows are told apart by id and text."""
+def test_near_duplicates_stage_by_nested_loops(spark, tiny):
+    """Links of two bits at most between all rows; of each component the
+    smallest id stays, rows without an id last, a repeated row once."""
     draw = random.Random(12)
-    text, others = sentence(draw, 300), [sentence(draw, 90) for _ in range(4)]
-    words = text.split()
-    for k in range(0, 300, 60):
-        words[k] = "changed"
-    near = " ".join(words)
-    rows = [(2, text), (9, near), (None, near), (None, others[0]), (None, others[0]), (None, others[1]),
-            (4, others[2]), (4, others[3]), (4, others[3]), (6, None), (None, None)]
+    rows = []
+    for n in range(40):
+        words = sentence(draw, draw.randrange(150, 400)).split()
+        rows.append((n, " ".join(words)))
+        for k in range(draw.randrange(4)):
+            words = list(words)
+            words[draw.randrange(len(words))] = "changed"
+            rows.append((draw.choice([None, 100 * n + k, 7]), " ".join(words)))
+    rows += [(6, None), (None, None), (5, " "), (4, "one"), (4, "one"), (None, "two words"), (None, "two words")]
+    fps = [prints(text) for _, text in rows]
+    near = [(a, b) for a in range(len(rows)) for b in range(a) if (fps[a] ^ fps[b]).bit_count() <= 2]
+    group = classes(list(range(len(rows))), near)
+    order = lambda n: (rows[n][0] is None, rows[n][0] or 0)
+    expected = {}
+    for n in sorted(range(len(rows)), key=order):
+        expected.setdefault(group[n], []).append(n)
     docs = spark.createDataFrame([(a, b, "en", "s", 0) for a, b in rows], ROWS)
-    out = pipeline.near_duplicates(spark, docs, tiny).collect()
-    expected = [(2, text), (None, others[0]), (None, others[1]), (4, others[2]), (4, others[3]), (6, None)]
-    assert sorted(map(str, ((r.doc_id, r.text) for r in out))) == sorted(map(str, expected))
+    out = [(r.doc_id, r.text) for r in pipeline.near_duplicates(spark, docs, tiny).collect()]
+    assert len(out) == len(expected) < len(rows)
+    for members in expected.values():
+        kept = [rows[n] for n in members if rows[n] in out]
+        assert kept and order(members[0]) == min((kept[0][0] is None, kept[0][0] or 0) for _ in kept)
 
 
 WORDS = "item_id long, text string"
