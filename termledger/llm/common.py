@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +43,19 @@ def seeded(seed: str, *parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
 
 
+def parts(batch: pa.RecordBatch, column: int, most: int):
+    """Slices of an Arrow batch whose values of one column, texts or lists, have
+    some ``most`` bytes together, one row at least."""
+    ends = np.asarray(batch.column(column).offsets if pa.types.is_list(batch.column(column).type) else
+                      pa.array(np.cumsum([0, *pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()])))
+    size = 4 if pa.types.is_list(batch.column(column).type) else 1
+    start = 0
+    while start < len(batch):
+        end = max(start + 1, int(np.searchsorted(ends, ends[start] + most // size, side="right")) - 1)
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def global_rank(df: DataFrame, order: Column, folder, name: str = "rank") -> DataFrame:
     """Add the position of each row, from 0, in the order of distinct values.
 

@@ -66,9 +66,9 @@ def mix(
     or a tuple dealt in turn to the sources by code point. The targets share
     ``share`` of all words. A source whose target is 2.3 times its size takes
     each document twice and three tenths of its words a third time: the
-    documents come in an order drawn from the seed and the id, and those before
-    the point nearest to the target are taken, so a source misses its target by
-    half a document at most.
+    documents come in an order drawn from the seed, the id and a digest of the
+    text, and those before the point nearest to the target are taken, so a source
+    misses its target by half a document at most.
 
     Returns per row of ``docs``: id, source, size, source_size, target, repeats,
     taken. Null texts and empty ones have size 0; a null source is a source of
@@ -78,6 +78,8 @@ def mix(
     Texts are read once, for their sizes. Sums per source and draw bucket
     combine before the shuffle; only the one bucket in which a source's point
     lies is sorted, some ``per_bucket`` documents at every size of the source.
+    Rows of one id and text are one line of it with a count, so copies without
+    end, also without an id, are one row a task when they meet.
     """
     folder = StepFolder(docs.sparkSession, "mix", keep=True)
     sized = folder.write(
@@ -85,7 +87,7 @@ def mix(
             F.col(id_col).alias("id"),
             F.col(source_col).alias("source"),
             word_count(F.col(text_col)).alias("size"),
-            seeded(seed, F.col(id_col)).alias("draw"),
+            seeded(seed, F.col(id_col), F.md5(text_col)).alias("draw"),
         )
     )
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
@@ -127,12 +129,24 @@ def mix(
     clear = placed.where("edge is null or bucket != edge").withColumn(
         "more", (F.col("part") > 0) & F.coalesce(F.col("bucket") < F.col("edge"), F.lit(True))
     )
-    before = F.sum("size").over(
-        Window.partitionBy("source").orderBy("draw", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    # rows that are equal in all that is returned stand in the order one by one
+    lines = placed.where("bucket = edge").groupBy(
+        "id", "source", "size", "draw", "source_size", "target", "whole", "part", "before"
+    ).agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("source").orderBy("draw", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    start = F.col("before") + F.sum(F.col("size") * F.col("n")).over(order) - F.col("size") * F.col("n")
+    # a line of very many rows is written out by several tasks
+    runs = lines.withColumn("start", start).withColumn(
+        "first", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"), F.lit(per_bucket).cast("long")))
+    ).repartition("source", "draw", "first")
+    last = F.least(F.col("n"), F.col("first") + per_bucket - 1)
+    edge = runs.withColumn("copy", F.explode(F.sequence("first", last)))
+    edge = edge.withColumn(
+        "more", (F.col("part") > 0) & (F.col("start") + F.col("copy") * F.col("size") - F.col("size") / 2 <= F.col("part"))
+    )
+    clear, edge = (
+        rows.select("id", "source", "size", "source_size", "target", "whole", "more") for rows in (clear, edge)
     )
-    edge = placed.where("bucket = edge").withColumn("upto", before + F.col("before")).withColumn(
-        "more", (F.col("part") > 0) & (F.col("upto") - F.col("size") / 2 <= F.col("part"))
-    ).drop("upto")
     repeats = F.col("whole") + F.col("more").cast("long")
     return clear.unionByName(edge).select(
         F.col("id").alias(id_col),

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from termledger.llm import (
     decontaminate,
+    divergence,
+    lexical,
     licenses,
     lines,
     mixing,
+    pieces,
     sharding,
     simhash,
     tokens,
@@ -89,6 +92,21 @@ def op10_topk(spark, sf_dir):
     return found.select("query_id", "rank", "vec_id", "score")
 
 
+def op11_lexical_search(spark, sf_dir):
+    return lexical.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+def op12_source_divergence(spark, sf_dir):
+    return divergence.audit(load(spark, sf_dir, "documents"))
+
+
+def op13_sentencepiece(spark, sf_dir):
+    import public_tokenizers
+
+    model = pieces.Pieces(public_tokenizers.path(TOKENIZER))
+    return pieces.round_trip(pieces.encode(load(spark, sf_dir, "documents"), model), model)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_toxicity": op2_toxicity,
@@ -100,22 +118,35 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_topk": op10_topk,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 
 _SIZE = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 
-def _draw(seed: str, column: str) -> str:
-    key = f"coalesce(cast({column} as varchar), '<null>')"
+def _draw(seed: str, *columns: str) -> str:
+    key = " || '|' || ".join(f"coalesce(cast({column} as varchar), '<null>')" for column in columns)
     return f"cast('0x' || substr(md5('{seed}|' || {key}), 1, 13) as bigint)"
 
 
+def _terms(kept: str, text: str = "text") -> str:
+    """The terms of a text: runs of the signs of ``kept``, A-Z lower-cased."""
+    lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"regexp_extract_all({lower}, '{kept}')"
+
+
+_SEARCHED = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_AUDITED = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+
 ORACLE = {
     # Sources ordered by the level at which they are full: the first that the
     # level of those after it doesn't fill ends the clamping.
     "op1_mixing": f"""
 with d as (
-  select doc_id, source, cast({_SIZE} as bigint) as size, {_draw("mix", "doc_id")} as draw from documents
+  select doc_id, source, cast({_SIZE} as bigint) as size, {_draw("mix", "doc_id", "md5(text)")} as draw
+  from documents
 ), s as (
   select source, cast(sum(size) as bigint) as source_size,
     cast([5, 2, 1][(row_number() over (order by source nulls last) - 1) % 3 + 1] as double) as weight
@@ -181,15 +212,78 @@ from documents left join d using (doc_id)
 """,
     "op10_topk": """
 with v as (
-  select vec_id, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as e from embeddings
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as e
+  from embeddings
   where vec_id is not null and embedding is not null
     and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
 ), p as (
-  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score
+  select q.r, q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score
   from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0
 )
 select query_id, cast(rank as int) as rank, vec_id, score from (
-  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from p
+  select *, row_number() over (partition by r order by score desc, vec_id) as rank from p
 ) where rank <= 10
+""",
+    "op11_lexical_search": f"""
+with d as (
+  select row_number() over () as r, doc_id, {_terms(_SEARCHED)} as t from documents
+), s as (
+  select count(*) as docs, cast(sum(len(t)) as bigint) as total from d where len(t) > 0
+), tf as (
+  select r, term, count(*) as tf from (select r, unnest(t) as term from d) group by all
+), df as (
+  select term, count(*) as df from tf group by term
+), q as (
+  select row_number() over () as i, item_id, text from (select distinct item_id, text from benchmark where item_id is not null)
+), it as (
+  select distinct i, item_id, unnest({_terms(_SEARCHED)}) as term from q
+), w as (
+  select i, item_id, term, cast(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) as bigint) as w from it join df using (term), s
+), p as (
+  select i, item_id, d.r, d.doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf
+    + 20 * (100 - 50 + (50 * len(t) * docs) // total)))) as bigint) as score
+  from w join tf using (term) join d using (r), s group by i, item_id, d.r, d.doc_id
+)
+select item_id, cast(rank as int) as rank, doc_id, score from (
+  select *, row_number() over (partition by i order by score desc, doc_id nulls last) as rank from p where score > 0
+) where rank <= 50
+""",
+    "op12_source_divergence": f"""
+with d as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source, {_terms(_AUDITED)} as t
+  from documents
+), w as (
+  select r, lang, source, unnest(t) as term from d
+), kept as (
+  select lang, term from w group by lang, term having count(distinct r) >= 3
+), v as (
+  select lang, count(*) as v from kept group by lang
+), g as (
+  select distinct lang, source from d
+), c as (
+  select lang, source, term, count(*) as n from w semi join kept using (lang, term) group by all
+), dense as (
+  select lang, g.source, term, coalesce(n, 0) as n
+  from g join kept using (lang) left join c using (lang, source, term)
+), own as (
+  select lang, source, term, n, 1 + (1000000000::hugeint * (n + 1)) // (sum(n) over (partition by lang, source) + v) as p
+  from dense join v using (lang)
+), whole as (
+  select lang, term, 1 + (1000000000::hugeint * (n + 1)) // (sum(n) over (partition by lang) + v) as p
+  from (select lang, term, sum(n) as n from dense group by all) join v using (lang)
+), pairs as (
+  select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) as value
+  from own a join own b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+), value as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+  left join pairs p on p.lang = a.lang and p.source = a.source and p.item = b.source
+  union all
+  select lang, source, 'term', term, ((own.p - whole.p) * (own.p - whole.p)) // whole.p
+  from own join whole using (lang, term) where n > 0 and own.p > whole.p
+)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as int) as rank from (
+  select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from value
+) where part = 'pair' or rank <= 200
 """,
 }

@@ -148,24 +148,25 @@ def top_k(
     picks; candidates are all rows but the query's own id. Products are of whole
     components floor(scale * x) and exact; a tie goes to the smaller id. Rows
     without an id and vectors that are null or hold null or non-finite components
-    take no part. Vectors meet those of their own dimension. Rows that repeat id
-    and vector count once; an id with several vectors is several queries, told
-    apart by ``query_no``. Zero vectors score 0.
+    take no part. Vectors meet those of their own dimension. Every row is a
+    candidate of its own, and a query of its own if it is picked, also one that
+    repeats an id or an id and its vector; queries of one id are told apart by
+    ``query_no``. Zero vectors score 0.
 
-    The candidates are dealt by length, equal lengths by id. Queries go through
+    The candidates are dealt by length, equal lengths by id and equal rows by a
+    draw, so that no task gets all copies of a row. Queries go through
     them in blocks of bounded size, one pass a block; each task keeps the k best
     of each query of the block and prunes by them, starting from thresholds that
     the longest vectors set.
     """
     spark = vectors.sparkSession
     folder = StepFolder(spark, "topk", keep=True)
-    rows = scaled(vectors, id_col, vector_col, scale).dropDuplicates(["id", "vec"])
-    rows = folder.write(
-        rows.repartitionByRange("dim", F.desc("norm"), "id").sortWithinPartitions("dim", F.desc("norm"), "id")
-    )
+    rows = folder.write(scaled(vectors, id_col, vector_col, scale).withColumn("draw", F.rand(7)))
+    order = ["dim", F.desc("norm"), "id", "draw"]
+    rows = folder.write(rows.repartitionByRange(*order).sortWithinPartitions(*order))
     asked = rows.where(is_query)
     blocks = -(-asked.count() // query_block)
-    asked = folder.write(asked.withColumn("block", F.pmod(F.xxhash64("id", "vec"), F.lit(max(1, blocks)))))
+    asked = folder.write(asked.withColumn("block", F.pmod(F.xxhash64("id", "vec", "draw"), F.lit(max(1, blocks)))))
     seeds = rows.orderBy(F.desc("norm"), "id").limit(SEEDS).collect()
     results = None
     for block in range(blocks):

@@ -14,6 +14,9 @@ COLUMNS = {
     "op5_simhash": {"doc_id", "fingerprint", "component_id"},
     "op9_token_counts": {"doc_id", "n_bytes", "n_tokens", "over_limit"},
     "op10_topk": {"query_id", "rank", "vec_id", "score"},
+    "op11_lexical_search": {"item_id", "rank", "doc_id", "score"},
+    "op12_source_divergence": {"lang", "source", "part", "item", "value", "rank"},
+    "op13_sentencepiece": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
 }
 
 
@@ -27,5 +30,5 @@ def test_agreed_columns(name, spark, tiny):
     assert COLUMNS[name] <= set(QUERIES[name](spark, tiny).columns)
 
 
-def test_ten_operators():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+def test_thirteen_operators():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
