@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import math
 import re
-from itertools import combinations
 from typing import NamedTuple
 
 import pyarrow as pa
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +15,10 @@ from termledger.session import StepFolder
 
 MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.9
-MAX_ANTECEDENT = 3
+#: Rules that are kept, and held by every task, at most.
+MAX_RULES = 100_000
+#: Marks the label among a basket's items; no token begins so.
+VERDICT = "verdict="
 _UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _TAIL = re.compile(r"\?([^#]*)")
 
@@ -52,29 +55,18 @@ def split_url(url: str | None) -> tuple[str, str]:
 
 
 def tokens(url: str | None) -> list[str]:
-    """What the miner sees of a url: its host, each host label, path segment and
-    query key, and what is known of the whole."""
+    """What the miner sees of a url, each thing once: the scheme, every label of
+    the host, every segment of the path, with its digits as 0, every key of the
+    query, and the number of segments."""
     host, path = split_url(url)
     if not host:
         return []
-    labels = host.split(".")
     steps = [re.sub(r"\d+", "0", s) for s in path.split("/") if s]
     query = _TAIL.search(url or "")
-    keys = sorted({p.partition("=")[0] for p in query.group(1).split("&")}) if query else []
-    found = {
-        "scheme": url.partition("://")[0].translate(_UPPER),
-        "host": host,
-        "site": ".".join(labels[-2:]),
-        "top": labels[-1],
-        "sub": labels[0] if len(labels) > 2 else "",
-        "first": steps[0] if steps else "",
-        "second": steps[1] if len(steps) > 1 else "",
-        "ending": steps[-1].rpartition(".")[2] if steps and "." in steps[-1] else "",
-        "query": ",".join(keys),
-        "depth": str(min(len(steps), 8)),
-    }
-    parts = [("part", x) for x in labels[:-1]] + [("step", x) for x in steps] + [("key", x) for x in keys]
-    return list(dict.fromkeys(f"{k}={v}" for k, v in [*found.items(), *parts] if v))
+    keys = [p.partition("=")[0] for p in query.group(1).split("&")] if query else []
+    found = [("scheme", url.partition("://")[0].translate(_UPPER)), ("depth", str(len(steps)))]
+    found += [("label", x) for x in host.split(".")] + [("step", x) for x in steps] + [("key", x) for x in keys]
+    return list(dict.fromkeys(f"{k}={v}" for k, v in found if v))
 
 
 def stated(rules: list[Rule]):
@@ -96,57 +88,76 @@ def stated(rules: list[Rule]):
     return find
 
 
+def _support_pruned(baskets: DataFrame, least: int) -> set[str]:
+    """The tokens that lead to a label often enough, one of those that always
+    stand together. There are fewer than a row's tokens over the support."""
+    rows = baskets.select("label", F.xxhash64("tokens", "label").cast("decimal(38,0)").alias("row"), F.explode("tokens").alias("t"))
+    by_label = rows.groupBy("t", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("row").alias("rows"))
+    often = by_label.groupBy("t").agg(F.max("n").alias("most"), F.sum("n").alias("n"), F.sum("rows").alias("rows"))
+    same = often.where(F.col("most") >= least).groupBy("n", "rows").agg(F.min("t").alias("t"))
+    return {r["t"] for r in same.select("t").collect()}
+
+
 def mine(
     labelled: DataFrame,
     min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
-    max_antecedent: int = MAX_ANTECEDENT,
+    max_rules: int = MAX_RULES,
 ) -> list[Mined]:
-    """Association rules from (tokens, label), every row of it.
-
-    Kept are the combinations of ``max_antecedent`` tokens at most that lead to
-    a label with enough support and confidence and have no shorter part that
-    does so at least as surely. Tokens that don't have the support with a label go first,
-    which loses no rule and leaves few different baskets; their combinations are
-    counted by size, as no longer ones are kept. A basket of k frequent tokens
-    makes k ** max_antecedent combinations at most, where FP-growth would go
-    through 2 ** k, so long urls need no cut.
+    """Association rules from (tokens, label), every row of it, by Spark's
+    FP-growth.
+
+    Tokens that don't have the support with a label go first, which loses no
+    rule, and of tokens that always stand together one stays, so that the
+    itemsets don't multiply. FP-growth over the rest, the label among the items,
+    gives the rules from a combination of tokens, of any size, to a label. Rules
+    without the support or confidence go, and so do those of which a smaller part
+    leads to the label at least as surely. If there are more than ``max_rules``
+    of them, the surest are kept, then those with more support.
+
+    FP-growth's itemsets of one url may be as many as the subsets of its frequent
+    tokens; below the support, tokens cost nothing.
     """
     folder = StepFolder(labelled.sparkSession, "url-rules", keep=True)
     baskets = labelled.where("label is not null and size(tokens) > 0")
+    baskets = folder.write(baskets.select(F.array_sort(F.array_distinct("tokens")).alias("tokens"), "label"))
     rows = baskets.count()
     if not rows:
         return []
-    least = math.ceil(rows * min_support - 1e-9)
-    often = baskets.select(F.explode(F.array_distinct("tokens")).alias("t"), "label").groupBy("t", "label").count()
-    # a row's number of tokens over the support bounds how many there are
-    frequent = {r["t"] for r in often.where(F.col("count") >= least).select("t").distinct().collect()}
+    least = max(1, math.ceil(rows * min_support - 1e-9))
+    frequent = _support_pruned(baskets, least)
 
     def run(batches):
         for batch in batches:
-            left = [sorted(frequent.intersection(x.as_py())) for x in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.list_(pa.string())), batch.column(1)], names=["tokens", "label"])
-
-    left = baskets.select("tokens", "label").mapInArrow(run, "tokens array<string>, label string")
-    sets = folder.write(left.groupBy("tokens", "label").agg(F.count(F.lit(1)).alias("n")))
-    sets = sets.select("tokens", "label", "n", F.array().cast("array<string>").alias("set"), F.lit(-1).alias("at"))
-    found = []
-    for _ in range(max_antecedent):
-        sets = sets.where("at + 1 < size(tokens)").withColumn("at", F.expr("explode(sequence(at + 1, size(tokens) - 1))"))
-        sets = sets.withColumn("set", F.concat("set", F.array(F.get("tokens", F.col("at")))))
-        counts = folder.write(sets.groupBy("set", "label").agg(F.sum("n").alias("n")))
-        total = counts.groupBy("set").agg(F.sum("n").alias("total"))
-        sure = counts.where(F.col("n") >= least).join(total, "set").where(F.col("n") / F.col("total") >= min_confidence)
-        found += [
-            Mined(tuple(r["set"]), r["label"], r["n"] / r["total"], r["n"] / rows) for r in sure.collect()
-        ]
-    kept: dict[tuple, Mined] = {}
+            left = [
+                [*sorted(frequent.intersection(own.as_py())), VERDICT + label.as_py()]
+                for own, label in zip(batch.column(0), batch.column(1))
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.list_(pa.string()))], names=["items"])
+
+    items = folder.write(baskets.mapInArrow(run, "items array<string>"))
+    model = FPGrowth(minSupport=(least - 0.5) / rows, minConfidence=min_confidence).fit(items)
+    rules = model.associationRules.select(
+        F.array_sort("antecedent").alias("tokens"), F.col("consequent")[0].alias("verdict"), "confidence", "support"
+    ).where(F.col("verdict").startswith(VERDICT) & ~F.exists("tokens", lambda t: t.startswith(VERDICT)))
+    best = rules.orderBy(F.desc("confidence"), F.desc("support"), F.size("tokens"), "tokens", "verdict").limit(max_rules)
+    found = [
+        Mined(tuple(r["tokens"]), r["verdict"].removeprefix(VERDICT), r["confidence"], r["support"]) for r in best.collect()
+    ]
+    return without_redundant(found)
+
+
+def without_redundant(found: list[Mined]) -> list[Mined]:
+    """The rules of which no smaller part leads to the verdict at least as surely."""
+    kept: dict[tuple[str, str], list[Mined]] = {}
+    out = []
     for rule in sorted(found, key=lambda r: (len(r.tokens), r.tokens, r.verdict)):
-        parts = (p for k in range(1, len(rule.tokens)) for p in combinations(rule.tokens, k))
-        shorter = (kept[rule.verdict, p] for p in parts if (rule.verdict, p) in kept)
-        if not any(r.confidence >= rule.confidence for r in shorter):
-            kept[rule.verdict, rule.tokens] = rule
-    return list(kept.values())
+        have = set(rule.tokens)
+        shorter = (r for t in rule.tokens for r in kept.get((rule.verdict, t), ()))
+        if not any(r.confidence >= rule.confidence and have.issuperset(r.tokens) for r in shorter):
+            kept.setdefault((rule.verdict, rule.tokens[0]), []).append(rule)
+            out.append(rule)
+    return out
 
 
 def matcher(mined: list[Mined]):
