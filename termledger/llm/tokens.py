@@ -77,7 +77,7 @@ def count_tokens(
     ``cache`` is a shared folder with one part per tokenizer version. Contents
     (a null text is the empty one) meet it by SHA-256 digest; of those it
     lacks, each is encoded once, however many rows repeat it, and appended.
-    Null and repeated ids are fine; other columns are left out.
+    Null and repeated ids and rows are fine; other columns are left out.
 
     Only ids and digests are shuffled. The rows to encode are picked by a
     broadcast of the rows to skip, or of those to encode, if either is counted
@@ -92,22 +92,26 @@ def count_tokens(
     )
     known = folder.write(rows.select("id", "digest", F.octet_length("text").cast("long").alias("n_bytes")))
 
-    stored = _cached(spark, store)
-    wanted = folder.write(
-        known.groupBy("digest").agg(F.min("id").alias("id")).join(stored.select("digest"), "digest", "left_anti")
-    )
-    keys = wanted.select(F.col("id").alias("_id"), F.col("digest").alias("_digest"))
+    # of a digest's rows the one to encode, one that no other row equals if there is any
+    rows_of = known.groupBy("id", "digest").agg(F.count(F.lit(1)).alias("n"))
+    chosen = rows_of.groupBy("digest").agg(F.min(F.struct("n", "id")).alias("row"))
+    stored = _cached(spark, store).select("digest")
+    wanted = folder.write(chosen.join(stored, "digest", "left_anti").select("digest", "row.*"))
+    keys = wanted.select(F.col("id").alias("_id"), F.col("digest").alias("_digest"), "n")
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
-    skipped = folder.write(
-        known.select("id", "digest").distinct().join(keys, same, "left_anti").toDF("_id", "_digest")
-    )
-    n_wanted, n_skipped = wanted.count(), skipped.count()
-    if n_wanted:
-        if n_skipped <= min(n_wanted, BROADCAST_ROWS):
+    once, repeated = keys.where("n = 1").drop("n"), keys.where("n > 1").drop("n")
+    skipped = folder.write(rows_of.select("id", "digest").join(once, same, "left_anti").toDF("_id", "_digest"))
+    n_once, n_repeated, n_skipped = once.count(), repeated.count(), skipped.count()
+    if n_once:
+        if n_skipped <= min(n_once, BROADCAST_ROWS):
             misses = rows.join(F.broadcast(skipped), same, "left_anti")
         else:
-            misses = rows.join(broadcast_if_small(keys, n_wanted), same, "left_semi")
+            misses = rows.join(broadcast_if_small(once, n_once), same, "left_semi")
         encode(misses, tokenizer).write.mode("append").parquet(store)
+    if n_repeated:
+        copies = rows.join(broadcast_if_small(repeated, n_repeated), same, "left_semi")
+        one = copies.groupBy("digest").agg(F.first("text").alias("text"))
+        encode(one, tokenizer).write.mode("append").parquet(store)
     return known.join(_cached(spark, store), "digest").select(
         F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
