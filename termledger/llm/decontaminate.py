@@ -193,6 +193,7 @@ def _aligned(pairs: DataFrame, slotted: DataFrame, items: DataFrame, folder: Ste
     slot is read at the shift, among those of the matched windows that cover it,
     that is nearest to the base; of two as near, once the smaller and once the
     larger one.
+
     """
     key = ["doc_text", "item", "item_text"]
     wanted = F.col("c").isin(NUM, NAME, UNIT)
@@ -214,18 +215,31 @@ def _aligned(pairs: DataFrame, slotted: DataFrame, items: DataFrame, folder: Ste
         .select(*key, "j", "a", (F.col("p") - F.col("i")).alias("shift"), F.get("words", F.col("j") - F.col("i")).alias("b"))
         .distinct()
     )
-    read = folder.write(read)
-    bases = read.select(*key, F.col("shift").alias("base")).distinct()
-    far = F.abs(F.col("shift") - F.col("base"))
+    return _nearest(folder.write(read), key)
+
+
+def _nearest(read: DataFrame, key: list[str]) -> DataFrame:
+    """(key, slots) per base and tie, from rows (key, j, a, shift, b): what each
+    slot ``j`` of the item, with the value ``a``, reads at a shift.
+
+    The bases and a slot's shifts are sorted together, and one sweep in each
+    direction gives every base its neighbours, so a pair costs its places times
+    the slots of the item, however often a window repeats.
+    """
+    slots = read.select(*key, "j", "a").distinct()
+    bases = read.select(*key, F.col("shift").alias("at")).distinct().join(slots, key)
+    known = F.struct("shift", "b").alias("known")
+    points = read.select(*key, "j", "a", F.col("shift").alias("at"), known, F.lit(False).alias("asked"))
+    points = points.unionByName(bases.withColumns({"known": F.lit(None), "asked": F.lit(True)}))
+    sweep = Window.partitionBy(*key, "j").rowsBetween(Window.unboundedPreceding, 0)
+    points = points.withColumn("below", F.last("known", True).over(sweep.orderBy("at", "asked")))
+    points = points.withColumn("above", F.last("known", True).over(sweep.orderBy(F.desc("at"), "asked")))
+    down, up = F.col("at") - F.col("below.shift"), F.col("above.shift") - F.col("at")
+    nearest = lambda closer: F.when(F.coalesce(closer, up.isNull()), F.col("below.b")).otherwise(F.col("above.b"))
     return (
-        read.join(bases, key)
-        .groupBy(*key, "base", "j", "a")
-        .agg(
-            F.min_by("b", F.struct(far, F.col("shift"))).alias("low"),
-            F.min_by("b", F.struct(far, -F.col("shift"))).alias("high"),
-        )
-        .select(*key, "base", "a", F.explode(F.create_map(F.lit(0), "low", F.lit(1), "high")).alias("tie", "b"))
-        .groupBy(*key, "base", "tie")
+        points.where("asked")
+        .select(*key, "at", "a", F.explode(F.create_map(F.lit(0), nearest(down <= up), F.lit(1), nearest(down < up))).alias("tie", "b"))
+        .groupBy(*key, "at", "tie")
         .agg(F.collect_list(F.struct("a", "b")).alias("slots"))
-        .drop("base", "tie")
+        .drop("at", "tie")
     )

@@ -130,6 +130,36 @@ def test_own_words_whatever_the_marks_and_capitals(spark):
     assert not any(d == len(texts) - 1 for d, _ in out)
 
 
+def test_nearest_shifts_by_nested_loops(spark):
+    """Every base against every read of every slot."""
+    draw = random.Random(3)
+    read = sorted({(draw.choice("xy"), j, f"a{j % 3}", draw.randrange(-30, 60)) for _ in range(120) for j in [draw.randrange(5)]})
+    read = [(*r, f"b{(r[3] * 7 + r[1]) % 5}") for r in read]
+    expected = []
+    for pair in "xy":
+        own = [r for r in read if r[0] == pair]
+        for base in {r[3] for r in own}:
+            for sign in (1, -1):
+                slots = []
+                for j in {r[1] for r in own}:
+                    best = min((r for r in own if r[1] == j), key=lambda r: (abs(r[3] - base), sign * r[3]))
+                    slots.append((best[2], best[4]))
+                expected.append((pair, sorted(slots)))
+    frame = spark.createDataFrame(read, "pair string, j int, a string, shift int, b string").repartition(3)
+    found = [(r.pair, sorted((s.a, s.b) for s in r.slots)) for r in decontaminate._nearest(frame, ["pair"]).collect()]
+    assert sorted(found) == sorted(expected)
+
+
+def test_a_long_document_of_numbers(spark):
+    """Its windows repeat at every place; the table of numbers holds the item's template."""
+    item = "Sum " + " ".join(str(n) for n in range(1, 13))
+    text = "Sum " + " ".join(str(n) for n in range(1, 30_000))
+    other = "Sum " + " ".join("7" for _ in range(3_000))
+    out = found(spark, [text, other, "Nothing of the kind"], [item])
+    assert set(out) == {(0, 0), (1, 0)} or set(out) == {(0, 0)}
+    assert out[0, 0].kind == "exact" and out[0, 0].slot_agreement == 1.0
+
+
 def test_stages_tell_rows_apart_by_id_and_text(spark, tiny):
     """A third of the rows lacks an id; ids repeat with different texts."""
     draw = random.Random(31)
@@ -171,17 +201,24 @@ def test_url_rules_see_the_whole_url(spark):
     out = url_rules.judge(pages, [], labels, min_support=0.02).collect()
     assert {r.page_id: r.verdict for r in out} == {n: v for n, _, v in rows}
 
-    baskets = [(set(url_rules.tokens(u)[:14]), v) for _, u, v in rows[:60]]
+    # by nested loops over all combinations, of tokens that always stand together one
+    baskets = [(set(url_rules.tokens(u)), v) for _, u, v in rows[:60]]
     frame = spark.createDataFrame([(sorted(t), v) for t, v in baskets], "tokens array<string>, label string")
-    singles = sorted({t for b, _ in baskets for t in b})
+    standing = {}
+    for t in sorted({t for b, _ in baskets for t in b}):
+        standing.setdefault(tuple(t in b for b, _ in baskets), t)
+    singles = [t for at, t in standing.items() if sum(at) >= 6]
+    assert 8 < len(singles) < 14
     sure = {}
-    for k in (1, 2):
-        for c in itertools.combinations(singles, k):
+    for k in range(1, len(singles) + 1):
+        for c in itertools.combinations(sorted(singles), k):
             labels = [v for b, v in baskets if b.issuperset(c)]
             for v in set(labels):
                 n, surety = labels.count(v), labels.count(v) / len(labels)
-                parts = [sure.get(((t,), v), 0) for t in c] if k > 1 else []
-                if n >= 6 and surety >= 0.9 and not any(p >= surety for p in parts):
+                if n >= 6 and surety >= 0.9 and not any(
+                    s >= surety and w == v and set(part) < set(c) for (part, w), s in sure.items()
+                ):
                     sure[c, v] = surety
-    mined = url_rules.mine(frame, min_support=0.1, max_antecedent=2)
+    mined = url_rules.mine(frame, min_support=0.1)
     assert {(r.tokens, r.verdict): r.confidence for r in mined} == sure
+    assert any(len(tokens) > 1 for tokens, _ in sure)
