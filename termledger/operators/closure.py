@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from termledger.session import StepFolder
+from termledger.session import StepFolder, remove_at_end, work_dir
 
 
 def transitive_closure(
@@ -20,45 +23,63 @@ def transitive_closure(
     of the known pairs with themselves: logarithmic rounds, yet a pair is
     derived once per node of one layer and not once per node of its path.
 
-    One aggregation merges known and derived pairs; the minimum keeps the
-    shortest distance, and map-side combining drops repeats before the shuffle.
-    A cycle ends like any other graph and leaves (x, x) pairs, which
-    :func:`closure_cycles` reports.
+    The pairs are stored by distance, a folder each, and a layer is read by its
+    folder. A round appends the pairs that it is the first to derive and writes
+    no other pair again. One aggregation finds those: the minimum over known and
+    derived pairs is the shortest distance, beyond ``reach`` for new pairs alone,
+    and map-side combining drops repeats before the shuffle. A cycle ends like
+    any other graph and leaves (x, x) pairs, which :func:`closure_cycles` reports.
     """
     spark = edges.sparkSession
-    steps = StepFolder(spark, "closure")
-    pairs = edges.select(
-        F.col(sub).alias("sub"), F.col(super_).alias("super"), F.lit(1).alias("distance")
-    ).where(F.col("sub").isNotNull() & F.col("super").isNotNull())
-    known = steps.write(pairs.distinct())
+    pairs = edges.select(F.col(sub).alias("sub"), F.col(super_).alias("super")).dropna()
+    store = LayerStore(spark, "closure", pairs.schema)
+    store.append(pairs.distinct().withColumn("distance", F.lit(1)))
     reach = 1
     while True:
-        layer = known.where(F.col("distance") == reach).select(
-            F.col("sub"), F.col("super").alias("via")
-        )
+        known = store.read()
+        layer = known.where(F.col("distance") == reach).select(F.col("sub"), F.col("super").alias("via"))
         derived = layer.join(known.withColumnRenamed("sub", "via"), "via").select(
             "sub", "super", (F.col("distance") + reach).alias("distance")
         )
-        seen = Observation()
-        merged = (
-            known.unionByName(derived)
-            .groupBy("sub", "super")
-            .agg(F.min("distance").alias("distance"))
-            .observe(seen, F.max("distance").alias("longest"))
-        )
-        known = steps.write(merged)
+        shortest = known.unionByName(derived).groupBy("sub", "super").agg(F.min("distance").alias("distance"))
+        longest = store.append(shortest.where(F.col("distance") > reach))
         reach *= 2
         # A longer path would start with one of exactly `reach` edges.
-        if (seen.get["longest"] or 0) < reach:
+        if longest < reach:
             break
-    return known.select(F.col("sub").alias(sub), F.col("super").alias(super_))
+    return store.read().select(F.col("sub").alias(sub), F.col("super").alias(super_))
+
+
+class LayerStore:
+    """Pairs in a private folder, partitioned by distance; rounds are appended."""
+
+    def __init__(self, spark: SparkSession, name: str, schema: StructType):
+        self._spark, self.schema = spark, schema
+        self.path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self._new = True
+
+    def append(self, pairs: DataFrame) -> int:
+        """Add pairs at new distances; the largest of these, 0 if there is none."""
+        seen = Observation()
+        found = pairs.observe(seen, F.max("distance").alias("longest"))
+        found.write.mode("append").partitionBy("distance").parquet(self.path)
+        if self._new:
+            remove_at_end(self._spark, self.path)
+            self._new = False
+        return seen.get["longest"] or 0
+
+    def read(self) -> DataFrame:
+        pairs = [f"{f.name} {f.dataType.simpleString()}" for f in self.schema]
+        return self._spark.read.schema(", ".join([*pairs, "distance int"])).parquet(self.path)
 
 
 def ancestors(closure: DataFrame, concept_id: int) -> DataFrame:
+    """From the stored closure; a copy sorted by the sub-concept reads some pages."""
     return closure.where(F.col("sub_concept_id") == concept_id).select("super_concept_id")
 
 
 def descendants(closure: DataFrame, concept_id: int) -> DataFrame:
+    """From the stored closure; a copy sorted by the super-concept reads some pages."""
     return closure.where(F.col("super_concept_id") == concept_id).select("sub_concept_id")
 
 

@@ -72,15 +72,18 @@ def compare(
     id_col: str = "member_id",
     supplied_id: bool = False,
     version: str = VERSION,
+    colocated: bool = False,
 ) -> DataFrame:
     """Meet a history with the active set a new release should have.
 
     One full outer join of the snapshot with the target replaces the set
-    differences and the intersection. The snapshot is grouped by the key, so it
-    arrives at the join partitioned and sorted: each side is shuffled once.
-    Versions are combined before that shuffle and both sides hold a key once
-    when they meet, so no key can be frequent. Name the most selective key
-    column first: the sorts compare it first. A stored snapshot may stand in
+    differences and the intersection. Each side is dealt by the key once, and
+    a history that is stored so, ``colocated``, not at all. The snapshot groups
+    by the key and the id it stands for, where the rows lie: its buffers are
+    flags, numbers and dates, so it is a hash aggregate, and it arrives at the
+    join partitioned. A key has one row a release at most, and both sides hold a
+    key once when they meet, so no key can be frequent. Name the most selective
+    key column first: the sorts compare it first. A stored snapshot may stand in
     for the history; it has the same latest versions.
 
     Returns one row per key: ``change``, the id, the version it had, and for
@@ -99,7 +102,8 @@ def compare(
     """
     key, values = list(key), list(values)
     module = [MODULE] if MODULE in full.columns else []
-    before = snapshot(full.select(id_col, version, "active", *key, *values, *module), key, version)
+    rows = full.select(id_col, version, "active", *key, *values, *module)
+    before = snapshot(rows if colocated else rows.repartition(*key), [*key, id_col], version)
     after = target.select(
         *key,
         F.lit(True).alias("_wanted"),

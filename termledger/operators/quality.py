@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -59,6 +60,108 @@ def too_long(df: DataFrame, widths: Mapping[str, int]) -> DataFrame:
     return df.where(reduce(Column.__or__, [F.char_length(c) > n for c, n in widths.items()], F.lit(False)))
 
 
+@dataclass(frozen=True)
+class Constraints:
+    """What a table declares of its rows, each under the name of its check.
+
+    ``keys`` are primary keys, in which nulls are equal; a null in a ``unique``
+    key repeats nothing. ``checks`` are predicates, of which an unknown result
+    passes. ``widths`` are in characters. ``row`` names a row in the result.
+    """
+
+    row: Sequence[str]
+    keys: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    unique: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    not_null: Sequence[str] = ()
+    widths: Mapping[str, int] = field(default_factory=dict)
+    checks: Mapping[str, Column] = field(default_factory=dict)
+
+    @property
+    def names(self) -> list[str]:
+        return [*self.keys, *self.unique, *["nulls"] * bool(self.not_null), *["width"] * bool(self.widths), *self.checks]
+
+
+def broken(df: DataFrame, declared: Constraints) -> DataFrame:
+    """(check, key, n): all constraints of a table in one scan.
+
+    A row becomes one entry per key and one per check that it breaks, tagged
+    with the check's name. One aggregation over the entries, combined before the
+    only shuffle, counts them; what is left are keys that repeat, and the rows,
+    by the columns that name them, which break a check. A frequent key is one
+    entry a task when it is shuffled.
+    """
+    def entry(name: str, columns: Sequence[str], is_key: bool) -> Column:
+        key = F.array(*[F.col(c).cast("string") for c in columns])
+        return F.struct(F.lit(name).alias("check"), key.alias("key"), F.lit(is_key).alias("is_key"))
+
+    def row(name: str, bad: Column) -> Column:
+        return F.when(bad, entry(name, declared.row, False))
+
+    either = lambda conditions: reduce(Column.__or__, conditions)
+    entries = [entry(name, columns, True) for name, columns in declared.keys.items()]
+    for name, columns in declared.unique.items():
+        entries.append(F.when(~either([F.col(c).isNull() for c in columns]), entry(name, columns, True)))
+    if declared.not_null:
+        entries.append(row("nulls", either([F.col(c).isNull() for c in declared.not_null])))
+    if declared.widths:
+        entries.append(row("width", either([F.char_length(c) > n for c, n in declared.widths.items()])))
+    entries += [row(name, ~predicate) for name, predicate in declared.checks.items()]
+    tagged = df.select(F.explode(F.array_compact(F.array(*entries))).alias("entry")).select("entry.*")
+    counted = tagged.groupBy("check", "key", "is_key").agg(F.count(F.lit(1)).alias("n"))
+    return counted.where(~F.col("is_key") | (F.col("n") > 1)).drop("is_key")
+
+
+class Checks(Mapping[str, DataFrame]):
+    """Checks by name, each a table of violations that is planned when it is
+    asked for: to build the checks starts no job, and one that is never asked for
+    costs nothing. Declared constraints of a table share one scan in ``counts``."""
+
+    def __init__(self):
+        self._steps: dict[str, Callable[[], DataFrame]] = {}
+        self._declared: dict[str, tuple[DataFrame, Constraints]] = {}
+        self._built: dict[str, DataFrame] = {}
+
+    def add(self, name: str, step: Callable[[], DataFrame]) -> None:
+        self._steps[name] = step
+
+    def declare(self, table: str, df: DataFrame, declared: Constraints) -> None:
+        """The constraints of a table, as the checks ``table constraint``."""
+        if not declared.names:
+            return
+        self._declared[table] = (df, declared)
+        for name in declared.names:
+            self.add(f"{table} {name}", lambda name=name: self.broken(table).where(F.col("check") == name))
+
+    def broken(self, table: str) -> DataFrame:
+        """All violations of a table's declared constraints, from one scan."""
+        return broken(*self._declared[table])
+
+    def counts(self) -> DataFrame:
+        """(name, n) for every check: repeated keys, or violating rows. What a
+        table declares takes one scan of it."""
+        parts = []
+        for table, (_, declared) in self._declared.items():
+            keys = [*declared.keys, *declared.unique]
+            n = F.when(F.col("check").isin(keys), 1).otherwise(F.col("n"))
+            named = [F.sum(F.when(F.col("check") == c, n).otherwise(0)).alias(c) for c in declared.names]
+            counted = self.broken(table).agg(*named).unpivot([], declared.names, "name", "n")
+            parts.append(counted.select(F.concat_ws(" ", F.lit(table), "name").alias("name"), F.coalesce("n", F.lit(0)).alias("n")))
+        declared = {f"{table} {name}" for table, (_, own) in self._declared.items() for name in own.names}
+        others = {name: self[name] for name in self if name not in declared}
+        return reduce(DataFrame.unionByName, [*parts, *([check_counts(others)] if others else [])])
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._steps[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._steps)
+
+    def __len__(self) -> int:
+        return len(self._steps)
+
+
 def fd_violations(df: DataFrame, lhs: Sequence[str], rhs: Sequence[str]) -> DataFrame:
     """Left values that stand for more than one right value.
 

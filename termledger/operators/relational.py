@@ -103,15 +103,29 @@ def max_length(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def _same_key(df: DataFrame, keys: Sequence[str], table: DataFrame, how: str) -> DataFrame:
+    """A semi- or anti-join on keys of which nulls are equal."""
+    other = table.select(*[F.col(k).alias(f"_key_{n}") for n, k in enumerate(keys)])
+    same = reduce(Column.__and__, [df[k].eqNullSafe(other[f"_key_{n}"]) for n, k in enumerate(keys)])
+    return df.join(other, same, how)
+
+
 def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """First row of every key in the given order.
+    """First row of every key in the given order; null keys are equal.
 
-    The minimum over a struct combines before the shuffle, so a key that holds
-    a large part of the rows sends one row per task.
+    Keys are counted first, without the rest of the row, in a hash aggregate.
+    Those that repeat are written, so their size is known; if it is small, the
+    rows of single keys pass as they lie, neither shuffled nor sorted. Only rows
+    of repeated keys are ordered: the minimum over a struct combines before the
+    shuffle, so a key that holds a large part of the rows sends one row per task.
     """
+    steps = StepFolder(df.sparkSession, "dedupe-first", keep=True)
+    repeated = steps.write(count_by(df, keys).where("n > 1").select(*keys))
     rest = [c for c in df.columns if c not in {*keys, *order_by}]
-    first = df.groupBy(*keys).agg(F.min(F.struct(*order_by, *rest)).alias("first"))
-    return first.select(*keys, "first.*").select(*df.columns)
+    several = _same_key(df, keys, repeated, "left_semi")
+    first = several.groupBy(*keys).agg(F.min(F.struct(*order_by, *rest)).alias("first"))
+    single = _same_key(df, keys, repeated, "left_anti")
+    return single.unionByName(first.select(*keys, "first.*").select(*df.columns))
 
 
 def load_unique(
@@ -121,13 +135,19 @@ def load_unique(
 
     Rows whose keys all occur once are kept as they are; finding them shuffles
     keys, not rows. Among the others a skipped row blocks no later one, so keys
-    cannot be handled one after the other. Each round keeps the rows that come
-    first under all their keys among the rows left, and drops the rows these
-    block; the earliest row left is always kept, so the rounds end. A key with a
-    null in it repeats nothing, as in a unique constraint.
+    cannot be handled one after the other. A round decides every row that is the
+    first under all its keys, which is kept, and every row behind it along a
+    chain on which each has one row before it under its keys: it is kept if that
+    one is not. Chains are followed by pointer doubling, so a chain takes rounds
+    by the logarithm of its length. Rows that a kept row blocks go, and the next
+    round meets what is left; the earliest row left is always decided, so the
+    rounds end. A key with a null in it repeats nothing, as in a unique
+    constraint.
 
     ``order_by`` must be unique. Rows are written once at the start so that
-    positions taken from a file scan stay as they are.
+    positions taken from a file scan stay as they are. The two earliest rows of
+    a key come from aggregations that combine before the shuffle, so no key is
+    too frequent.
     """
     steps = StepFolder(df.sparkSession, "load-unique", keep=True)
     rows = steps.write(df)
@@ -141,13 +161,49 @@ def load_unique(
     kept = [marked.where(~repeats).select(*df.columns)]
     left = steps.write(marked.where(repeats).select(*df.columns))
     while not left.isEmpty():
-        winners = left
-        for keys in unique:
-            first = left.dropna(subset=list(keys)).groupBy(*keys).agg(F.min(order_by).alias("_first"))
-            met = winners.join(first, list(keys), "left")
-            winners = met.where(F.col("_first").isNull() | (F.col("_first") == F.col(order_by))).drop("_first")
-        kept.append(steps.write(winners.select(*df.columns)))
+        decided = _decided(left, unique, order_by, steps)
+        kept.append(steps.write(left.join(decided, left[order_by] == decided["_row"], "left_semi")))
         for keys in unique:
             left = anti_join(left, kept[-1], keys)
         left = steps.write(left)
     return reduce(DataFrame.unionByName, kept)
+
+
+def _decided(left: DataFrame, unique: Sequence[Sequence[str]], order_by: str, steps: StepFolder) -> DataFrame:
+    """The rows, as ``_row``, that are kept whatever happens to the others."""
+    met, before, several = left.select(order_by, *{k: None for keys in unique for k in keys}), [], F.lit(False)
+    for number, keys in enumerate(unique):
+        first, second = f"_first_{number}", f"_second_{number}"
+        complete = left.dropna(subset=list(keys))
+        least = complete.groupBy(*keys).agg(F.min(order_by).alias(first))
+        later = complete.join(least, list(keys)).where(F.col(order_by) > F.col(first))
+        least = least.join(later.groupBy(*keys).agg(F.min(order_by).alias(second)), list(keys), "left")
+        met = met.join(least, list(keys), "left")
+        before.append(F.when(F.col(order_by) == F.col(second), F.col(first)))
+        several |= F.coalesce(F.col(order_by) > F.col(second), F.lit(False))
+    before = F.array_distinct(F.array_compact(F.array(*before)))
+    nodes = met.where(~several).select(F.col(order_by).alias("_row"), before.alias("_before")).where("size(_before) < 2")
+    # a row hangs on the one before it; _odd: it is kept if that one is not
+    nodes = steps.write(nodes.select("_row", F.get("_before", F.lit(0)).alias("_on"), (F.size("_before") == 1).alias("_odd")))
+    while True:
+        nodes = steps.write(_jump(_jump(nodes.withColumn("_moved", F.lit(False)))))
+        if nodes.where("_moved").isEmpty():
+            break
+    roots = nodes.where("_on is null").select(F.col("_row").alias("_root"))
+    even = nodes.where("not _odd").join(roots, F.col("_on") == F.col("_root"), "left_semi")
+    return roots.toDF("_row").unionByName(even.select("_row"))
+
+
+def _jump(nodes: DataFrame) -> DataFrame:
+    """Each row hangs on what the row it hung on hangs on, if that is anything."""
+    on = nodes.where("_on is not null").select(
+        F.col("_row").alias("_at"), F.col("_on").alias("_next"), F.col("_odd").alias("_next_odd")
+    )
+    met = nodes.join(on, F.col("_on") == F.col("_at"), "left")
+    moves = F.col("_next").isNotNull()
+    return met.select(
+        "_row",
+        F.when(moves, F.col("_next")).otherwise(F.col("_on")).alias("_on"),
+        F.when(moves, F.col("_odd") != F.col("_next_odd")).otherwise(F.col("_odd")).alias("_odd"),
+        (F.col("_moved") | moves).alias("_moved"),
+    )

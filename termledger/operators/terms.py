@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termledger import constants as K
@@ -49,8 +51,8 @@ def _named(descriptions: DataFrame, term: str, prefix: str) -> DataFrame:
     )
 
 
-def _dialect_terms(described: DataFrame, acceptability: int) -> DataFrame:
-    return described.where(
+def _dialect_term(acceptability: int) -> Column:
+    return (
         (F.col("active") == 1)
         & (F.col("language_code") == "en")
         & (F.col("type_id") == K.SYNONYM)
@@ -59,11 +61,11 @@ def _dialect_terms(described: DataFrame, acceptability: int) -> DataFrame:
 
 
 def preferred_terms(described: DataFrame) -> DataFrame:
-    return _named(_dialect_terms(described, K.PREFERRED), "preferred_term", "preferred_term")
+    return _named(described.where(_dialect_term(K.PREFERRED)), "preferred_term", "preferred_term")
 
 
 def synonyms(described: DataFrame) -> DataFrame:
-    return _named(_dialect_terms(described, K.ACCEPTABLE), "synonym_term", "synonym")
+    return _named(described.where(_dialect_term(K.ACCEPTABLE)), "synonym_term", "synonym")
 
 
 def fully_specified_names(descriptions: DataFrame) -> DataFrame:
@@ -113,6 +115,56 @@ def active_concepts(named: DataFrame, legacy_codes: DataFrame) -> DataFrame:
     return enrich(named.where(F.col("concept_active") == 1), codes, ["concept_id"])
 
 
+# Kinds of names of a concept, as arrays of one grouped pass: prefix of the columns, column of the term.
+_KINDS = {
+    "full_names": ("fully_specified_name", "fully_specified_name"),
+    "preferred": ("preferred_term", "preferred_term"),
+    "accepted": ("synonym", "synonym_term"),
+}
+
+
+def names_by_concept(described: DataFrame) -> DataFrame:
+    """(concept_id, full_names, preferred, accepted): all names of a concept from
+    one conditional aggregation of the descriptions, which have met the dialect
+    once. A concept has a few names, so an array is short."""
+    name = F.struct(
+        "description_id", "term", flag(F.col("case_significance_id") == K.CASE_SENSITIVE).alias("case_significant")
+    )
+    full = (F.col("active") == 1) & (F.col("type_id") == K.FULLY_SPECIFIED_NAME)
+    wanted = {"full_names": full, "preferred": _dialect_term(K.PREFERRED), "accepted": _dialect_term(K.ACCEPTABLE)}
+    return described.where(reduce(Column.__or__, wanted.values())).groupBy("concept_id").agg(
+        *[F.collect_list(F.when(kind, name)).alias(column) for column, kind in wanted.items()]
+    )
+
+
+def _spread(rows: DataFrame, column: str) -> DataFrame:
+    """A row per name of one kind, under the column names of the kind."""
+    prefix, term = _KINDS[column]
+    return rows.withColumn("_name", F.explode(column)).withColumns({
+        f"{prefix}_description_id": F.col("_name.description_id"),
+        term: F.col("_name.term"),
+        f"{prefix}_case_significant": F.col("_name.case_significant"),
+    }).drop("_name", column)
+
+
+def concepts_with_names(concept_rows: DataFrame, names: DataFrame) -> DataFrame:
+    """As :func:`concepts`, from the grouped names, with the ``accepted`` ones:
+    the concept table meets one table of names."""
+    spread = _spread(_spread(names, "full_names"), "preferred")
+    rows = concept_rows.select(
+        "concept_id",
+        F.col("effective_time").alias("concept_effective_time"),
+        F.col("active").alias("concept_active"),
+        flag(F.col("definition_status_id") == K.FULLY_DEFINED).alias("fully_defined"),
+    )
+    return rows.join(spread, "concept_id")
+
+
+def spread_synonyms(named: DataFrame) -> DataFrame:
+    """As :func:`concept_synonyms`, from concepts with their ``accepted`` names."""
+    return _spread(named, "accepted")
+
+
 def concept_synonyms(concept: DataFrame, synonym: DataFrame) -> DataFrame:
     """One row per synonym with all columns of its concept."""
     return natural_join(concept, synonym)

@@ -7,9 +7,22 @@ closure is a recursive query, so agreement is more than a tautology.
 from __future__ import annotations
 
 from termledger import constants as K
-from termledger.functions.check_digit import INVERSE, MULTIPLICATION, PERMUTATION
 from termledger.plans import queries as Q
 
+# The digit tables by their rules, apart from those of the engine: the group of
+# the turns 0-4 and flips 5-9 of a pentagon, powers of one permutation, inverses.
+def _turn_or_flip(x: int, y: int) -> int:
+    turned = x % 5 + (y % 5 if x < 5 else -(y % 5))
+    return turned % 5 + (5 if (x < 5) != (y < 5) else 0)
+
+
+FIRST_PERMUTATION = "1576283094"
+MULTIPLICATION = ["".join(str(_turn_or_flip(x, y)) for y in range(10)) for x in range(10)]
+PERMUTATION = ["0123456789"]
+for _ in range(7):
+    PERMUTATION.append("".join(PERMUTATION[-1][int(digit)] for digit in FIRST_PERMUTATION))
+INVERSE = "".join(str(MULTIPLICATION[x].index("0")) for x in range(10))
+
 # View texts: name -> (views it needs, text).
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {}
 

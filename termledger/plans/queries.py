@@ -581,15 +581,20 @@ def concept_active_or_inactive(spark, sf_dir):
 
 @query
 def concept(spark, sf_dir):
-    codes = fx.fx_read_term(spark, sf_dir).select(
+    return terms.active_concepts(concept_active_or_inactive(spark, sf_dir), _legacy_codes(spark, sf_dir))
+
+
+def _legacy_codes(spark, sf_dir):
+    return fx.fx_read_term(spark, sf_dir).select(
         F.col("read_code").cast("bigint").alias("concept_id"), F.col("read_code").alias("ctv3_code")
     )
-    return terms.active_concepts(concept_active_or_inactive(spark, sf_dir), codes)
 
 
 @query
 def concept_synonym(spark, sf_dir):
-    return terms.concept_synonyms(concept(spark, sf_dir), synonym_term(spark, sf_dir))
+    names = terms.names_by_concept(_described(spark, sf_dir))
+    named = terms.concepts_with_names(fx.fx_concept(spark, sf_dir), names)
+    return terms.spread_synonyms(terms.active_concepts(named, _legacy_codes(spark, sf_dir)))
 
 
 @query

@@ -1,8 +1,9 @@
 """The three release jobs: load and derive, roll an extension forward, print.
 
 Each job is a set of DataFrames cut by Parquet stages under one base folder.
-Histories are partitioned by release date: a release adds one partition and
-reads the older ones, so a rerun gives the same result.
+Histories are partitioned by release date and bucketed by their key: a release
+adds one partition and meets the older ones where they lie, and a rerun gives
+the same result.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -22,11 +24,13 @@ from termledger.functions import text
 from termledger.operators import closure, history, identifiers, quality, refsets, terms
 from termledger.operators import relational as rel
 from termledger.schemas import Component
-from termledger.sources.readers import LINE, read_delimited, read_rf2
-from termledger.sources.writers import materialize, replace_release, write_rf2
+from termledger.session import remove
+from termledger.sources.readers import LINE, Lines, scan_delimited, scan_rf2
+from termledger.sources.writers import materialize, materialize_bucketed, replace_bucketed_release, write_rf2
 
 Paths = str | Sequence[str]
 VERSION = history.VERSION
+REJECT = "file string, line bigint, reason string, text string"
 
 
 @dataclass(frozen=True)
@@ -117,13 +121,46 @@ class Stages:
     spark: SparkSession
     base: str
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    bucketed_by: dict[str, Sequence[str]] = field(default_factory=dict)
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 
-    def save(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        self.tables[name] = materialize(df, self.path(name), partition_by)
-        return self.tables[name]
+    @property
+    def buckets(self) -> int:
+        """As many as a shuffle has partitions, so that neither side of a join is dealt anew."""
+        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def save(self, name: str, df: DataFrame, sort_by: Sequence[str] = ()) -> DataFrame:
+        return self.view(name, materialize(df, self.path(name), sort_by=sort_by))
+
+    def save_history(self, name: str, df: DataFrame, key: Sequence[str]) -> DataFrame:
+        """A history, partitioned by release date and bucketed by its key."""
+        self.bucketed_by[name] = key
+        return self.view(name, materialize_bucketed(df, self.path(name), key, self.buckets, [VERSION]))
+
+    def load(self, name: str, lines: Lines, key: Sequence[str] = ()) -> DataFrame:
+        """Save the readable lines of some files as a table and the others as
+        its rejects, so that every line is in one of the two.
+
+        The lines are counted while they are read, so files without a bad line
+        are read once; only those with one are read again for the rejects, and
+        those without a good one, of which Spark drops the count. With a ``key``
+        the table is a history.
+        """
+        seen = Observation()
+        rows = lines.counted(seen)
+        table = self.save_history(name, rows, key) if key else self.save(name, rows)
+        try:
+            rejects = seen.get["rejects"] > 0
+        except Py4JJavaError:
+            rejects = lines.has_rejects
+        if rejects:
+            self.save(f"{name}_rejects", lines.rejects)
+        else:
+            remove(self.spark, self.path(f"{name}_rejects"))
+            self.view(f"{name}_rejects", self.spark.createDataFrame([], REJECT))
+        return table
 
     def view(self, name: str, df: DataFrame) -> DataFrame:
         """A table that is cheap enough to stay a query over saved ones."""
@@ -131,10 +168,8 @@ class Stages:
         return df
 
     def add_release(self, name: str, rows: DataFrame) -> DataFrame:
-        schema, columns = self.tables[name].schema, self.tables[name].columns
-        replace_release(rows.select(*columns), self.path(name), VERSION)
-        read = self.spark.read.schema(schema).parquet(self.path(name)).select(*columns)
-        return self.view(name, read)
+        rows = rows.select(*self.tables[name].columns)
+        return self.view(name, replace_bucketed_release(rows, self.path(name), self.bucketed_by[name], self.buckets))
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -146,16 +181,18 @@ class Stages:
 def load_international(spark: SparkSession, files: InternationalFiles, base: str) -> Stages:
     """Read an international release and derive its query layer."""
     t = Stages(spark, base)
-    t.save("concept_load", read_rf2(spark, files.concept, S.CONCEPT_SNAPSHOT))
-    t.save("description_load", read_rf2(spark, files.description, S.DESCRIPTION_SNAPSHOT))
-    t.save("relationship_load", read_rf2(spark, files.relationship, S.RELATIONSHIP_SNAPSHOT))
-    t.save("language_load", read_rf2(spark, files.language, S.LANGUAGE_SNAPSHOT))
-    t.save("map_load", read_rf2(spark, files.simple_map, S.SIMPLE_MAP_SNAPSHOT))
+    t.load("concept_load", scan_rf2(spark, files.concept, S.CONCEPT_SNAPSHOT))
+    t.load("description_load", scan_rf2(spark, files.description, S.DESCRIPTION_SNAPSHOT))
+    t.load("relationship_load", scan_rf2(spark, files.relationship, S.RELATIONSHIP_SNAPSHOT))
+    t.load("language_load", scan_rf2(spark, files.language, S.LANGUAGE_SNAPSHOT))
+    t.load("map_load", scan_rf2(spark, files.simple_map, S.SIMPLE_MAP_SNAPSHOT))
     if files.extended_map:
-        t.save("extended_map_load", read_rf2(spark, files.extended_map, S.EXTENDED_MAP_SNAPSHOT))
+        t.load("extended_map_load", scan_rf2(spark, files.extended_map, S.EXTENDED_MAP_SNAPSHOT))
     if files.stated_relationship:
-        stated = read_rf2(spark, files.stated_relationship, S.STATED_RELATIONSHIP_SNAPSHOT)
-        t.save("stated_relationship", terms.active_relationships(stated).drop("is_inferred"))
+        stated = t.load(
+            "stated_relationship_load", scan_rf2(spark, files.stated_relationship, S.STATED_RELATIONSHIP_SNAPSHOT)
+        )
+        t.view("stated_relationship", terms.active_relationships(stated).drop("is_inferred"))
 
     t.save("ctv3_map", terms.simple_map(t["map_load"], K.LEGACY_CODE_MAP_REFSET))
     t.view("relationship", terms.active_relationships(t["relationship_load"]))
@@ -175,7 +212,9 @@ def load_international(spark: SparkSession, files: InternationalFiles, base: str
     t.view("concept_synonym", terms.concept_synonyms(t["concept"], t["synonym_term"]))
 
     core = terms.core_relationships(t["relationship_load"])
-    t.save("is_a", closure.transitive_closure(terms.is_a_edges(core)))
+    pair = ["sub_concept_id", "super_concept_id"]
+    t.save("is_a", closure.transitive_closure(terms.is_a_edges(core)), sort_by=pair)
+    t.save("is_a_by_super", t["is_a"], sort_by=pair[::-1])
     for role, type_id in (
         ("assoc_morph", K.ASSOCIATED_MORPHOLOGY),
         ("finding_site", K.FINDING_SITE),
@@ -184,72 +223,73 @@ def load_international(spark: SparkSession, files: InternationalFiles, base: str
         t.view(role, rel.role_view(t["concept"], role, "concept_id", "fully_specified_name"))
 
     if files.legacy_codes:
-        t.save("read_tab", read_delimited(spark, files.legacy_codes, S.LEGACY_CODES))
+        t.load("read_tab", scan_delimited(spark, files.legacy_codes, S.LEGACY_CODES))
     if files.legacy_terms:
-        legacy = t.save("read_term_load", read_delimited(spark, files.legacy_terms, S.LEGACY_TERMS))
+        legacy = t.load("read_term_load", scan_delimited(spark, files.legacy_terms, S.LEGACY_TERMS))
         t.save("read_term", terms.read_terms(legacy))
     return t
 
 
-def _width_checks(t: Stages, loaded: Mapping[str, StructType]) -> dict[str, DataFrame]:
-    """Texts that a column of the declared width would have cut."""
-    return {
-        f"{name} width": quality.too_long(t[name], S.widths(schema))
-        for name, schema in loaded.items()
-        if name in t.tables and S.widths(schema)
-    }
+def _declare(to: quality.Checks, t: Stages, name: str, row: Sequence[str], **declared) -> None:
+    """Constraints of a table, if the job has it."""
+    if name in t.tables:
+        to.declare(name, t[name], quality.Constraints(row, **declared))
 
 
-def international_checks(t: Stages) -> dict[str, DataFrame]:
+def international_checks(t: Stages) -> quality.Checks:
     """Constraints of the loaded and derived tables, as violating rows."""
-    keys = {
-        "concept_load": ["concept_id"],
-        "description_load": ["description_id"],
-        "relationship_load": ["relationship_id"],
-        "language_load": ["member_id"],
-        "map_load": ["id"],
-        "ctv3_map": ["concept_id"],
-        "dialect": ["description_id"],
-        "preferred_term": ["concept_id"],
-        "synonym_term": ["synonym_description_id"],
-        "fully_specified_name": ["concept_id"],
-        "description_active": ["description_id"],
-        "concept": ["concept_id"],
-        "is_a": ["sub_concept_id", "super_concept_id"],
-        "concept_active_or_inactive": ["concept_id"],
-        "concept_synonym": ["synonym_description_id"],
-        "extended_map_load": ["id"],
-        "read_tab": ["read_code"],
-        "read_term_load": ["read_code", "term_code", "uniquifier"],
+    checks = quality.Checks()
+    loaded = {
+        "concept_load": ("concept_id", S.CONCEPT_SNAPSHOT),
+        "description_load": ("description_id", S.DESCRIPTION_SNAPSHOT),
+        "relationship_load": ("relationship_id", S.RELATIONSHIP_SNAPSHOT),
+        "language_load": ("member_id", S.LANGUAGE_SNAPSHOT),
+        "map_load": ("id", S.SIMPLE_MAP_SNAPSHOT),
     }
-    checks = {f"{name} key": quality.duplicates(t[name], key) for name, key in keys.items() if name in t.tables}
+    for name, (key, schema) in loaded.items():
+        _declare(
+            checks, t, name, [key], keys={"key": [key]}, not_null=schema.fieldNames(), widths=S.widths(schema)
+        )
+    _declare(checks, t, "extended_map_load", ["id"], keys={"key": ["id"]}, widths=S.widths(S.EXTENDED_MAP_SNAPSHOT))
+    _declare(checks, t, "read_tab", ["read_code"], keys={"key": ["read_code"]}, widths=S.widths(S.LEGACY_CODES))
+    legacy = ["read_code", "term_code", "uniquifier"]
+    _declare(checks, t, "read_term_load", legacy, keys={"key": legacy}, widths=S.widths(S.LEGACY_TERMS))
+    code = ["read_code", "read_term_code"]
+    _declare(checks, t, "read_term", code, keys={"key": code}, checks={"empty": F.col("read_term") != ""})
+
+    _declare(checks, t, "ctv3_map", ["concept_id"], keys={"key": ["concept_id"]}, unique={"code": ["ctv3_code"]})
+    ids = {f"{kind} id": [f"{kind}_description_id"] for kind in ("preferred_term", "fully_specified_name")}
+    _declare(
+        checks, t, "concept", ["concept_id"],
+        keys={"key": ["concept_id"], **ids}, unique={"code": ["ctv3_code"]}, widths={"ctv3_code": 5},
+    )
+    _declare(checks, t, "concept_active_or_inactive", ["concept_id"], keys={"key": ["concept_id"], **ids})
     for kind in ("preferred_term", "fully_specified_name"):
-        for name in (kind, "concept", "concept_active_or_inactive"):
-            checks[f"{name} {kind} id"] = quality.duplicates(t[name], [f"{kind}_description_id"])
-    checks |= _width_checks(t, {
-        "description_load": S.DESCRIPTION_SNAPSHOT,
-        "language_load": S.LANGUAGE_SNAPSHOT,
-        "map_load": S.SIMPLE_MAP_SNAPSHOT,
-        "extended_map_load": S.EXTENDED_MAP_SNAPSHOT,
-        "read_tab": S.LEGACY_CODES,
-        "read_term_load": S.LEGACY_TERMS,
-    })
-    checks["concept width"] = quality.too_long(t["concept"], {"ctv3_code": 5})
-    checks["ctv3_map code"] = quality.duplicates(t["ctv3_map"], ["ctv3_code"], nulls_equal=False)
-    checks["concept code"] = quality.duplicates(t["concept"], ["ctv3_code"], nulls_equal=False)
+        _declare(checks, t, kind, ["concept_id"], keys={"key": ["concept_id"], f"{kind} id": ids[f"{kind} id"]})
+    for name, key in (
+        ("dialect", ["description_id"]),
+        ("synonym_term", ["synonym_description_id"]),
+        ("description_active", ["description_id"]),
+        ("is_a", ["sub_concept_id", "super_concept_id"]),
+        ("concept_synonym", ["synonym_description_id"]),
+    ):
+        _declare(checks, t, name, key, keys={"key": key})
     for name in ("dialect_description", "description_active"):
-        checks[f"{name} concept"] = quality.orphans(t[name], t["concept_load"], ["concept_id"])
-    checks["is_a cycle"] = closure.closure_cycles(t["is_a"])
-    for name in ("concept_load", "description_load", "relationship_load", "language_load", "map_load"):
-        checks[f"{name} nulls"] = quality.nulls(t[name], t[name].columns)
-    if "read_term" in t.tables:
-        checks["read_term empty"] = quality.violations(t["read_term"], F.col("read_term") != "")
-        checks["read_term key"] = quality.duplicates(t["read_term"], ["read_code", "read_term_code"])
-        if "read_tab" in t.tables:
-            checks["read_term code"] = quality.orphans(t["read_term"], t["read_tab"], ["read_code"])
+        checks.add(f"{name} concept", lambda name=name: quality.orphans(t[name], t["concept_load"], ["concept_id"]))
+    checks.add("is_a cycle", lambda: closure.closure_cycles(t["is_a"]))
+    if "read_term" in t.tables and "read_tab" in t.tables:
+        checks.add("read_term code", lambda: quality.orphans(t["read_term"], t["read_tab"], ["read_code"]))
+    _add_rejects(checks, t)
     return checks
 
 
+def _add_rejects(checks: quality.Checks, t: Stages) -> None:
+    """Lines that a load left out, by table."""
+    for name in t.tables:
+        if name.endswith("_rejects"):
+            checks.add(name.replace("_rejects", " rejects"), lambda name=name: t[name])
+
+
 def international_counts(t: Stages) -> dict[str, DataFrame]:
     """Rows per refset of the map table and per type of the description table."""
     return {
@@ -262,15 +302,11 @@ def international_counts(t: Stages) -> dict[str, DataFrame]:
 
 
 def _load_history(t: Stages, component: Component, paths: Paths, until: dt.date) -> DataFrame:
-    """History up to a date, partitioned by release.
-
-    Rows without a readable date and rows of a later one are stored beside it as
-    rejects, so that every line of the input is in one of the two tables.
-    """
-    rows = read_rf2(t.spark, paths, component.schema)
-    belongs = F.coalesce(F.col(VERSION) <= F.lit(until), F.lit(False))
-    t.save(_rejects(component), rows.where(~belongs))
-    return t.save(component.name, rows.where(belongs), [VERSION])
+    """History up to a date. Lines without a date and lines of a later one are
+    rejects too."""
+    lines = scan_rf2(t.spark, paths, component.schema)
+    late = ~F.coalesce(F.col(VERSION) <= F.lit(until), F.lit(False))
+    return t.load(component.name, lines.refuse(VERSION, late), component.key)
 
 
 def _rejects(component: Component) -> str:
@@ -281,7 +317,10 @@ def _refuse_rejects(t: Stages, component: Component) -> None:
     """A history that lacks rows must not be rolled forward: members in them
     would be taken for new ones and get other ids."""
     if not t[_rejects(component)].isEmpty():
-        raise ValueError(f"{component.name}: rows without a date up to the previous release, see {_rejects(component)}")
+        raise ValueError(
+            f"{component.name}: unreadable lines, or lines without a date up to the previous release, "
+            f"see {_rejects(component)}"
+        )
 
 
 def _roll(
@@ -299,7 +338,9 @@ def _roll(
     _refuse_rejects(t, component)
     compared = t.save(
         f"{component.name}_compared",
-        history.compare(t[component.name], target, component.key, values, supplied_id=supplied_id),
+        history.compare(
+            t[component.name], target, component.key, values, supplied_id=supplied_id, colocated=True
+        ),
     )
     t.add_release(
         component.name, history.release_rows(compared, context.release, context.module_id)
@@ -366,10 +407,10 @@ def _roll_maps(t: Stages, files: ExtensionFiles, active: DataFrame, context: Rel
     code = text.join_code(F.col("read_code"), F.col("read_term_code"))
     sources = []
     for refset_id, paths in files.prepared_maps.items():
-        prepared = t.save(f"prepared_map_{refset_id}", read_rf2(t.spark, paths, S.PREPARED_MAP))
+        prepared = t.load(f"prepared_map_{refset_id}", scan_rf2(t.spark, paths, S.PREPARED_MAP))
         sources.append((prepared, refset_id, code))
-    medicines = t.save(
-        "medicines_map", read_delimited(t.spark, files.medicines_map, S.MEDICINES_MAP, header=True)
+    medicines = t.load(
+        "medicines_map", scan_delimited(t.spark, files.medicines_map, S.MEDICINES_MAP, header=True)
     )
     sources.append((medicines, K.MAP_MEDICINES, text.cast_code(F.col("mp_id"))))
     target = t.save("map_target", refsets.build_target(sources, active))
@@ -388,8 +429,8 @@ def _roll_maps(t: Stages, files: ExtensionFiles, active: DataFrame, context: Rel
 
 def _roll_language(t: Stages, files: ExtensionFiles, dialect: DataFrame, context: ReleaseContext) -> None:
     _load_history(t, S.LANGUAGE, files.language, context.previous)
-    friendly = t.save(
-        "patient_friendly", read_rf2(t.spark, files.patient_friendly, S.PATIENT_FRIENDLY_TERMS)
+    friendly = t.load(
+        "patient_friendly", scan_rf2(t.spark, files.patient_friendly, S.PATIENT_FRIENDLY_TERMS)
     )
     own = rel.outside_range("description_id", *K.PATIENT_FRIENDLY_DESCRIPTION_RANGE)
     target = t.save(
@@ -401,7 +442,7 @@ def _roll_language(t: Stages, files: ExtensionFiles, dialect: DataFrame, context
 
 def _roll_refsets(t: Stages, files: ExtensionFiles, active: DataFrame, context: ReleaseContext) -> None:
     _load_history(t, S.SIMPLE_REFSET, files.simple_refset, context.previous)
-    extracts = read_rf2(t.spark, files.refset_extracts, S.REFSET_EXTRACT, with_line=True)
+    extracts = t.load("refset_extract_load", scan_rf2(t.spark, files.refset_extracts, S.REFSET_EXTRACT, with_line=True))
     loaded = t.save(
         "refset_extract",
         rel.load_unique(extracts, [["member_id"], ["refset_id", "concept_id"]], LINE).drop(LINE),
@@ -425,121 +466,114 @@ def _describe_refsets(t: Stages, files: ExtensionFiles, context: ReleaseContext)
 
 def extension_checks(
     t: Stages, international: Mapping[str, DataFrame], context: ReleaseContext
-) -> dict[str, DataFrame]:
+) -> quality.Checks:
     """Constraints and "should be empty" checks of a rolled extension."""
-    checks: dict[str, DataFrame] = {}
+    checks = quality.Checks()
+
+    def orphans(name: str, table: str, parent: DataFrame, keys: list[str], parent_keys: list[str] | None = None) -> None:
+        checks.add(name, lambda: quality.orphans(t[table], parent, keys, parent_keys))
+
     # One row per module and literal release date, so its size is bounded.
     calendar = F.broadcast(t["module_release"])
     for component in (*S.COMPONENTS, S.MAORI_LANGUAGE):
         rows, name = t[component.name], component.name
-        checks[f"{name} key"] = quality.duplicates(rows, [component.id_column, VERSION])
+        _declare(
+            checks, t, name, [component.id_column], keys={"key": [component.id_column, VERSION]},
+            not_null=rows.columns, widths=S.widths(component.schema),
+        )
         released = rows if component is not S.MODULE_DEPENDENCY else rows.drop(VERSION).withColumnRenamed(
             "source_effective_date", VERSION
         )
-        checks[f"{name} release"] = quality.not_in(released, calendar, ["module_id", VERSION])
-        checks[f"{name} nulls"] = quality.nulls(rows, rows.columns)
-        checks[f"{name} rejects"] = t[_rejects(component)]
+        checks.add(f"{name} release", lambda rows=released: quality.not_in(rows, calendar, ["module_id", VERSION]))
     for component in (S.SIMPLE_MAP, S.LANGUAGE, S.SIMPLE_REFSET):
         rows, name = t[component.name], component.name
         member, key = [component.id_column], list(component.key)
-        checks[f"{name} one member per key"] = quality.fd_violations(rows, key, member)
-        checks[f"{name} one key per member"] = quality.fd_violations(rows, member, key)
-        checks[f"{name} snapshot member"] = quality.duplicates(t[f"{name}_snapshot"], member)
-        checks[f"{name} snapshot key"] = quality.duplicates(t[f"{name}_snapshot"], key)
+        for check, pair in (("one member per key", (key, member)), ("one key per member", (member, key))):
+            checks.add(f"{name} {check}", lambda rows=rows, pair=pair: quality.fd_violations(rows, *pair))
+        checks.declare(
+            f"{name} snapshot", t[f"{name}_snapshot"], quality.Constraints(member, keys={"member": member, "key": key})
+        )
     codes = ["concept_id", "read_code", "read_term_code"]
     for name, key in (("concept_to_read_snapshot", codes), ("refset_target", ["refset_id", "concept_id"])):
-        checks[f"{name} member"] = quality.duplicates(t[name], ["member_id"])
-        checks[f"{name} key"] = quality.duplicates(t[name], key)
-    loaded = {c.name: c.schema for c in (*S.COMPONENTS, S.MAORI_LANGUAGE)}
-    loaded |= {name: S.PREPARED_MAP for name in t.tables if name.startswith("prepared_map_")}
-    loaded |= {
-        "medicines_map": S.MEDICINES_MAP,
-        "patient_friendly": S.PATIENT_FRIENDLY_TERMS,
-        "refset_extract": S.REFSET_EXTRACT,
-    }
-    checks |= _width_checks(t, loaded)
-
-    concepts, active = international["concept_load"], international["concept"]
-    checks["map concept"] = quality.orphans(
-        t["simple_map"], concepts, ["referenced_component_id"], ["concept_id"]
-    )
-    checks["map refset"] = quality.orphans(t["simple_map"], t["map_refset"], ["refset_id"])
-    checks["map target key"] = quality.duplicates(
-        t["map_target"], ["refset_id", "concept_id", "map_target"]
-    )
-    checks["language target key"] = quality.duplicates(
-        t["language_target"], ["refset_id", "description_id"]
-    )
-    checks["language description"] = quality.orphans(
-        t["language_snapshot"], t["all_description"], ["description_id"]
+        _declare(checks, t, name, ["member_id"], keys={"member": ["member_id"], "key": key})
+    code = ["read_code", "read_term_code"]
+    for name in t.tables:
+        if name.startswith("prepared_map_") and not name.endswith("_rejects"):
+            refset_id = int(name.removeprefix("prepared_map_"))
+            keys = {"key": code} if refset_id == K.MAP_READ_TO_CONCEPT else (
+                {"key": ["concept_id"]} if refset_id in (K.MAP_CONCEPT_TO_READ, K.MAP_BENEFITS, K.MAP_ACCIDENT_CLAIMS) else {}
+            )
+            _declare(checks, t, name, ["concept_id", *code], keys=keys, widths=S.widths(S.PREPARED_MAP))
+    _declare(checks, t, "refset_extract", ["member_id"], widths=S.widths(S.REFSET_EXTRACT))
+    _declare(
+        checks, t, "medicines_map", ["mp_id"], keys={"unique": ["mp_id"]}, widths=S.widths(S.MEDICINES_MAP),
+        checks={"tag": ~rel.without_tags("fully_specified_name", K.PRODUCT_TAGS)},
     )
-    checks["refset of members"] = quality.orphans(
-        t["simple_refset"], t["simple_refset_refset"], ["refset_id"]
+    _declare(
+        checks, t, "patient_friendly", code, keys={"unique": code}, widths=S.widths(S.PATIENT_FRIENDLY_TERMS)
     )
-    checks["extract on inactive concept"] = quality.inactive_references(t["refset_extract"], active)
-    checks["description concept"] = quality.orphans(t["description"], t["all_concept"], ["concept_id"])
-    for name in ("relationship", "stated_relationship"):
-        checks[f"{name} source"] = quality.orphans(
-            t[name], t["concept_snapshot"], ["source_id"], ["concept_id"]
-        )
-    for name in ("concept", "description", "relationship", "stated_relationship"):
-        checks[f"{name} id"] = identifiers.invalid_ids(t[name], f"{name.removeprefix('stated_')}_id")
     for name, key in (
         ("all_concept", ["concept_id"]),
         ("all_description", ["description_id"]),
         ("map_refset", ["refset_id"]),
         ("simple_refset_refset", ["refset_id"]),
-        ("read_to_concept", ["read_code", "read_term_code"]),
+        ("read_to_concept", code),
         ("concept_to_read", ["concept_id"]),
         ("medicines", ["mp_id"]),
-        ("medicines_map", ["mp_id"]),
-        ("patient_friendly", ["read_code", "read_term_code"]),
     ):
-        checks[f"{name} unique"] = quality.duplicates(t[name], key)
+        _declare(checks, t, name, key, keys={"unique": key})
+    target = ["refset_id", "concept_id", "map_target"]
+    checks.declare("map target", t["map_target"], quality.Constraints(target, keys={"key": target}))
+    target = ["refset_id", "description_id"]
+    checks.declare("language target", t["language_target"], quality.Constraints(target, keys={"key": target}))
+
+    concepts, active = international["concept_load"], international["concept"]
+    orphans("map concept", "simple_map", concepts, ["referenced_component_id"], ["concept_id"])
+    orphans("map refset", "simple_map", t["map_refset"], ["refset_id"])
+    orphans("language description", "language_snapshot", t["all_description"], ["description_id"])
+    orphans("refset of members", "simple_refset", t["simple_refset_refset"], ["refset_id"])
+    checks.add("extract on inactive concept", lambda: quality.inactive_references(t["refset_extract"], active))
+    orphans("description concept", "description", t["all_concept"], ["concept_id"])
+    for name in ("relationship", "stated_relationship"):
+        orphans(f"{name} source", name, t["concept_snapshot"], ["source_id"], ["concept_id"])
+    for name in ("concept", "description", "relationship", "stated_relationship"):
+        checks.add(
+            f"{name} id", lambda name=name: identifiers.invalid_ids(t[name], f"{name.removeprefix('stated_')}_id")
+        )
     for name in ("read_to_concept", "concept_to_read", "medicines", "patient_friendly"):
-        checks[f"{name} concept"] = quality.orphans(t[name], active, ["concept_id"])
-    checks["patient_friendly description"] = quality.orphans(
-        t["patient_friendly"], t["all_description"], ["description_id"]
-    )
+        orphans(f"{name} concept", name, active, ["concept_id"])
+    orphans("patient_friendly description", "patient_friendly", t["all_description"], ["description_id"])
     for name in ("map_refset", "simple_refset_refset"):
-        checks[f"{name} concept"] = quality.orphans(t[name], t["concept"], ["refset_id"], ["concept_id"])
-    checks["descriptor concept"] = quality.orphans(
-        t["refset_descriptor"], t["concept_snapshot"], ["referenced_component_id"], ["concept_id"]
+        orphans(f"{name} concept", name, t["concept"], ["refset_id"], ["concept_id"])
+    orphans(
+        "descriptor concept", "refset_descriptor", t["concept_snapshot"], ["referenced_component_id"], ["concept_id"]
     )
-    read_to_concept = f"prepared_map_{K.MAP_READ_TO_CONCEPT}"
-    if read_to_concept in t.tables:
-        checks[f"{read_to_concept} key"] = quality.duplicates(
-            t[read_to_concept], ["read_code", "read_term_code"]
-        )
     for refset_id in (K.MAP_CONCEPT_TO_READ, K.MAP_BENEFITS, K.MAP_ACCIDENT_CLAIMS):
         name = f"prepared_map_{refset_id}"
         if name in t.tables:
-            checks[f"{name} id"] = identifiers.invalid_ids(t[name], "concept_id")
-            checks[f"{name} key"] = quality.duplicates(t[name], ["concept_id"])
-            checks[f"{name} concept"] = quality.orphans(t[name], concepts, ["concept_id"])
+            checks.add(f"{name} id", lambda name=name: identifiers.invalid_ids(t[name], "concept_id"))
+            orphans(f"{name} concept", name, concepts, ["concept_id"])
     claims, benefits = (f"prepared_map_{r}" for r in (K.MAP_ACCIDENT_CLAIMS, K.MAP_BENEFITS))
     if claims in t.tables and benefits in t.tables:
-        checks["claims within benefits"] = quality.not_in(t[claims], t[benefits], t[claims].columns)
-    checks["medicines inactive concept"] = quality.inactive_references(t["medicines_map"], active)
-    checks["medicines tag"] = t["medicines_map"].where(
-        rel.without_tags("fully_specified_name", K.PRODUCT_TAGS)
-    )
-    checks["own description inactive"] = quality.must_be_active(
+        checks.add("claims within benefits", lambda: quality.not_in(t[claims], t[benefits], t[claims].columns))
+    checks.add("medicines inactive concept", lambda: quality.inactive_references(t["medicines_map"], active))
+    checks.add("own description inactive", lambda: quality.must_be_active(
         t["description_snapshot"], t["language_snapshot"], "description_id"
-    )
+    ))
     english = t["language_snapshot"].where(
         (F.col("refset_id") == K.LANGUAGE_ENGLISH) & (F.col("active") == 1)
     )
-    checks["language total"] = quality.count_mismatch(
+    checks.add("language total", lambda: quality.count_mismatch(
         [international["dialect"], _own_descriptions(t)], english
-    )
+    ))
     named = ["description_id", "concept_id", "type_id"]
     described = t["description_snapshot"].select(named).unionByName(
         international["description_load"].select(named)
     )
-    checks["preferred term per concept"] = quality.preferred_per_concept(
+    checks.add("preferred term per concept", lambda: quality.preferred_per_concept(
         t["language_snapshot"], described.where(F.col("type_id") == K.SYNONYM)
-    )
+    ))
+    _add_rejects(checks, t)
     return checks
 
 

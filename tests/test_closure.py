@@ -88,3 +88,23 @@ def test_reachable_is_a_slice_of_the_closure(spark, seed):
         down = closure.reachable(df, concept, "super_concept_id", "sub_concept_id").collect()
         assert sorted(r[0] for r in up) == sorted(b for a, b in pairs if a == concept)
         assert sorted(r[0] for r in down) == sorted(a for a, b in pairs if b == concept)
+
+
+def test_no_pair_is_written_twice(spark, monkeypatch):
+    """Each round appends new pairs alone, and reads a layer by its folder."""
+    stores = []
+
+    class Kept(closure.LayerStore):
+        def __init__(self, *args):
+            super().__init__(*args)
+            stores.append(self)
+
+    monkeypatch.setattr(closure, "LayerStore", Kept)
+    rng = random.Random(8)
+    edges = [(rng.randrange(40), rng.randrange(40)) for _ in range(70)] + [(100 + n, 101 + n) for n in range(20)]
+    assert closed(spark, edges) == brute_force(edges)
+    (store,) = stores
+    written = store.read()
+    assert written.count() == written.select("sub", "super").distinct().count() == len(brute_force(edges))
+    plan = written.where("distance = 2")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(distance" in plan

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from termledger import schemas as S
 from termledger.operators import history
 from termledger.operators import relational as rel
-from termledger.sources.readers import LINE, read_delimited, read_rf2
+from termledger.sources.readers import LINE, read_delimited, read_rf2, scan_delimited, scan_rf2
 from termledger.sources.writers import materialize, replace_release, to_rf2, write_rf2
 
 
@@ -246,6 +246,149 @@ def test_a_history_load_loses_no_line(spark, tmp_path):
     history = release._load_history(stages, S.SIMPLE_MAP, path, dt.date(2018, 11, 1))
     rejects = stages[f"{S.SIMPLE_MAP.name}_rejects"]
     assert {r.member_id for r in history.collect()} == {"m1", "m5"}
-    assert {r.member_id for r in rejects.collect()} == {"m2", "m3", "m4"}
+    assert sorted(tuple(r)[1:] for r in rejects.collect()) == [
+        (3, "effective_date", "\t".join(rows[1])),
+        (4, "effective_date", "\t".join(rows[2])),
+        (5, "effective_date", "\t".join(rows[3])),
+    ]
     with pytest.raises(ValueError, match="rejects"):
         release._refuse_rejects(stages, S.SIMPLE_MAP)
+
+
+def test_a_history_without_a_good_line(spark, tmp_path):
+    from termledger.plans import release
+
+    stages = release.Stages(spark, str(tmp_path / "stages"))
+    for rows, rejects in (([BAD[0], BAD[2]], 2), ([], 0)):
+        path = lines(tmp_path / f"{rejects}.txt", [MAP_HEADER, *rows])
+        release._load_history(stages, S.SIMPLE_MAP, path, dt.date(2018, 11, 1))
+        assert stages[S.SIMPLE_MAP.name].count() == 0 and stages[f"{S.SIMPLE_MAP.name}_rejects"].count() == rejects
+
+
+GOOD = ["m1", "20180801", "1", "1", "41", "5", "A"]
+BAD = [
+    ["short", "20180801", "1"],
+    [*GOOD, "one", "two"],
+    ["typed", "20180801", "1", "x9", "41", "5", "A"],
+    ["dated", "20181399", "1", "1", "41", "5", "A"],
+    ["both", "2018-08-01", "yes", "1", "41", "5", 'a "quote"'],
+]
+
+
+def rejects_of(scanned):
+    return sorted(tuple(r)[1:] for r in scanned.rejects.collect())
+
+
+def test_every_line_is_a_row_or_a_reject(spark, tmp_path):
+    given = [GOOD, BAD[0], BAD[1], GOOD, BAD[2], ["m0", "00000000", "", "1", "41", "5", ""], BAD[3], BAD[4]]
+    scanned = scan_rf2(spark, lines(tmp_path / "with space.txt", [MAP_HEADER, *given]), S.SIMPLE_MAP_SNAPSHOT)
+    assert [r.id for r in scanned.rows.collect()] == ["m1", "m1", "m0"]
+    reasons = {3: "fields", 4: "fields", 6: "module_id", 8: "effective_time", 9: "effective_time, active"}
+    assert rejects_of(scanned) == [(n, reason, "\t".join(given[n - 2])) for n, reason in reasons.items()]
+    assert scanned.rows.count() + scanned.rejects.count() == len(given)
+    picked = scan_rf2(spark, str(tmp_path / "with space.txt"), S.SIMPLE_MAP_SNAPSHOT, columns=["map_target"])
+    assert [r.map_target for r in picked.rows.collect()] == ["A", "A", ""] and rejects_of(picked) == rejects_of(scanned)
+
+
+def test_a_bad_line_ends_a_plain_read(spark, tmp_path):
+    for n, bad in enumerate(BAD):
+        path = lines(tmp_path / f"{n}.txt", [MAP_HEADER, GOOD, bad])
+        with pytest.raises(Exception, match="unreadable line"):
+            read_rf2(spark, path, S.SIMPLE_MAP_SNAPSHOT).collect()
+        with pytest.raises(Exception, match="unreadable line"):
+            read_rf2(spark, path, S.SIMPLE_MAP_SNAPSHOT, columns=["id"]).count()
+
+
+def test_rejects_of_comma_files(spark, tmp_path):
+    text = 'mp,term,date,d,c,fsn\r\n1,"a, b",20190101,2,3,x\r\nz,"c, d",20190101,2,3,x\r\n5,6\r\n'
+    (tmp_path / "m.csv").write_bytes(text.encode())
+    scanned = scan_delimited(spark, str(tmp_path / "m.csv"), S.MEDICINES_MAP, header=True)
+    assert [r.mp_term for r in scanned.rows.collect()] == ["a, b"]
+    assert rejects_of(scanned) == [(3, "mp_id", 'z,"c, d",20190101,2,3,x'), (4, "fields", "5,6")]
+
+
+def test_rejects_are_numbered_across_blocks_and_files(spark, tmp_path):
+    paths, expected = [], []
+    for k in range(3):
+        rows = [(f"{n:06d}", 1, "x" if n % 4999 == 7 else n) for n in range(12_000)]
+        paths.append(extract(tmp_path / f"e{k}.txt", *rows))
+        expected += [(f"e{k}.txt", n + 2, "concept_id") for n in range(12_000) if n % 4999 == 7]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
+    try:
+        scanned = scan_rf2(spark, paths, S.REFSET_EXTRACT, with_line=True)
+        found = sorted((r.file.rsplit("/", 1)[1], r.line, r.reason) for r in scanned.rejects.collect())
+        ordered = [r.member_id for r in scanned.rows.orderBy(LINE).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert found == sorted(expected)
+    assert ordered == [f"{n:06d}" for n in range(12_000) if n % 4999 != 7] * 3
+
+
+def test_many_extracts_are_one_scan(spark, tmp_path):
+    """The order is that of the list, whatever the names; folders count as one path."""
+    paths = [extract(tmp_path / f"f{(k * 8) % 21:02d}.txt", (f"m{k}", k, k)) for k in range(21)]
+    rows = read_rf2(spark, paths, S.REFSET_EXTRACT, with_line=True)
+    assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert [r.member_id for r in rows.orderBy(LINE).collect()] == [f"m{k}" for k in range(21)]
+    (tmp_path / "z").mkdir()
+    inside = [extract(tmp_path / "z" / f"{k}.txt", (f"z{k}", 50 + k, k)) for k in range(2)]
+    assert len(inside) == 2
+    rows = read_rf2(spark, [str(tmp_path / "z"), *paths[:2]], S.REFSET_EXTRACT, with_line=True)
+    assert [r.member_id for r in rows.orderBy(LINE).collect()] == ["z0", "z1", "m0", "m1"]
+    with pytest.raises(ValueError, match="once"):
+        read_rf2(spark, paths[:1] * 2, S.REFSET_EXTRACT, with_line=True)
+
+
+def test_a_good_load_reads_once(spark, tmp_path):
+    from termledger.plans import release
+
+    stages = release.Stages(spark, str(tmp_path / "stages"))
+    good, bad = (lines(tmp_path / f"{n}.txt", [MAP_HEADER, GOOD, *extra]) for n, extra in (("good", []), ("bad", BAD)))
+    read = []
+    scanned = scan_rf2(spark, good, S.SIMPLE_MAP_SNAPSHOT)
+    monitored = scanned.parsed
+    spark.sparkContext.setJobGroup("good-load", "")
+    try:
+        stages.load("m", scanned)
+        read.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup("good-load")))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert read == [1] and monitored.count() == 1
+    assert stages["m"].count() == 1 and stages["m_rejects"].isEmpty()
+    stages.load("m", scan_rf2(spark, bad, S.SIMPLE_MAP_SNAPSHOT))
+    assert stages["m"].count() == 1 and stages["m_rejects"].count() == len(BAD)
+    stages.load("m", scan_rf2(spark, good, S.SIMPLE_MAP_SNAPSHOT))
+    assert not (tmp_path / "stages" / "m_rejects").exists()
+
+
+def rows_scanned(df) -> int:
+    """Rows that the scans of a plan gave, after it has run."""
+    execution = df._jdf.queryExecution()
+    df_rows = execution.executedPlan().executeCollect()
+    leaves = execution.executedPlan().collectLeaves()
+    assert df_rows is not None
+    return sum(leaves.apply(k).metrics().apply("numOutputRows").value() for k in range(leaves.size()))
+
+
+def test_lookups_read_few_rows(spark, tmp_path):
+    """Two sorted copies of a closure, and a history sorted within its dates."""
+    from termledger.operators import closure
+
+    pairs = spark.range(200_000).select(
+        (F.col("id") * 7919 % 4000).alias("sub_concept_id"), (F.col("id") * 104729 % 5003).alias("super_concept_id")
+    )
+    up = materialize(pairs, str(tmp_path / "by_sub"), sort_by=["sub_concept_id", "super_concept_id"])
+    down = materialize(pairs, str(tmp_path / "by_super"), sort_by=["super_concept_id", "sub_concept_id"])
+    assert up.count() == down.count() == 200_000
+    for found in (closure.ancestors(up, 77), closure.descendants(down, 77)):
+        assert 30 < found.count() < 60 and rows_scanned(found) <= 3 * 2_000
+    full = spark.range(60_000).select(
+        F.concat(F.lit("m"), F.col("id") % 20_000).alias("member_id"),
+        F.date_add(F.lit(dt.date(2018, 1, 1)), (F.col("id") / 20_000).cast("int")).alias("effective_date"),
+        (F.col("id") * 7 % 20_000).alias("concept_id"),
+    )
+    stored = materialize(full, str(tmp_path / "full"), ["effective_date"], ["concept_id"])
+    versions = history.component_history(stored, ["effective_date"], concept_id=5)
+    assert versions.count() == 3
+    assert rows_scanned(stored.where("concept_id = 5")) <= 3 * 2 * 2_000

@@ -159,6 +159,26 @@ def test_load_unique_null_keys_repeat_nothing(spark):
     assert sorted(r.line for r in out.collect()) == [1, 3, 4, 6, 7]
 
 
+@pytest.mark.parametrize("length", [24, 2000])
+def test_load_unique_follows_chains_by_doubling(spark, monkeypatch, length):
+    """Each row repeats one key of the row before it, by turns the one and the other."""
+    rows = [(n, n // 2, (n + 1) // 2) for n in range(length)]
+    rounds = []
+    jump = rel._jump
+    monkeypatch.setattr(rel, "_jump", lambda nodes: rounds.append(1) or jump(nodes))
+    out = rel.load_unique(spark.createDataFrame(rows, "line int, a int, b int").repartition(3), [["a"], ["b"]], "line")
+    assert sorted(tuple(r) for r in out.collect()) == in_order(rows, [(1,), (2,)])
+    assert len(rounds) / 2 <= 12
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_load_unique_of_three_keys_and_hot_ones(spark, seed):
+    rng = random.Random(seed)
+    rows = [(n, rng.choice([0, 0, rng.randrange(40)]), rng.randrange(30), rng.randrange(50)) for n in range(120)]
+    out = rel.load_unique(spark.createDataFrame(rows, "line int, a int, b int, c int"), [["a"], ["b"], ["c", "a"]], "line")
+    assert sorted(tuple(r) for r in out.collect()) == in_order(rows, [(1,), (2,), (3, 1)])
+
+
 def test_load_unique_query_against_brute_force(spark, tiny):
     """The registered query replayed row by row, beside its SQL form."""
     lines = fx.table(spark, tiny, "lineitem")
@@ -177,6 +197,15 @@ def test_dedupe_first(spark):
     assert {tuple(r) for r in out.collect()} == {(1, 1, "a"), (2, 5, "b")}
 
 
+def test_dedupe_first_sorts_repeated_keys_only(spark):
+    rows = [(None, 2, "b"), (None, 1, "a"), (7, 1, "x"), (None, 3, None), (8, 1, None), (8, 1, "y")]
+    out = rel.dedupe_first(spark.createDataFrame(rows, "k int, o int, t string"), ["k"], ["o", "t"])
+    assert {tuple(r) for r in out.collect()} == {(None, 1, "a"), (7, 1, "x"), (8, 1, None)}
+    single = rel.dedupe_first(spark.createDataFrame(rows[2:3], "k int, o int, t string"), ["k"], ["o", "t"])
+    branch = single._jdf.queryExecution().optimizedPlan().toString().split("Aggregate")[0]
+    assert "LeftAnti" in branch and "min(" not in branch
+
+
 def test_all_components_assumes_own_active(spark):
     own = spark.createDataFrame([(1, 0), (1, 1), (2, 0)], "concept_id bigint, active int")
     other = spark.createDataFrame([(3, 0), (4, 1)], "concept_id bigint, active int")

@@ -9,7 +9,7 @@ from termledger.operators import history, quality, refsets
 from termledger.operators import relational as rel
 from termledger.plans import fixtures as fx
 from termledger.plans import queries as Q
-from termledger.sources.writers import materialize
+from termledger.sources.writers import materialize, materialize_bucketed, replace_bucketed_release
 
 
 def plan(df) -> str:
@@ -50,7 +50,32 @@ def test_snapshot_is_one_hash_aggregate(stored):
 def test_comparison_shuffles_each_side_once(stored):
     text = plan(history.compare(*stored, Q.MAP_KEY))
     assert text.count("Exchange") == 2
-    assert text.count("SortMergeJoin") == 1 and "partial_max_by" in text
+    assert text.count("SortMergeJoin") == 1 and "partial_max_by" in text and "SortAggregate" not in text
+
+
+def test_a_bucketed_history_stays_where_it_lies(spark, stored, tmp_path):
+    """Only the target moves, also after a release was added; no sort aggregate."""
+    full, target = stored
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = str(tmp_path / "history")
+    bucketed = materialize_bucketed(full, path, Q.MAP_KEY, buckets, ["effective_date"])
+    plain = history.compare(full, target, Q.MAP_KEY)
+    moved = history.compare(bucketed, target, Q.MAP_KEY, colocated=True)
+    assert plain.exceptAll(moved).isEmpty() and moved.exceptAll(plain).isEmpty()
+    added = [tuple(r) for r in history.release_rows(moved, Q.RELEASE, 1).select(*bucketed.columns).collect()]
+    for _ in range(2):  # a rerun of the release replaces it
+        compared = history.compare(bucketed, target, Q.MAP_KEY, colocated=True)
+        text = plan(compared)
+        assert text.count("Exchange") == 1 and "SortAggregate" not in text
+        latest = plan(history.snapshot(bucketed, ["member_id", *Q.MAP_KEY]))
+        assert "Exchange" not in latest and "SortAggregate" not in latest
+        bucketed = replace_bucketed_release(spark.createDataFrame(added, bucketed.schema), path, Q.MAP_KEY, buckets)
+        known = history.delta(bucketed, Q.RELEASE)
+        assert "PartitionFilters: [isnotnull(effective_date" in plan(known)
+        assert sorted(map(tuple, known.collect())) == sorted(added)
+        assert bucketed.count() == full.count() + len(added)
+    again = history.compare(bucketed, target, Q.MAP_KEY, colocated=True)
+    assert again.where(F.col("change") != history.UNCHANGED).isEmpty()
 
 
 def test_filters_and_columns_reach_the_scan(spark, tiny):

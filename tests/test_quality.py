@@ -138,3 +138,43 @@ def test_reconcile(spark):
     members = spark.createDataFrame([(1, 1), (2, 0), (9, 1)], "description_id bigint, active int")
     found = {r.name: r.n for r in quality.reconcile(source, members, "description_id").collect()}
     assert found == {"source_rows": 3, "present": 1, "missing": 2, "active_members": 2}
+
+
+def declared():
+    return quality.Constraints(
+        row=["id"], keys={"key": ["id"], "pair": ["a", "b"]}, unique={"code": ["c"]}, not_null=["a", "b"],
+        widths={"c": 3}, checks={"positive": F.col("a") > 0},
+    )
+
+
+def test_declared_constraints_in_one_scan(spark, tmp_path):
+    rows = [(1, 5, 6, "x"), (1, 5, 7, None), (2, 5, 6, None), (3, None, 8, "long"), (4, -1, 9, "x"), (None, 2, 1, "y"),
+            (None, 2, 2, "z")]
+    spark.createDataFrame(rows, "id int, a int, b int, c string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    found = quality.broken(df, declared())
+    assert {(r.check, tuple(r.key), r.n) for r in found.collect()} == {
+        ("key", ("1",), 2), ("key", (None,), 2), ("pair", ("5", "6"), 2), ("code", ("x",), 2),
+        ("nulls", ("3",), 1), ("width", ("3",), 1), ("positive", ("4",), 1),
+    }
+    plan = quality.broken(df, declared())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+
+    checks = quality.Checks()
+    checks.declare("t", df, declared())
+    checks.add("other", lambda: df.where("id = 2"))
+    assert list(checks) == ["t key", "t pair", "t code", "t nulls", "t width", "t positive", "other"]
+    assert rows_of(checks["t pair"]) == [("pair", ["5", "6"], 2)]
+    counts = checks.counts()
+    assert counts._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+    assert {r.name: r.n for r in counts.collect()} == {
+        "t key": 2, "t pair": 1, "t code": 1, "t nulls": 1, "t width": 1, "t positive": 1, "other": 1,
+    }
+
+
+def test_checks_are_planned_when_they_are_asked_for():
+    checks = quality.Checks()
+    checks.add("never", lambda: 1 / 0)
+    assert list(checks) == ["never"] and len(checks) == 1
+    with pytest.raises(ZeroDivisionError):
+        checks["never"]

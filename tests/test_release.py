@@ -81,8 +81,7 @@ def test_legacy_codes(intl):
 
 
 def test_international_checks(intl):
-    report = quality.check_counts(release.international_checks(intl))
-    found = {r.name: r.n for r in report.collect()}
+    found = {r.name: r.n for r in release.international_checks(intl).counts().collect()}
     assert found.pop("read_term empty") == 1
     assert found.pop("read_term code") == 1
     assert set(found.values()) == {0}
@@ -159,17 +158,27 @@ def test_metadata_release(extension):
 
 def test_extension_checks(extension, intl):
     checks = release.extension_checks(extension, intl, W.CONTEXT)
-    found = {r.name: r.n for r in quality.check_counts(checks).collect() if r.n}
+    found = {r.name: r.n for r in checks.counts().collect() if r.n}
     assert found == {
         # The description that is a text definition, and the retired map.
         "language description": 1,
         "extract on inactive concept": 1,
         "claims within benefits": 1,
         "medicines inactive concept": 1,
-        "medicines tag": 1,
+        "medicines_map tag": 1,
     }
 
 
+def test_building_the_checks_starts_no_job(spark, extension, intl):
+    spark.sparkContext.setJobGroup("build-checks", "")
+    try:
+        checks = release.extension_checks(extension, intl, W.CONTEXT)
+        assert len(checks) > 60
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("build-checks")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def seeded(stages, twice, **changed):
     """The stages with the rows of some tables doubled and others replaced."""
     tables = stages.tables | {name: stages[name].unionByName(stages[name]) for name in twice} | changed
