@@ -3,8 +3,12 @@
 The library marks white space with U+2581 and puts one mark before the text.
 Where no piece of the vocabulary holds a mark behind another sign, no merge
 crosses from one run of marks and signs to the next: such a run, a chunk, has the
-same pieces wherever it stands. So each distinct chunk of the corpus is segmented
-once, and a text's ids are its chunks' ids, joined back by position.
+same pieces wherever it stands. So distinct chunks are segmented, not texts, and
+a text's ids are its chunks' ids, joined back by position.
+
+The table of distinct chunks has two parts. The frequent chunks of the corpus are
+segmented once for all and broadcast, bounded in number and bytes. Every other
+chunk is segmented once in a partition that holds it, whose own table it enters.
 """
 
 from __future__ import annotations
@@ -26,9 +30,9 @@ from termledger.session import StepFolder
 
 MARK = "\u2581"
 #: Chunks that are broadcast at most, the most frequent ones, and the bytes of
-#: each: some 16 MB. All others are joined.
+#: each: some 16 MB.
 FREQUENT, FREQUENT_BYTES = 65_536, 64
-#: Distinct chunks and letters that a task holds before it passes its counts on.
+#: Distinct chunks and letters that a task holds at most, to count or segment them.
 HELD_CHUNKS, HELD_LETTERS = 50_000, 4_000_000
 #: Letters of a text that are cut into chunks at once.
 SLICE = 1_000_000
@@ -114,17 +118,17 @@ def _count(batches):
     yield flush(counts)
 
 
-def segmented(counts: DataFrame, model: Pieces) -> DataFrame:
-    """(chunk, n, ids) for the distinct chunks (chunk, n)."""
+def segmented(table: DataFrame, model: Pieces) -> DataFrame:
+    """(chunk, ids) for the distinct chunks of a table (chunk)."""
     data = model.data
 
     def run(batches):
         own = processor(data)
         for batch in batches:
             ids = [segment(own, x.as_py()) for x in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, _INTS)], names=["chunk", "n", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, _INTS)], names=["chunk", "ids"])
 
-    return counts.select("chunk", "n").mapInArrow(run, "chunk string, n bigint, ids array<int>")
+    return table.select("chunk").mapInArrow(run, "chunk string, ids array<int>")
 
 
 def least_count(table: DataFrame, most: int) -> int:
@@ -145,85 +149,48 @@ def encode(docs: DataFrame, model: Pieces, id_col: str = "doc_id", text_col: str
     model's begin and end ids, as the library gives them.
 
     A null text is the empty one, which has the two outer ids. Null and repeated
-    ids and repeated rows are fine: rows are told apart by a number that is
-    written with them. Other columns are left out, whatever their names. An empty
-    table gives an empty result.
-
-    The chunks are counted in the tasks, then summed; each distinct one is
-    segmented once. The most frequent, bounded in number and bytes, are
-    broadcast and give their ids where the texts are read. Every other chunk is
-    rarer than those, so its occurrences, with the number of their row and their
-    place, meet the table in a join without hot keys and return to their row.
-    Texts are never shuffled.
+    ids and repeated rows are fine. Other columns are left out, whatever their
+    names. An empty table gives an empty result.
+
+    Chunks are counted in the tasks, then summed, so a frequent one is a few
+    rows a task; only those counts are shuffled, never texts or ids. A task's
+    own table of rarer chunks is bounded too: it begins anew when it is full.
     """
     spark = docs.sparkSession
     folder = StepFolder(spark, "pieces", keep=True)
-    counts = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_count, "chunk string, n bigint")
-    counts = folder.write(counts.groupBy("chunk").agg(F.sum("n").alias("n")))
-    table = folder.write(segmented(counts, model))
-    least = least_count(table.where(F.octet_length("chunk") <= FREQUENT_BYTES), FREQUENT)
-    frequent = (F.col("n") >= least) & (F.octet_length("chunk") <= FREQUENT_BYTES)
-    known = spark.sparkContext.broadcast({r["chunk"]: r["ids"] for r in table.where(frequent).collect()})
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    counts = texts.select("text").mapInArrow(_count, "chunk string, n bigint")
+    counts = counts.where(F.octet_length("chunk") <= FREQUENT_BYTES).groupBy("chunk").agg(F.sum("n").alias("n"))
+    counts = folder.write(counts.where("n > 1"))
+    frequent = counts.where(F.col("n") >= least_count(counts, FREQUENT))
+    table = folder.write(segmented(frequent, model))
+    known = spark.sparkContext.broadcast({r["chunk"]: r["ids"] for r in table.collect()})
     data = model.data
 
     def run(batches):
-        get = known.value.get
-        begin, end = processor(data).bos_id(), processor(data).eos_id()
+        get, own = known.value.get, processor(data)
+        begin, end = own.bos_id(), own.eos_id()
+        rare, letters = {}, 0
         for whole in batches:
-            for batch in parts(whole, 2, PART_BYTES):
-                all_ids, all_at, all_rare = [], [], []
-                for text in batch.column(2):
-                    ids, at, rare = [begin], [], []
+            for batch in parts(whole, 1, PART_BYTES):
+                all_ids = []
+                for text in batch.column(1):
+                    ids = [begin]
                     for some in chunks(text.as_py() or ""):
                         for chunk in some:
-                            found = get(chunk)
+                            found = get(chunk) or rare.get(chunk)
                             if found is None:
-                                at.append(len(ids))
-                                rare.append(chunk)
-                            else:
-                                ids += found
+                                if len(rare) >= HELD_CHUNKS or letters >= HELD_LETTERS:
+                                    rare, letters = {}, 0
+                                found = rare[chunk] = segment(own, chunk)
+                                letters += len(chunk)
+                            ids += found
                     ids.append(end)
                     all_ids.append(np.array(ids, np.int32))
-                    all_at.append(at)
-                    all_rare.append(rare)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(all_ids, _INTS), pa.array(all_at, _INTS),
-                     pa.array(all_rare, pa.list_(pa.string()))],
-                    names=["row", "id", "ids", "at", "rare"],
-                )
-
-    source = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")
-    )
-    kind = source.schema["id"].dataType.simpleString()
-    partly = folder.write(
-        source.mapInArrow(run, f"row bigint, id {kind}, ids array<int>, at array<int>, rare array<string>")
-    )
-    holes = partly.where(F.size("rare") > 0)
-    rare = holes.select("row", F.posexplode(F.arrays_zip("at", "rare")).alias("k", "hole")).select(
-        "row", "k", F.col("hole.at").alias("at"), F.col("hole.rare").alias("chunk")
-    )
-    rest = table.where(~frequent).select("chunk", F.col("ids").alias("own"))
-    fill = rare.join(rest, "chunk").groupBy("row").agg(
-        F.sort_array(F.collect_list(F.struct("k", "at", "own"))).alias("fill")
-    )
-    mended = holes.select("row", "id", "ids").join(fill, "row").select("id", "ids", "fill")
-    mended = mended.mapInArrow(_fill, f"id {kind}, ids array<int>")
-    complete = partly.where(F.size("rare") == 0).select("id", "ids")
-    return complete.unionByName(mended).withColumnRenamed("id", id_col)
-
-
-def _fill(batches):
-    """The rows' ids with those of their rare chunks put in at their places."""
-    for batch in batches:
-        out = []
-        for ids, fill in zip(batch.column(1), batch.column(2)):
-            ids, joined, done = ids.values.to_numpy(zero_copy_only=False), [], 0
-            for hole in fill.as_py():
-                joined += [ids[done : hole["at"]], np.array(hole["own"], np.int32)]
-                done = hole["at"]
-            out.append(np.concatenate([*joined, ids[done:]]).astype(np.int32))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, _INTS)], names=["id", "ids"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(all_ids, _INTS)], names=["id", "ids"])
+
+    kind = texts.schema["id"].dataType.simpleString()
+    return texts.mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, model: Pieces, id_col: str = "doc_id") -> DataFrame:
