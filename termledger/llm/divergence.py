@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from termledger.llm.common import parts
 from termledger.session import StepFolder
 
 #: Documents of the language that a kept term stands in.
@@ -32,10 +33,14 @@ SHARD_KEYS, BUCKET_KEYS = 16_384, 4
 #: Bytes of the shards that are broadcast for one pass over the texts; more
 #: kept terms take more passes.
 PASS_BYTES = 24_000_000
-#: Terms that a task holds before they are passed on or looked up.
-HELD = 50_000
-#: Dense slots that a task holds, 8 bytes each, and cells of a block of numbers.
-HELD_SLOTS, CELLS = 4_000_000, 500_000
+#: Terms that a task holds, with their counts or their slots.
+HELD = 100_000
+#: Dense slots that a task holds, 4 bytes each, and cells of a block of numbers.
+HELD_SLOTS, CELLS = 16_000_000, 500_000
+#: Bytes of texts whose terms are looked up together.
+PART_BYTES = 2_000_000
+#: Counts of a group and shard that are added up in one step.
+ADDED = 64
 #: Displacements of a bucket that are tried before another seed is.
 TRIES = 1 << 16
 #: All shares are whole numbers of this part.
@@ -116,6 +121,13 @@ class Shards:
         self.shift = pc.list_flatten(shifts).to_numpy()
         self.slots_from = np.cumsum(self.sizes) - self.sizes
         self.buckets_from = np.cumsum(self.buckets) - self.buckets
+        # a language's slots in order, and the place of each slot among them
+        coded = pc.dictionary_encode(pc.list_flatten(column("langs")))
+        codes = coded.indices.to_numpy()
+        self.of_lang = {lang: np.nonzero(codes == k)[0] for k, lang in enumerate(coded.dictionary.to_pylist())}
+        self.place = np.zeros(len(codes), np.int64)
+        for slots in self.of_lang.values():
+            self.place[slots] = np.arange(len(slots))
 
     def find(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(places in ``keys``, slots) of the keys that are stored here."""
@@ -184,10 +196,17 @@ def perfect_hashes(kept: DataFrame, shards: int) -> DataFrame:
     )
 
 
-def recount(groups: DataFrame, hashes: DataFrame, shards: int) -> DataFrame:
-    """(lang, source, shard, slot, n) of the kept terms in rows (lang, source,
-    text), for slots that are met. Each pass over the texts has as many shards
-    broadcast as ``PASS_BYTES`` hold by their stored keys."""
+_COUNTED = "lang string, source string, shard bigint, slots array<int>, n array<bigint>"
+
+
+def recount(groups: DataFrame, hashes: DataFrame, shards: int, folder: StepFolder) -> DataFrame:
+    """(lang, source, shard, slots, n): one row a group and shard with the slots
+    that are met and their counts, from rows (lang, source, text).
+
+    Each pass over the texts has as many shards broadcast as ``PASS_BYTES`` hold
+    by their stored keys. The tasks' counts are added up ``ADDED`` at a time, so
+    a group never meets whole in one task, however many tasks have counted it.
+    """
     size = F.aggregate(F.transform("terms", F.octet_length), F.lit(0).cast("long"), lambda a, b: a + b)
     size += F.aggregate(F.transform("langs", F.octet_length), F.lit(0).cast("long"), lambda a, b: a + b)
     total = hashes.agg(F.sum(size + F.size("terms") * 5 + F.size("shift") * 8)).first()[0] or 0
@@ -197,7 +216,30 @@ def recount(groups: DataFrame, hashes: DataFrame, shards: int) -> DataFrame:
         table = hashes.where((F.col("shard") >= first) & (F.col("shard") < first + step)).toArrow()
         counted = _one_pass(groups, table, first, min(step, shards - first), shards)
         found = counted if found is None else found.unionAll(counted)
-    return found.groupBy("lang", "source", "shard", "slot").agg(F.sum("n").alias("n"))
+    found = folder.write(found.withColumn("part", F.monotonically_increasing_id()))
+    keys = ["lang", "source", "shard"]
+    while (most := found.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) > 1:
+        lots = -(-most // ADDED)
+        dealt = found.withColumn("lot", F.pmod(F.xxhash64("part"), F.lit(lots)))
+        added = dealt.groupBy(*keys, "lot").applyInArrow(_add, f"{_COUNTED}, part bigint")
+        found = folder.write(added)
+        if lots == 1:
+            break
+    return found.drop("part")
+
+
+def _add(table: pa.Table) -> pa.Table:
+    """One row for those of a group, shard and lot."""
+    slots = pc.list_flatten(table.column("slots")).to_numpy()
+    counts = np.zeros(int(slots.max()) + 1, np.int64)
+    np.add.at(counts, slots, pc.list_flatten(table.column("n")).to_numpy())
+    at = np.nonzero(counts)[0]
+    return pa.table({
+        **{name: table.column(name).slice(0, 1) for name in ("lang", "source", "shard")},
+        "slots": pa.array([at], pa.list_(pa.int32())),
+        "n": pa.array([counts[at]], pa.list_(pa.int64())),
+        "part": table.column("lot").slice(0, 1).cast(pa.int64()),
+    })
 
 
 def _one_pass(groups: DataFrame, table: pa.Table, first: int, step: int, shards: int) -> DataFrame:
@@ -213,45 +255,56 @@ def _one_pass(groups: DataFrame, table: pa.Table, first: int, step: int, shards:
     def run(batches):
         own = Shards(pa.ipc.open_stream(shared.value).read_all(), first, shards)
         dense: dict[tuple, np.ndarray] = {}
+        # per language the place of each term met, the last place for terms that aren't kept
+        known: dict[str, dict[bytes, int]] = defaultdict(dict)
 
         def flush():
             for (lang, source), counts in dense.items():
-                at = np.nonzero(counts)[0]
-                shard = np.searchsorted(own.slots_from, at, side="right") - 1
+                at = np.nonzero(counts[:-1])[0]
+                slots = own.of_lang[lang][at]
+                shard = np.searchsorted(own.slots_from, slots, side="right") - 1
+                starts = np.nonzero(np.diff(shard, prepend=-1))[0]
+                offsets = pa.array(np.append(starts, len(at)), pa.int32())
+                lists = lambda values, kind: pa.ListArray.from_arrays(offsets, pa.array(values, kind))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(at), pa.string()), pa.array([source] * len(at), pa.string()),
-                     pa.array(shard + first, pa.int64()), pa.array(at - own.slots_from[shard], pa.int64()), pa.array(counts[at])],
-                    names=["lang", "source", "shard", "slot", "n"],
+                    [pa.array([lang] * len(starts), pa.string()), pa.array([source] * len(starts), pa.string()),
+                     pa.array(shard[starts] + first, pa.int64()), lists(slots - own.slots_from[shard], pa.int32()),
+                     lists(counts[at], pa.int64())],
+                    names=["lang", "source", "shard", "slots", "n"],
                 )
 
-        def increment(held):
-            for (lang, source), seen in held.items():
-                prefix = lang.encode("utf-8", "surrogatepass") + b"\0"
-                words = list(seen)
-                places, slots = own.find([prefix + w for w in words])
-                if len(slots):
-                    counts = np.fromiter(seen.values(), np.int64, len(seen))
-                    if (lang, source) not in dense:
-                        dense[lang, source] = np.zeros(len(own.keys), np.int64)
-                    dense[lang, source][slots] += counts[places]
-
-        held, size = defaultdict(Counter), 0
-        for batch in batches:
-            for lang, source, text in zip(*(batch.column(k) for k in range(3))):
-                seen = held[lang.as_py(), source.as_py()]
-                size -= len(seen)
-                seen.update(terms(text.as_py()))
-                size += len(seen)
-                if size >= HELD:
-                    increment(held)
-                    held, size = defaultdict(Counter), 0
-                    if len(dense) * len(own.keys) >= HELD_SLOTS:
-                        yield from flush()
-                        dense.clear()
-        increment(held)
+        def learn(lang: str, words: set[bytes]):
+            new = list(words - known[lang].keys())
+            if sum(map(len, known.values())) + len(new) > HELD:
+                known.clear()
+                new = list(words)
+            prefix = lang.encode("utf-8", "surrogatepass") + b"\0"
+            known[lang].update(dict.fromkeys(new, len(own.of_lang[lang])))
+            places, slots = own.find([prefix + w for w in new])
+            known[lang].update(zip(map(new.__getitem__, places.tolist()), own.place[slots].tolist()))
+
+        for whole in batches:
+            for batch in parts(whole, 2, PART_BYTES):
+                held, words = defaultdict(list), defaultdict(set)
+                for lang, source, text in zip(*(batch.column(k) for k in range(3))):
+                    lang, found = lang.as_py(), terms(text.as_py())
+                    if found and lang in own.of_lang:
+                        held[lang, source.as_py()].append(found)
+                        words[lang].update(found)
+                for lang in words:
+                    learn(lang, words[lang])
+                    place = known[lang].__getitem__
+                    for group in [g for g in held if g[0] == lang]:
+                        if group not in dense:
+                            if sum(map(len, dense.values())) >= HELD_SLOTS:
+                                yield from flush()
+                                dense.clear()
+                            dense[group] = np.zeros(len(own.of_lang[lang]) + 1, np.int32)
+                        for found in held[group]:
+                            np.add.at(dense[group], np.fromiter(map(place, found), np.int64, len(found)), 1)
         yield from flush()
 
-    return groups.mapInArrow(run, "lang string, source string, shard bigint, slot bigint, n bigint")
+    return groups.mapInArrow(run, _COUNTED)
 
 
 # -- the audit ----------------------------------------------------------------
@@ -270,50 +323,54 @@ def gains(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) ** 2 // q
 
 
-def _compare(batches):
-    """From a row a term (lang, term, at, n, totals, v, lang_total): the gains of
-    the groups that hold it against the language, and the sums of gains of each
-    group against each other one, per block of terms."""
-    sums: dict[str, np.ndarray] = {}
-
-    def pairs():
-        for lang, own in sums.items():
-            a, b = np.nonzero(~np.eye(len(own), dtype=bool))
-            yield _rows(lang, a, b, [None] * len(a), own[a, b])
-
-    for batch in batches:
-        langs = np.array(batch.column(0).to_pylist(), object)
-        for lang in dict.fromkeys(langs.tolist()):
-            rows = np.nonzero(langs == lang)[0]
-            totals = np.array(batch.column(4)[int(rows[0])].as_py(), np.int64)
-            v, lang_total = (batch.column(k)[int(rows[0])].as_py() for k in (5, 6))
-            step = max(1, CELLS // len(totals))
-            for start in range(0, len(rows), step):
-                some = rows[start : start + step]
-                own = batch.take(pa.array(some))
-                ats, ns = (pc.list_flatten(own.column(k)).to_numpy() for k in (2, 3))
-                line = np.repeat(np.arange(len(some)), pc.list_value_length(own.column(2)).to_numpy())
-                counts = np.zeros((len(some), len(totals)), np.int64)
-                counts[line, ats] = ns
-                p = shares(counts, totals[None, :], v)
-                q = shares(counts.sum(axis=1), lang_total, v)[:, None]
-                row, at = np.nonzero((counts > 0) & (p > q))
-                words = own.column(1).take(pa.array(row)).to_pylist()
-                yield _rows(lang, at, np.full(len(at), -1), words, gains(p[row, at], q[row, 0]))
-                if lang not in sums:
-                    if sum(map(np.size, sums.values())) + len(totals) ** 2 > HELD_SLOTS:
-                        yield from pairs()
-                        sums.clear()
-                    sums[lang] = np.zeros((len(totals), len(totals)), np.int64)
-                for g in range(len(totals)):
-                    sums[lang][g] += gains(p[:, g : g + 1], p).sum(axis=0)
-    yield from pairs()
+def _compare(top_terms: int):
+    """A function of the counts (source's number ``at``, slots, n) and the terms of
+    one language and shard: the gains of the groups against the language, as far
+    as they may come to the top, and the sums of gains of each group against each
+    other one."""
+
+    def run(counted: pa.Table, terms: pa.Table) -> pa.Table:
+        lang, totals, v, lang_total = (terms.column(c)[0].as_py() for c in ("lang", "totals", "v", "lang_total"))
+        totals = np.array(totals, np.int64)
+        slots = pc.list_flatten(terms.column("slots")).to_numpy()
+        place = np.zeros(int(slots.max()) + 1, np.int64)
+        place[slots] = np.arange(len(slots))
+        words = pc.list_flatten(terms.column("words"))
+        lines = [place[own] for own in _lists(counted.column("slots"))]
+        numbers, ns = counted.column("at").to_pylist(), _lists(counted.column("n"))
+        sums = np.zeros((len(totals), len(totals)), np.int64)
+        out = []
+        step = max(1, CELLS // len(totals))
+        for start in range(0, len(slots), step):
+            counts = np.zeros((min(step, len(slots) - start), len(totals)), np.int64)
+            for at, line, n in zip(numbers, lines, ns):
+                here = (line >= start) & (line < start + step)
+                counts[line[here] - start, at] = n[here]
+            p = shares(counts, totals[None, :], v)
+            q = shares(counts.sum(axis=1), lang_total, v)[:, None]
+            for g in range(len(totals)):
+                sums[g] += gains(p[:, g : g + 1], p).sum(axis=0)
+                row = np.nonzero((counts[:, g] > 0) & (p[:, g] > q[:, 0]))[0]
+                value = gains(p[row, g], q[row, 0])
+                if len(row) > top_terms:
+                    often = value >= np.partition(value, -top_terms)[-top_terms]
+                    row, value = row[often], value[often]
+                out.append(_rows(lang, np.full(len(row), g), np.full(len(row), -1), words.take(pa.array(row + start)), value))
+        a, b = np.nonzero(~np.eye(len(totals), dtype=bool))
+        out.append(_rows(lang, a, b, pa.nulls(len(a), pa.string()), sums[a, b]))
+        return pa.Table.from_batches(out)
+
+    return run
+
+
+def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
+    return [x.values.to_numpy(zero_copy_only=False) for x in column]
 
 
 def _rows(lang, at, other, words, values):
     return pa.RecordBatch.from_arrays(
         [pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(other, pa.int32()),
-         pa.array(words, pa.string()), pa.array(values, pa.int64())],
+         words.combine_chunks() if isinstance(words, pa.ChunkedArray) else words, pa.array(values, pa.int64())],
         names=["lang", "at", "other", "term", "value"],
     )
 
@@ -340,8 +397,9 @@ def audit(
 
     Both passes sum in the task before anything is shuffled, so a source or term
     that holds most rows is a few rows a task. Shards hold a bounded number of
-    terms; those broadcast at once are bounded in bytes. A term's row holds a
-    count a source, and the pairs are as many as the result's.
+    terms; those broadcast at once are bounded in bytes. A language's shard meets
+    with a count for each of its terms and sources; its pairs are as many as the
+    result's.
     """
     folder = StepFolder(docs.sparkSession, "divergence", keep=True)
     named = {"lang": lang_col, "source": source_col, "text": text_col}
@@ -349,19 +407,20 @@ def audit(
     often = groups.mapInArrow(_document_counts, "lang string, term string, docs bigint").groupBy("lang", "term")
     kept = folder.write(often.agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).select("lang", "term"))
     shards = -(-kept.count() // SHARD_KEYS)
-    schema = "lang string, source string, shard bigint, slot bigint, n bigint"
     if shards:
         hashes = folder.write(perfect_hashes(kept, shards))
-        counts = folder.write(recount(groups, hashes, shards))
-        slots = hashes.select("shard", F.posexplode(F.arrays_zip("langs", "terms")).alias("slot", "key")).select(
-            "shard", F.col("slot").cast("long"), F.col("key.langs").alias("lang"), F.col("key.terms").alias("term")
+        counts = recount(groups, hashes, shards, folder)
+        slots = hashes.select("shard", F.posexplode(F.arrays_zip("langs", "terms")).alias("slot", "key"))
+        slots = slots.groupBy(F.col("key.langs").alias("lang"), "shard").agg(
+            F.collect_list(F.struct("slot", F.col("key.terms").alias("word"))).alias("own")
         )
     else:
-        counts = docs.sparkSession.createDataFrame([], schema)
-        slots = docs.sparkSession.createDataFrame([], "shard bigint, slot bigint, lang string, term string")
+        counts = docs.sparkSession.createDataFrame([], _COUNTED)
+        slots = docs.sparkSession.createDataFrame([], "lang string, shard bigint, own array<struct<slot:int,word:string>>")
 
     # one row a language: its sources in order, their totals, kept terms
-    total = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    sum_of = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, b: a + b)
+    total = counts.groupBy("lang", "source").agg(F.sum(sum_of("n")).alias("total"))
     sources = groups.select("lang", "source").distinct().join(total, ["lang", "source"], "left")
     lists = sources.groupBy("lang").agg(
         F.sort_array(F.collect_list(F.struct("source", F.coalesce("total", F.lit(0)).alias("total")))).alias("own")
@@ -370,16 +429,15 @@ def audit(
     lists = folder.write(
         lists.join(sizes, "lang", "left").select(
             "lang", F.col("own.source").alias("sources"), F.col("own.total").alias("totals"), F.coalesce("v", F.lit(0)).alias("v")
-        ).withColumn("lang_total", F.aggregate("totals", F.lit(0).cast("long"), lambda a, b: a + b))
+        ).withColumn("lang_total", sum_of("totals"))
     )
     numbered = lists.select("lang", F.posexplode("sources").alias("at", "source"))
-    rows = counts.join(numbered, ["lang", "source"]).groupBy("shard", "slot").agg(
-        F.collect_list(F.struct("at", "n")).alias("own")
-    )
-    rows = rows.join(slots, ["shard", "slot"]).join(lists.drop("sources"), "lang").select(
-        "lang", "term", F.col("own.at").alias("at"), F.col("own.n").alias("n"), "totals", "v", "lang_total"
+    counted = counts.join(numbered, ["lang", "source"]).select("lang", "shard", "at", "slots", "n")
+    known = slots.join(lists, "lang").select(
+        "lang", "shard", F.col("own.slot").alias("slots"), F.col("own.word").alias("words"), "totals", "v", "lang_total"
     )
-    found = folder.write(rows.mapInArrow(_compare, "lang string, at int, other int, term string, value bigint"))
+    met = counted.groupBy("lang", "shard").cogroup(known.groupBy("lang", "shard"))
+    found = folder.write(met.applyInArrow(_compare(top_terms), "lang string, at int, other int, term string, value bigint"))
 
     best = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     held = found.where("other < 0").join(numbered, ["lang", "at"])
