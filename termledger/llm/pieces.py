@@ -18,6 +18,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -30,10 +31,10 @@ from termledger.session import StepFolder
 
 MARK = "\u2581"
 #: Chunks that are broadcast at most, the most frequent ones, and the bytes of
-#: each: some 16 MB.
-FREQUENT, FREQUENT_BYTES = 65_536, 64
+#: each: some 64 MB.
+FREQUENT, FREQUENT_BYTES = 262_144, 64
 #: Distinct chunks and letters that a task holds at most, to count or segment them.
-HELD_CHUNKS, HELD_LETTERS = 50_000, 4_000_000
+HELD_CHUNKS, HELD_LETTERS = 200_000, 4_000_000
 #: Letters of a text that are cut into chunks at once.
 SLICE = 1_000_000
 #: Bytes of texts or ids whose results are held before they are passed on.
@@ -89,10 +90,11 @@ def chunks(text: str) -> Iterator[list[str]]:
         yield _CHUNK.findall(marked, start)
 
 
-def segment(model, chunk: str) -> list[int]:
-    """The ids of one chunk. The library puts the first mark back by itself, but
+def segment(model, some: list[str]) -> list[list[int]]:
+    """The ids of each chunk. The library puts the first mark back by itself, but
     for a text without signs."""
-    return model.encode(chunk[1:]) if len(chunk) > 1 else [model.piece_to_id(MARK)]
+    alone = [model.piece_to_id(MARK)]
+    return [ids or alone for ids in model.encode([chunk[1:] for chunk in some], num_threads=1)]
 
 
 def _count(batches):
@@ -125,7 +127,7 @@ def segmented(table: DataFrame, model: Pieces) -> DataFrame:
     def run(batches):
         own = processor(data)
         for batch in batches:
-            ids = [segment(own, x.as_py()) for x in batch.column(0)]
+            ids = segment(own, batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, _INTS)], names=["chunk", "ids"])
 
     return table.select("chunk").mapInArrow(run, "chunk string, ids array<int>")
@@ -168,26 +170,21 @@ def encode(docs: DataFrame, model: Pieces, id_col: str = "doc_id", text_col: str
     data = model.data
 
     def run(batches):
-        get, own = known.value.get, processor(data)
+        frequent, own = known.value, processor(data)
         begin, end = own.bos_id(), own.eos_id()
-        rare, letters = {}, 0
+        held, letters = dict(frequent), 0
         for whole in batches:
             for batch in parts(whole, 1, PART_BYTES):
-                all_ids = []
-                for text in batch.column(1):
-                    ids = [begin]
-                    for some in chunks(text.as_py() or ""):
-                        for chunk in some:
-                            found = get(chunk) or rare.get(chunk)
-                            if found is None:
-                                if len(rare) >= HELD_CHUNKS or letters >= HELD_LETTERS:
-                                    rare, letters = {}, 0
-                                found = rare[chunk] = segment(own, chunk)
-                                letters += len(chunk)
-                            ids += found
-                    ids.append(end)
-                    all_ids.append(np.array(ids, np.int32))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(all_ids, _INTS)], names=["id", "ids"])
+                cut = [list(chunks(text.as_py() or "")) for text in batch.column(1)]
+                new = list({chunk for text in cut for some in text for chunk in some if chunk not in held})
+                if len(held) - len(frequent) + len(new) > HELD_CHUNKS or letters > HELD_LETTERS:
+                    held, letters = dict(frequent), 0
+                    new = list({chunk for text in cut for some in text for chunk in some if chunk not in held})
+                held.update(zip(new, segment(own, new)))
+                letters += sum(map(len, new))
+                joined = lambda some: chain.from_iterable(map(held.__getitem__, some))
+                ids = [np.array([begin, *chain.from_iterable(map(joined, text)), end], np.int32) for text in cut]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, _INTS)], names=["id", "ids"])
 
     kind = texts.schema["id"].dataType.simpleString()
     return texts.mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
@@ -203,7 +200,7 @@ def decode(encoded: DataFrame, model: Pieces, id_col: str = "doc_id") -> DataFra
         own = processor(data)
         for whole in batches:
             for batch in parts(whole, 1, PART_BYTES):
-                texts = [own.decode(ids.as_py()) for ids in batch.column(1)]
+                texts = [own.decode(ids.values.to_numpy().tolist()) for ids in batch.column(1)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=["id", "ids", "text"])
 
     return source.mapInArrow(run, f"id {kind}, ids array<int>, text string").withColumnRenamed("id", id_col)
@@ -221,8 +218,9 @@ def round_trip(encoded: DataFrame, model: Pieces, id_col: str = "doc_id") -> Dat
         for batch in batches:
             sizes, of_ids, of_texts = [], [], []
             for ids in batch.column(1):
-                text = own.decode(ids.as_py())
-                ids = ids.values.to_numpy(zero_copy_only=False).astype("<u4")
+                ids = ids.values.to_numpy()
+                text = own.decode(ids.tolist())
+                ids = ids.astype("<u4")
                 sizes.append(len(ids))
                 of_ids.append(hashlib.sha256(ids.tobytes()).hexdigest())
                 of_texts.append(hashlib.sha256(text.encode()).hexdigest())

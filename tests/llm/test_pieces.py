@@ -36,7 +36,7 @@ def texts(n, most):
 def test_chunks_are_segmented_as_in_the_whole_text(model, library, monkeypatch):
     monkeypatch.setattr(pieces, "SLICE", 37)
     for text in texts(3000, 120):
-        ids = [i for some in pieces.chunks(text) for c in some for i in pieces.segment(library, c)]
+        ids = [i for some in pieces.chunks(text) for own in pieces.segment(library, some) for i in own]
         assert [library.bos_id(), *ids, library.eos_id()] == library.encode(text, add_bos=True, add_eos=True)
 
 

@@ -9,7 +9,7 @@ import re
 import xxhash
 
 import corpus_pipeline as pipeline
-from termledger.llm import decontaminate, url_rules
+from termledger.llm import decontaminate, licenses, url_rules
 
 ROWS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -222,3 +222,43 @@ def test_url_rules_see_the_whole_url(spark):
     mined = url_rules.mine(frame, min_support=0.1)
     assert {(r.tokens, r.verdict): r.confidence for r in mined} == sure
     assert any(len(tokens) > 1 for tokens, _ in sure)
+
+
+def plain_words(text):
+    return re.findall(r"[^\W_]+", (text or "").lower())
+
+
+def test_license_scan_by_nested_loops(spark):
+    """Every window of every text against every template of its class."""
+    draw = random.Random(17)
+    templates = {k: v for k, v in licenses.TEMPLATES.items() if k in ("mit", "gpl-3.0", "bsd-2-clause", "mit-short", "apache-2.0-short")}
+    templates["odd"] = "A Licence of seven words, no more"
+    rows = [(900, None), (901, ""), (902, "four words are short"), (903, sentence(draw, 2000))]
+    for n in range(60):
+        own = draw.choice(list(templates.values())).split()
+        for _ in range(draw.randrange(0, 6)):
+            at = draw.randrange(len(own))
+            own[at : at + draw.randrange(2)] = draw.choice([["inserted"], ["other"], []])
+        cut = own[draw.randrange(0, 4) : len(own) - draw.randrange(0, 9)]
+        rows.append((n, " ".join([sentence(draw, draw.randrange(1, 150)), *cut, sentence(draw, draw.randrange(1, 150))])))
+    shingled = lambda w: [tuple(w[i : i + 5]) for i in range(len(w) - 4)] if len(w) >= 5 else [tuple(w)] * bool(w)
+    known = {name: dict.fromkeys(shingled(plain_words(t))) for name, t in templates.items()}
+    expected = set()
+    for n, text in rows:
+        h = shingled(plain_words(text))
+        for name, s in known.items():
+            w = 1 << (len(s) - 1).bit_length()
+            step, best = max(1, w // 4), None
+            for start in range(0, max(0, len(h) - 1 - step) + 1, step):
+                window = h[start : start + w + step]
+                share = len(set(window) & set(s)) / len(s)
+                held = [k for k, x in enumerate(window) if x in s]
+                if share >= 0.8:
+                    key = (share, -start, -held[-1])
+                    best = max(best, (key, start + held[0], start + held[-1] + 4)) if best else (key, start + held[0], start + held[-1] + 4)
+            if best:
+                expected.add((n, name, round(best[0][0], 12), best[1], best[2]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = licenses.scan(docs, templates).collect()
+    assert {(r.doc_id, r.template, round(r.containment, 12), r.first_word, r.last_word) for r in out} == expected
+    assert len(expected) > 15 and len({name for _, name, *_ in expected}) >= 4
