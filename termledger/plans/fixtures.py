@@ -268,8 +268,10 @@ def fx_dep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fx_read_term(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
+    digits = key.cast("string")
     return table(spark, sf_dir, "part").select(
-        F.lpad(key.cast("string"), 5, "0").alias("read_code"),
+        # five signs, more for keys that have more, so that a code stands for one part
+        F.lpad(digits, F.greatest(F.lit(5), F.length(digits)), F.lit("0")).alias("read_code"),
         F.lit("00").alias("term_code"),
         F.when(key % 3 == 0, F.lit("")).otherwise(F.col("p_type")).alias("term_30"),
         F.when(key % 4 == 0, F.lit(None).cast("string")).otherwise(F.col("p_name")).alias("term_60"),

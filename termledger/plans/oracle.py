@@ -137,7 +137,7 @@ from supplier cross join (select date '2018-08-01' as effective_date union all s
 )
 _view(
     "fx_read_term",
-    """select lpad(cast(p_partkey as string), 5, '0') as read_code, '00' as term_code,
+    """select lpad(cast(p_partkey as string), cast(greatest(5, length(cast(p_partkey as string))) as integer), '0') as read_code, '00' as term_code,
   case when p_partkey % 3 = 0 then '' else p_type end as term_30,
   case when p_partkey % 4 = 0 then null else p_name end as term_60,
   case when p_partkey % 5 = 0 then p_brand else '' end as term_198
