@@ -109,6 +109,24 @@ def test_mix_meets_its_targets(spark):
     assert mixing.mix(docs.limit(0), (5, 2, 1)).count() == 0
 
 
+def test_mix_of_rows_without_ids_and_of_copies(spark):
+    """Rows without an id are drawn by their texts; copies are taken one by one."""
+    draw = random.Random(6)
+    rows = [(None if n % 3 else n, sentence(draw, draw.randrange(1, 40)), draw.choice("pq")) for n in range(600)]
+    rows += [(None, "one and the same text", "p")] * 400 + [(5, None, "q")] * 30
+    docs = spark.createDataFrame(rows, DOCS)
+    for per_bucket in (4096, 20):
+        out = mixing.mix(docs, (5, 2, 1), per_bucket=per_bucket).collect()
+        assert sorted((str(r.doc_id), r.source, r["size"]) for r in out) == sorted(
+            (str(a), c, len((b or "").split())) for a, b, c in rows
+        )
+        for source in "pq":
+            own = [r for r in out if r.source == source]
+            assert abs(sum(r.taken for r in own) - own[0].target) <= 40
+        copies = {r.repeats for r in out if r["size"] == 5 and r.doc_id is None and r.source == "p"}
+        assert max(copies) - min(copies) <= 1
+
+
 def test_lookup_table():
     names = [f"s{k}" for k in range(7)]
     table = sharding.lookup_table(names)
@@ -263,6 +281,21 @@ def test_token_counts(spark, tmp_path, name):
     assert tokens.count_tokens(docs.limit(0), tokenizer, cache).count() == 0
 
 
+def test_repeated_texts_are_encoded_once(spark, tmp_path, monkeypatch):
+    """Copies of a row, with and without an id: one line of the cache a text."""
+    import public_tokenizers
+
+    rows = [(None, f"text {n % 7}") for n in range(70)] + [(3, "text 1")] * 5 + [(4, "its own"), (None, None), (None, "")] + [(9, "copied")] * 8
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    tokenizer, cache = tokens.Tokenizer(public_tokenizers.path("piece_bpe_32k.model")), str(tmp_path / "cache")
+    for limit in (10**6, 0):  # either way of choosing the rows to encode
+        monkeypatch.setattr(tokens, "BROADCAST_ROWS", limit)
+        out = tokens.count_tokens(docs, tokenizer, f"{cache}{limit}").collect()
+        assert len(out) == len(rows)
+        stored = spark.read.parquet(f"{cache}{limit}")
+        assert stored.count() == stored.select("digest").distinct().count() == len({t or "" for _, t in rows})
+
+
 # -- top-k -------------------------------------------------------------------
 
 
@@ -285,6 +318,23 @@ def test_top_k(spark, query_block, monkeypatch):
     assert topk.top_k(df.limit(0), F.col("id") % 10 == 0).count() == 0
 
 
+def test_top_k_of_repeated_rows(spark):
+    """Each row is a candidate and a query of its own, whatever repeats."""
+    draw = np.random.default_rng(4)
+    rows = [(n, v) for n, v in enumerate(draw.normal(size=(40, 4)).tolist())]
+    rows += [rows[10]] * 3 + [rows[7]] * 5 + [(10, rows[3][1]), (7, rows[3][1])]
+    ints = [(n, [int(np.floor(1024 * x)) for x in v]) for n, v in rows]
+    expected = []
+    for q, own in ints:
+        if q % 10 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(own, v)), n) for n, v in ints if n != q)[:6]
+            expected += [(q, rank + 1, n, -s) for rank, (s, n) in enumerate(scored)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for block in (4096, 2):
+        out = topk.top_k(df, F.col("id") % 10 == 0, k=6, query_block=block).collect()
+        assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in out) == sorted(expected)
+
+
 # -- toxicity ----------------------------------------------------------------
 
 
