@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
-from itertools import count
+from itertools import count, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +29,14 @@ MIN_DOCS = 3
 #: Ranks of the terms of a group.
 TOP_TERMS = 200
 #: Kept terms of a shard, on average, and of a bucket of its hash.
-SHARD_KEYS, BUCKET_KEYS = 16_384, 4
+SHARD_KEYS, BUCKET_KEYS = 65_536, 4
 #: Bytes of the shards that are broadcast for one pass over the texts; more
 #: kept terms take more passes.
 PASS_BYTES = 24_000_000
 #: Terms that a task holds, with their counts or their slots.
 HELD = 100_000
-#: Dense slots that a task holds, 4 bytes each, and cells of a block of numbers.
-HELD_SLOTS, CELLS = 16_000_000, 500_000
+#: Cells of a block of numbers.
+CELLS = 500_000
 #: Bytes of texts whose terms are looked up together.
 PART_BYTES = 2_000_000
 #: Counts of a group and shard that are added up in one step.
@@ -204,9 +204,13 @@ def recount(groups: DataFrame, hashes: DataFrame, shards: int, folder: StepFolde
     that are met and their counts, from rows (lang, source, text).
 
     Each pass over the texts has as many shards broadcast as ``PASS_BYTES`` hold
-    by their stored keys. The tasks' counts are added up ``ADDED`` at a time, so
-    a group never meets whole in one task, however many tasks have counted it.
+    by their stored keys. A task takes its rows group by group, so it holds the
+    dense slots of one group, and passes each group on once. The tasks' counts are
+    added up ``ADDED`` at a time, so a group never meets whole in one task,
+    however many tasks have counted it.
     """
+    tasks = groups.rdd.getNumPartitions()
+    groups = groups.sortWithinPartitions("lang", "source")
     size = F.aggregate(F.transform("terms", F.octet_length), F.lit(0).cast("long"), lambda a, b: a + b)
     size += F.aggregate(F.transform("langs", F.octet_length), F.lit(0).cast("long"), lambda a, b: a + b)
     total = hashes.agg(F.sum(size + F.size("terms") * 5 + F.size("shift") * 8)).first()[0] or 0
@@ -216,16 +220,14 @@ def recount(groups: DataFrame, hashes: DataFrame, shards: int, folder: StepFolde
         table = hashes.where((F.col("shard") >= first) & (F.col("shard") < first + step)).toArrow()
         counted = _one_pass(groups, table, first, min(step, shards - first), shards)
         found = counted if found is None else found.unionAll(counted)
-    found = folder.write(found.withColumn("part", F.monotonically_increasing_id()))
-    keys = ["lang", "source", "shard"]
-    while (most := found.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) > 1:
-        lots = -(-most // ADDED)
-        dealt = found.withColumn("lot", F.pmod(F.xxhash64("part"), F.lit(lots)))
-        added = dealt.groupBy(*keys, "lot").applyInArrow(_add, f"{_COUNTED}, part bigint")
+    found = found.withColumn("part", F.spark_partition_id().cast("bigint"))
+    while True:
+        tasks = -(-tasks // ADDED)
+        dealt = found.withColumn("lot", F.pmod(F.xxhash64("part"), F.lit(max(1, tasks))))
+        added = dealt.groupBy("lang", "source", "shard", "lot").applyInArrow(_add, f"{_COUNTED}, part bigint")
         found = folder.write(added)
-        if lots == 1:
-            break
-    return found.drop("part")
+        if tasks <= 1:
+            return found.drop("part")
 
 
 def _add(table: pa.Table) -> pa.Table:
@@ -254,24 +256,21 @@ def _one_pass(groups: DataFrame, table: pa.Table, first: int, step: int, shards:
 
     def run(batches):
         own = Shards(pa.ipc.open_stream(shared.value).read_all(), first, shards)
-        dense: dict[tuple, np.ndarray] = {}
         # per language the place of each term met, the last place for terms that aren't kept
         known: dict[str, dict[bytes, int]] = defaultdict(dict)
 
-        def flush():
-            for (lang, source), counts in dense.items():
-                at = np.nonzero(counts[:-1])[0]
-                slots = own.of_lang[lang][at]
-                shard = np.searchsorted(own.slots_from, slots, side="right") - 1
-                starts = np.nonzero(np.diff(shard, prepend=-1))[0]
-                offsets = pa.array(np.append(starts, len(at)), pa.int32())
-                lists = lambda values, kind: pa.ListArray.from_arrays(offsets, pa.array(values, kind))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(starts), pa.string()), pa.array([source] * len(starts), pa.string()),
-                     pa.array(shard[starts] + first, pa.int64()), lists(slots - own.slots_from[shard], pa.int32()),
-                     lists(counts[at], pa.int64())],
-                    names=["lang", "source", "shard", "slots", "n"],
-                )
+        def passed_on(group, counts):
+            at = np.nonzero(counts[:-1])[0]
+            slots = own.of_lang[group[0]][at]
+            shard = np.searchsorted(own.slots_from, slots, side="right") - 1
+            starts = np.nonzero(np.diff(shard, prepend=-1))[0]
+            offsets = pa.array(np.append(starts, len(at)), pa.int32())
+            lists = lambda values, kind: pa.ListArray.from_arrays(offsets, pa.array(values, kind))
+            return pa.RecordBatch.from_arrays(
+                [*(pa.array([name] * len(starts), pa.string()) for name in group), pa.array(shard[starts] + first, pa.int64()),
+                 lists(slots - own.slots_from[shard], pa.int32()), lists(counts[at], pa.int64())],
+                names=["lang", "source", "shard", "slots", "n"],
+            )
 
         def learn(lang: str, words: set[bytes]):
             new = list(words - known[lang].keys())
@@ -283,26 +282,22 @@ def _one_pass(groups: DataFrame, table: pa.Table, first: int, step: int, shards:
             places, slots = own.find([prefix + w for w in new])
             known[lang].update(zip(map(new.__getitem__, places.tolist()), own.place[slots].tolist()))
 
+        current, counts = None, None
         for whole in batches:
             for batch in parts(whole, 2, PART_BYTES):
-                held, words = defaultdict(list), defaultdict(set)
-                for lang, source, text in zip(*(batch.column(k) for k in range(3))):
-                    lang, found = lang.as_py(), terms(text.as_py())
-                    if found and lang in own.of_lang:
-                        held[lang, source.as_py()].append(found)
-                        words[lang].update(found)
-                for lang in words:
-                    learn(lang, words[lang])
-                    place = known[lang].__getitem__
-                    for group in [g for g in held if g[0] == lang]:
-                        if group not in dense:
-                            if sum(map(len, dense.values())) >= HELD_SLOTS:
-                                yield from flush()
-                                dense.clear()
-                            dense[group] = np.zeros(len(own.of_lang[lang]) + 1, np.int32)
-                        for found in held[group]:
-                            np.add.at(dense[group], np.fromiter(map(place, found), np.int64, len(found)), 1)
-        yield from flush()
+                names = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                for group, rows in groupby(enumerate(names), lambda row: row[1]):
+                    if group[0] not in own.of_lang:
+                        continue
+                    if group != current:
+                        if current:
+                            yield passed_on(current, counts)
+                        current, counts = group, np.zeros(len(own.of_lang[group[0]]) + 1, np.int64)
+                    words = [w for k, _ in rows for w in terms(batch.column(2)[k].as_py())]
+                    learn(group[0], set(words))
+                    np.add.at(counts, np.fromiter(map(known[group[0]].__getitem__, words), np.int64, len(words)), 1)
+        if current:
+            yield passed_on(current, counts)
 
     return groups.mapInArrow(run, _COUNTED)
 

@@ -57,7 +57,7 @@ def frame(spark, rows):
 @pytest.mark.parametrize("small", [False, True])
 def test_audit_by_nested_loops(spark, monkeypatch, small):
     if small:  # many shards, passes, blocks and flushes
-        values = {"SHARD_KEYS": 4, "PASS_BYTES": 150, "HELD": 5, "HELD_SLOTS": 10, "CELLS": 12, "PART_BYTES": 60, "ADDED": 2}
+        values = {"SHARD_KEYS": 4, "PASS_BYTES": 150, "HELD": 5, "CELLS": 12, "PART_BYTES": 60, "ADDED": 2}
         for name, value in values.items():
             monkeypatch.setattr(divergence, name, value)
     rows = case()
