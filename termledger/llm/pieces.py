@@ -15,10 +15,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -31,10 +31,10 @@ from termledger.session import StepFolder
 
 MARK = "\u2581"
 #: Chunks that are broadcast at most, the most frequent ones, and the bytes of
-#: each: some 64 MB.
-FREQUENT, FREQUENT_BYTES = 262_144, 64
+#: each: some 32 MB.
+FREQUENT, FREQUENT_BYTES = 131_072, 64
 #: Distinct chunks and letters that a task holds at most, to count or segment them.
-HELD_CHUNKS, HELD_LETTERS = 200_000, 4_000_000
+HELD_CHUNKS, HELD_LETTERS = 100_000, 4_000_000
 #: Letters of a text that are cut into chunks at once.
 SLICE = 1_000_000
 #: Bytes of texts or ids whose results are held before they are passed on.
@@ -97,6 +97,11 @@ def segment(model, some: list[str]) -> list[list[int]]:
     return [ids or alone for ids in model.encode([chunk[1:] for chunk in some], num_threads=1)]
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as 32-bit integers: a fifth of a list's memory, and joined as they are."""
+    return array("i", ids).tobytes()
+
+
 def _count(batches):
     """(chunk, n), summed in the task as far as it holds them."""
 
@@ -166,12 +171,12 @@ def encode(docs: DataFrame, model: Pieces, id_col: str = "doc_id", text_col: str
     counts = folder.write(counts.where("n > 1"))
     frequent = counts.where(F.col("n") >= least_count(counts, FREQUENT))
     table = folder.write(segmented(frequent, model))
-    known = spark.sparkContext.broadcast({r["chunk"]: r["ids"] for r in table.collect()})
+    known = spark.sparkContext.broadcast({r["chunk"]: packed(r["ids"]) for r in table.collect()})
     data = model.data
 
     def run(batches):
         frequent, own = known.value, processor(data)
-        begin, end = own.bos_id(), own.eos_id()
+        begin, end = packed([own.bos_id()]), packed([own.eos_id()])
         held, letters = dict(frequent), 0
         for whole in batches:
             for batch in parts(whole, 1, PART_BYTES):
@@ -180,10 +185,10 @@ def encode(docs: DataFrame, model: Pieces, id_col: str = "doc_id", text_col: str
                 if len(held) - len(frequent) + len(new) > HELD_CHUNKS or letters > HELD_LETTERS:
                     held, letters = dict(frequent), 0
                     new = list({chunk for text in cut for some in text for chunk in some if chunk not in held})
-                held.update(zip(new, segment(own, new)))
+                held.update(zip(new, map(packed, segment(own, new))))
                 letters += sum(map(len, new))
-                joined = lambda some: chain.from_iterable(map(held.__getitem__, some))
-                ids = [np.array([begin, *chain.from_iterable(map(joined, text)), end], np.int32) for text in cut]
+                joined = lambda some: b"".join(map(held.__getitem__, some))
+                ids = [np.frombuffer(b"".join([begin, *map(joined, text), end]), np.int32) for text in cut]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, _INTS)], names=["id", "ids"])
 
     kind = texts.schema["id"].dataType.simpleString()
