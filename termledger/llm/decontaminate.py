@@ -16,7 +16,10 @@ SLOTS = 0.8
 
 #: What ends a sentence if it ends a word; all other marks part words.
 ENDS = ".!?:"
-MARKS = r"[^\p{L}\p{N}.!?:]+|(?<![\p{L}\p{N}])[.!?:]+"
+# Runs of letters and digits are read whole; ASCII stands first since it is tested fastest.
+LETTER = r"a-zA-Z0-9\p{L}\p{N}"
+# All from a sign that is no letter or digit to the next letter or digit, but for an end behind a letter or digit.
+MARKS = rf"[^{LETTER}](?<![{LETTER}][{ENDS}])[^{LETTER}]*+"
 # The units known after a number.
 UNITS = (
     "mm cm dm m km in ft yd mi mg g kg t oz lb ml cl dl l s sec second seconds min minute minutes h hour hours day days "
@@ -25,38 +28,55 @@ UNITS = (
     "pound pounds liter liters litre litres cent cents dollar dollars euro euros usd eur gbp percent degrees"
 ).split()
 NUM, NAME, UNIT = "<num>", "<name>", "<unit>"
+# Signs whose lower case is another one: capitals but for some letter-like symbols, and Roman numerals.
+CAPITAL = (
+    r"[A-Z\p{Lu}\p{Lt}\x{2160}-\x{216f}&&[^\x{3d2}-\x{3d4}\x{2100}-\x{2125}\x{2127}-\x{2129}"
+    r"\x{212c}-\x{2131}\x{2133}-\x{214f}\x{1d400}-\x{1d7ff}]]"
+)
+# In words that each follow one blank; the sign of Kelvin is a capital k.
+_UNITS = "|".join(UNITS).replace("k", r"[k\x{212a}]")
+UNIT_AT = rf"( [0-9][^ ]*+) (?i:{_UNITS})(?=[{ENDS}]?(?: |\z))"
+NAME_AT = rf" (?<=[^ {ENDS}] )(?![a-z0-9]){CAPITAL}[^ ]*+"
+NUM_AT = " [0-9][^ ]*+"
+END_AT = rf"[{ENDS}](?= |\z)"
+# Between plain words, once all other marks are blanks; the dot of a lower-cased capital I with a dot is no letter.
+GAPS = f" {ENDS}\u0307"
 
 
 def canonical(df: DataFrame, text_col: str, *keep: str) -> DataFrame:
-    """The columns to keep, and the words twice: ``raw``, lower-cased, and
-    ``canon``, with placeholders.
+    """The columns to keep, and the words three times: ``raw``, lower-cased,
+    ``canon``, with placeholders, and ``plain``, lower-cased and parted by
+    whatever is no letter or digit.
 
     Words are parted by white space and marks, but for a point or colon behind a
     letter or digit, as in 3.5. A word that begins with a digit is a number; a
     known unit behind a number is a unit; a capitalised word that doesn't begin a
     sentence or line is a name.
 
-    Each array is made in a projection of its own: a lambda that held the
-    expression of another array would make that again for every word.
+    All is done on the whole text, by patterns whose first sign is a blank, and
+    only the result is split: functions of single words aren't compiled.
     """
     lines = F.replace(F.coalesce(F.col(text_col), F.lit("")), F.lit("\n"), F.lit(". "))
-    spaced = F.regexp_replace(lines, MARKS, " ")
-    kept = df.select(*keep, F.filter(F.split(spaced, " "), lambda w: w != "").alias("_w"))
-    both = kept.select(*keep, "_w", F.transform("_w", lambda w: F.rtrim(w, F.lit(ENDS))).alias("_b"))
-
-    def canon(b: Column, i: Column) -> Column:
-        first = F.substring(b, 1, 1)
-        after_number = F.substring(F.get("_b", i - 1), 1, 1).between("0", "9")
-        begins = (i == 0) | F.substring(F.get("_w", i - 1), -1, 1).isin(*ENDS)
-        lower = F.lower(b)
-        return (
-            F.when(first.between("0", "9"), NUM)
-            .when(after_number & lower.isin(UNITS), UNIT)
-            .when((F.lower(first) != first) & ~begins, NAME)
-            .otherwise(lower)
-        )
+    spaced = F.concat(F.lit(" "), F.trim(F.regexp_replace(lines, MARKS, " ")))
+    spaced = df.select(*keep, F.col(text_col).alias("_t"), spaced.alias("_s"))
 
-    return both.select(*keep, F.transform("_b", F.lower).alias("raw"), F.transform("_b", canon).alias("canon"))
+    def words(text: str, gaps: str = " ") -> Column:
+        bare = F.trim(F.col(text), F.lit(gaps))
+        parted_by = gaps if len(gaps) == 1 else f"[{gaps}]++"
+        return F.when(bare != "", F.split(bare, parted_by)).otherwise(F.array().cast("array<string>"))
+
+    canon = F.regexp_replace("_s", UNIT_AT, f"$1 {UNIT}")
+    canon = F.regexp_replace(F.regexp_replace(canon, NAME_AT, f" {NAME}"), NUM_AT, f" {NUM}")
+    # the lower case of a capital sigma depends on the marks around it
+    sigma = F.regexp_replace(F.lower(F.col("_t")), rf"[^{LETTER}]++", " ")
+    plain = F.when(F.contains(F.col("_t"), F.lit("\u03a3")), sigma).otherwise(F.lower("_s"))
+    forms = spaced.select(
+        *keep,
+        F.lower(F.regexp_replace("_s", END_AT, "")).alias("_r"),
+        F.lower(F.regexp_replace(canon, END_AT, "")).alias("_c"),
+        plain.alias("_p"),
+    )
+    return forms.select(*keep, words("_r").alias("raw"), words("_c").alias("canon"), words("_p", GAPS).alias("plain"))
 
 
 def windows(canon: Column, *salt: Column) -> Column:
@@ -73,9 +93,32 @@ def windows(canon: Column, *salt: Column) -> Column:
     )
 
 
-def plain(text_col: str) -> Column:
-    """The lower-cased words whatever the marks between them."""
-    return F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+def _held(docs: DataFrame) -> DataFrame:
+    """(doc_text, window) of all windows of the columns ``canon`` and ``plain``,
+    the same hashes as those of ``windows``.
+
+    The words of both forms stand in one array, and each place of it is a row
+    that hashes the five words from there; rows of places beyond a form's last
+    window go. So the windows are made in compiled code. The explode is an outer
+    one since before another the planner filters by the array's size, which
+    would make the words twice.
+    """
+    def padded(form: str) -> Column:
+        nulls = [F.lit(None).cast("string")] * (WINDOW - 1)
+        return (
+            F.when(F.size(form) >= WINDOW, F.col(form))
+            .when(F.size(form) > 0, F.array(F.concat_ws(" ", form), *nulls))
+            .otherwise(F.array().cast("array<string>"))
+        )
+
+    both = docs.select("doc_text", padded("canon").alias("_c"), padded("plain").alias("_p"))
+    both = both.select("doc_text", F.size("_c").alias("_n"), F.concat("_c", "_p").alias("_w"))
+    placed = both.select("doc_text", "_n", "_w", F.posexplode_outer("_w").alias("_i", "_first"))
+    at, n = F.col("_i"), F.col("_n")
+    last = F.when(at < n, n).otherwise(F.size("_w")) - WINDOW
+    salt = F.when(at >= n, F.lit("plain"))  # a null leaves the hash as it is
+    run = F.xxhash64(salt, "_first", *[F.get("_w", at + k) for k in range(1, WINDOW)])
+    return placed.where(at <= last).select("doc_text", run.alias("window"))
 
 
 def contaminated(
@@ -116,7 +159,7 @@ def contaminated(
     folder = StepFolder(spark, "decontaminate", keep=True)
     items = benchmark.select(F.col(item_id_col).alias("item"), F.col(item_text_col).alias("text"))
     items = items.where("item is not null").distinct().withColumn("item_text", F.xxhash64("text"))
-    items = canonical(items.withColumn("plain", plain("text")), "text", "item", "item_text", "plain")
+    items = canonical(items, "text", "item", "item_text")
     items = folder.write(
         items.select("item", "item_text", "raw", "canon", windows(F.col("canon")).alias("at"),
                      windows(F.col("plain"), F.lit("plain")).alias("plain_at"))
@@ -127,9 +170,7 @@ def contaminated(
     known = folder.write(owned.select("window").distinct())
 
     keyed = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("doc_text"))
-    split = canonical(keyed.withColumn("plain", plain("text")), "text", "doc_text", "plain")
-    held = F.concat(windows(F.col("canon")), windows(F.col("plain"), F.lit("plain")))
-    hits = split.select("doc_text", F.explode(held).alias("window")).join(
+    hits = _held(canonical(keyed, "text", "doc_text")).join(
         broadcast_if_small(known, known.count()), "window", "left_semi"
     )
     hits = folder.write(hits.distinct())

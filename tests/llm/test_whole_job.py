@@ -5,8 +5,10 @@ from __future__ import annotations
 import itertools
 import random
 import re
+import unicodedata
 
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from termledger.llm import decontaminate, licenses, url_rules
@@ -150,6 +152,49 @@ def test_nearest_shifts_by_nested_loops(spark):
     assert sorted(found) == sorted(expected)
 
 
+def test_placeholders_word_by_word(spark):
+    """Words, placeholders and windows against loops over the words; windows are
+    made in compiled code."""
+    draw = random.Random(23)
+    signs = list("aAbZ09 .!?:,;-\n\t()'\u00e9\u00c9\u00df\u0130\u01c5\u2162\u4e2d\u212a\u0301$\\")
+    signs += [" km", " KM", "5 km", " Kg.", " The", " 3.5", " and ", "..", ". ", " 5 Km", " mm", " x y z"]
+    texts = ["".join(draw.choice(signs) for _ in range(draw.randrange(70))) for _ in range(3000)]
+    texts += ["", " ", "...", "one", "Only three Words", "\u039f\u03a3'\u0391 \u039f\u03a3. b", None]
+    letter = lambda c: unicodedata.category(c)[0] in "LN"
+
+    def forms(text):
+        lines = (text or "").replace("\n", ". ")
+        spaced = "".join(
+            c if letter(c) or c in ".!?:" and k and letter(lines[k - 1]) else " " for k, c in enumerate(lines)
+        )
+        words = [w for w in spaced.split(" ") if w]
+        bare = [w.rstrip(".!?:") for w in words]
+        canon = []
+        for k, b in enumerate(bare):
+            if "0" <= b[0] <= "9":
+                canon.append("<num>")
+            elif k and "0" <= bare[k - 1][0] <= "9" and b.lower() in decontaminate.UNITS:
+                canon.append("<unit>")
+            elif b[0].lower() != b[0] and k and words[k - 1][-1] not in ".!?:":
+                canon.append("<name>")
+            else:
+                canon.append(b.lower())
+        plain = "".join(c if letter(c) else " " for c in (text or "").lower()).split()
+        return [b.lower() for b in bare], canon, plain
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_text long, text string").repartition(3)
+    split = decontaminate.canonical(docs, "text", "doc_text")
+    got = {r.doc_text: (r.raw, r.canon, r.plain) for r in split.collect()}
+    assert got == {k: forms(t) for k, t in enumerate(texts)}
+
+    held = decontaminate._held(split)
+    plain = decontaminate.windows(F.col("plain"), F.lit("plain"))
+    want = split.select("doc_text", F.explode(F.concat(decontaminate.windows(F.col("canon")), plain)).alias("window"))
+    assert sorted(map(tuple, held.collect())) == sorted(map(tuple, want.collect()))
+    planned = held._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in planned and planned.count("regexp_replace") == 6  # each pattern runs once
+
+
 def test_a_long_document_of_numbers(spark):
     """Its windows repeat at every place; the table of numbers holds the item's template."""
     item = "Sum " + " ".join(str(n) for n in range(1, 13))
