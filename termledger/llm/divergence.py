@@ -10,8 +10,7 @@ the slot of the document's group.
 
 from __future__ import annotations
 
-import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from itertools import count, groupby
 
 import numpy as np
@@ -33,12 +32,14 @@ SHARD_KEYS, BUCKET_KEYS = 65_536, 4
 #: Bytes of the shards that are broadcast for one pass over the texts; more
 #: kept terms take more passes.
 PASS_BYTES = 24_000_000
-#: Terms that a task holds, with their counts or their slots.
+#: Terms that a task holds with their slots.
 HELD = 100_000
 #: Cells of a block of numbers.
 CELLS = 500_000
 #: Bytes of texts whose terms are looked up together.
 PART_BYTES = 2_000_000
+#: Bytes of texts whose documents are counted together.
+COUNTED_BYTES = 4_000_000
 #: Counts of a group and shard that are added up in one step.
 ADDED = 64
 #: Displacements of a bucket that are tried before another seed is.
@@ -46,14 +47,31 @@ TRIES = 1 << 16
 #: All shares are whole numbers of this part.
 PARTS = 1_000_000_000
 
-_TERM = re.compile(rb"[a-z\x80-\xff]+")
-_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+#: Signs of terms, and their lower case, by byte.
+_OF_TERM = np.isin(np.arange(256), [*range(65, 91), *range(97, 123), *range(128, 256)])
+_LOWER = np.frombuffer(bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256)), np.uint8)
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
-def terms(text: str | None) -> list[bytes]:
-    """Runs of letters and of signs beyond ASCII, A-Z lower-cased, in UTF-8."""
-    return _TERM.findall((text or "").encode("utf-8", "surrogatepass").translate(_LOWER))
+def coded_terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(text's place, code) of each term in order, and the terms by code, in
+    UTF-8: runs of letters and of signs beyond ASCII, A-Z lower-cased. No term
+    becomes an object of its own."""
+    texts = pc.fill_null(texts, "").cast(pa.binary())
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int32)
+    signs = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]] if ends[-1] > ends[0] else np.zeros(0, np.uint8)
+    ends = ends - ends[0]
+    inside = _OF_TERM[signs]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    first = ends[:-1][ends[:-1] < len(signs)]  # a term doesn't reach into the next text
+    begins[first] = inside[first]
+    at = np.flatnonzero(begins)
+    kept = np.cumsum(inside, dtype=np.int32)
+    offsets = np.append(kept[at] - 1, kept[-1:]) if len(at) else np.zeros(1, np.int32)
+    buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(_LOWER[signs[inside]])]
+    coded = pa.Array.from_buffers(pa.binary(), len(at), buffers).dictionary_encode()
+    return np.searchsorted(ends, at, side="right") - 1, coded.indices.to_numpy(), coded.dictionary
 
 
 # -- minimal perfect hashes ---------------------------------------------------
@@ -151,27 +169,21 @@ class Shards:
 
 
 def _document_counts(batches):
-    """(lang, term, documents), summed in the task as far as it holds them."""
-
-    def flush(held):
-        rows = [(lang, term, n) for lang, own in held.items() for term, n in own.items()]
-        columns = list(zip(*rows)) or [()] * 3
-        return pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.binary()).cast(pa.string()), pa.array(columns[2], pa.int64())],
-            names=["lang", "term", "docs"],
-        )
-
-    held, size = defaultdict(Counter), 0
-    for batch in batches:
-        for lang, text in zip(batch.column(0), batch.column(2)):
-            own = held[lang.as_py()]
-            size -= len(own)
-            own.update(set(terms(text.as_py())))
-            size += len(own)
-            if size >= HELD:
-                yield flush(held)
-                held, size = defaultdict(Counter), 0
-    yield flush(held)
+    """(lang, term, documents), summed over ``COUNTED_BYTES`` of texts."""
+    for whole in batches:
+        for batch in parts(whole, 2, COUNTED_BYTES):
+            langs = batch.column(0).dictionary_encode()
+            text, code, words = coded_terms(batch.column(2))
+            if not len(code):
+                continue
+            met = np.unique(text.astype(np.int64) * len(words) + code)  # each term once a text
+            of_lang = langs.indices.to_numpy().astype(np.int64)[met // len(words)]
+            found, docs = np.unique(of_lang * len(words) + met % len(words), return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [langs.dictionary.take(pa.array(found // len(words))), words.take(pa.array(found % len(words))).cast(pa.string()),
+                 pa.array(docs, pa.int64())],
+                names=["lang", "term", "docs"],
+            )
 
 
 def _build_shard(table: pa.Table) -> pa.Table:
@@ -286,6 +298,7 @@ def _one_pass(groups: DataFrame, table: pa.Table, first: int, step: int, shards:
         for whole in batches:
             for batch in parts(whole, 2, PART_BYTES):
                 names = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                text, code, words = coded_terms(batch.column(2))
                 for group, rows in groupby(enumerate(names), lambda row: row[1]):
                     if group[0] not in own.of_lang:
                         continue
@@ -293,9 +306,14 @@ def _one_pass(groups: DataFrame, table: pa.Table, first: int, step: int, shards:
                         if current:
                             yield passed_on(current, counts)
                         current, counts = group, np.zeros(len(own.of_lang[group[0]]) + 1, np.int64)
-                    words = [w for k, _ in rows for w in terms(batch.column(2)[k].as_py())]
-                    learn(group[0], set(words))
-                    np.add.at(counts, np.fromiter(map(known[group[0]].__getitem__, words), np.int64, len(words)), 1)
+                    rows = [k for k, _ in rows]
+                    start, end = np.searchsorted(text, [rows[0], rows[-1] + 1])
+                    often = np.bincount(code[start:end], minlength=len(words))
+                    met = np.flatnonzero(often)
+                    mine = words.take(pa.array(met)).to_pylist()
+                    learn(group[0], set(mine))
+                    places = np.fromiter(map(known[group[0]].__getitem__, mine), np.int64, len(mine))
+                    np.add.at(counts, places, often[met])
         if current:
             yield passed_on(current, counts)
 

@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +74,21 @@ def test_nothing_is_kept(spark):
     assert divergence.audit(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("skipped", [0, 1, 4])
+def test_terms_of_many_texts_at_once(skipped):
+    """No term joins two texts; nulls, empty texts, slices and signs beyond ASCII."""
+    draw = random.Random(9)
+    texts = ["".join(draw.choice("aZ\u00e9\u4e2d\U0001d400\u00a0 .9[`{@\x7f\n") for _ in range(draw.randrange(12))) for _ in range(400)]
+    texts += [None, "", "end", None, "begin", "", "12"]
+    batch = pa.array(["x", *texts])[1:][skipped:]
+    text, code, words = divergence.coded_terms(batch)
+    got = [(int(t), words[c].as_py().decode()) for t, c in zip(text, code.tolist())]
+    assert got == [(k, w) for k, t in enumerate(texts[skipped:]) for w in TERM.findall((t or "").translate(LOWER))]
+    assert len(set(words.to_pylist())) == len(words)
+    for none in ([], [None], ["", "1 2"]):
+        assert [len(x) for x in divergence.coded_terms(pa.array(none, pa.string()))] == [0, 0, 0]
+
+
 def test_perfect_hashes_are_minimal():
     for n in (1, 2, 3, 100, 5000):
         _, _, slots = divergence.build([f"en\0w{k}".encode() for k in range(n)])
