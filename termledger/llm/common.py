@@ -27,6 +27,13 @@ def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) ->
     return F.broadcast(df) if rows <= limit else df
 
 
+def never_broadcast(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Keep the planner from broadcasting either side of a join with a table of
+    more counted rows than the limit. It goes by bytes as stored, so it takes a
+    packed table, and what an explode makes of one, for much smaller than it is."""
+    return df.hint("merge") if rows > limit else df
+
+
 def quoted(name: str) -> str:
     """A column's name as Spark reads it, whatever signs it holds."""
     return "`" + name.replace("`", "``") + "`"

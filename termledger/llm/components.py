@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termledger.llm.common import never_broadcast
 
-def _large_star(edges: DataFrame) -> DataFrame:
+
+def _large_star(edges: DataFrame, rows: int) -> DataFrame:
     both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
-    return (
-        both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    )
+    up = never_broadcast(both.where("v > u"), 2 * rows)
+    return up.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -41,7 +42,7 @@ def connected_components(edges: DataFrame, folder) -> DataFrame:
     edges = folder.write(_small_star(edges))
     seen = _digest(edges)
     while True:
-        edges = folder.write(_small_star(_large_star(edges)))
+        edges = folder.write(_small_star(_large_star(edges, seen[0])))
         now = _digest(edges)
         if now == seen:
             return edges

@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termledger.llm.common import BROADCAST_ROWS, never_broadcast
 from termledger.llm.components import connected_components
 from termledger.session import StepFolder
 
@@ -28,6 +29,8 @@ BLOCK = 65_536
 #: Distinct fingerprints below one key that are compared pair by pair. Keys with
 #: more go the refined way, which is exact too.
 PAIRED = 256
+#: Keys of a fingerprint.
+KEYS = 66
 
 
 def word_hashes(text: str | None, shingle: int, seed: int = 42) -> np.ndarray:
@@ -97,7 +100,7 @@ _ONE_BIT = """
     shiftleft(1L, if(shiftrightunsigned(k, 32) < 32L, 32, 0) + j)))) as mask"""
 
 
-def near_pairs(distinct: DataFrame, folder, paired: int = PAIRED) -> DataFrame:
+def near_pairs(distinct: DataFrame, folder, paired: int = PAIRED, limit: int = BROADCAST_ROWS) -> DataFrame:
     """(u, v) pairs of distinct fingerprints (column fp), within two bits, that
     link the same classes as all such pairs do.
 
@@ -107,13 +110,16 @@ def near_pairs(distinct: DataFrame, folder, paired: int = PAIRED) -> DataFrame:
     joins the side with it on. Keys with more than ``paired`` fingerprints are
     never paired: their members are indexed further by the wiped bits of the
     other segment, which leaves four fingerprints a key at most, all linked.
+
+    No table of more than ``limit`` counted rows is broadcast: the planner takes
+    the keys for no larger than the fingerprints they are made of.
     """
     keyed = distinct.selectExpr("fp", _VARIANTS).select("fp", "e.k", "e.one")
     counts = keyed.groupBy("k").agg(
         F.count(F.lit(1)).alias("n"), F.min("one").alias("lo"), F.max("one").alias("hi")
     ).where("n > 1 and (lo < hi or lo = 2)").select("k", "n")
-    shared = folder.write(keyed.join(counts, "k"))
-    few = shared.where(F.col("n") <= paired)
+    shared = folder.write(never_broadcast(keyed, KEYS * distinct.count(), limit).join(counts, "k"))
+    few = never_broadcast(shared.where(F.col("n") <= paired), shared.count(), limit)
     a = few.select("k", F.col("fp").alias("u"), F.col("one").alias("p"))
     b = few.select("k", F.col("fp").alias("v"), F.col("one").alias("q"))
     off = a.where("p = 0").join(b.where("q = 1"), "k").select("u", "v")
@@ -163,7 +169,8 @@ def near_duplicates(
     )
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = folder.write(rooted.join(smallest, "root").select("fp", "component_id"))
-    return prints.join(classes, prints["fingerprint"] == classes["fp"]).select(
+    rows = never_broadcast(prints, prints.count())
+    return rows.join(classes, rows["fingerprint"] == classes["fp"]).select(
         F.col("id").alias(id_col), "fingerprint", "component_id"
     )
 

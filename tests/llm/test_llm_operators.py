@@ -81,6 +81,29 @@ def test_near_duplicates_of_odd_rows(spark):
 # -- mixing and sharding -----------------------------------------------------
 
 
+def test_keys_of_fingerprints_are_not_broadcast(spark, tmp_path):
+    """1.3 million keys exploded from a table of 160 kB, of which many are shared:
+    the planner takes the keys for small, and the shared ones it has just counted
+    for large."""
+    draw = random.Random(5)
+    prints = [draw.getrandbits(64) - 2**63 for _ in range(10_000)]
+    prints += [fp ^ 1 << draw.randrange(62) for fp in prints]
+    folder, written = StepFolder(spark, "keys", keep=True), []
+
+    class Kept:
+        def write(self, df):
+            written.append(df)
+            return folder.write(df)
+
+    distinct = folder.write(spark.createDataFrame([(fp,) for fp in prints], "fp long").distinct())
+    pairs = simhash.near_pairs(distinct, Kept()).distinct()
+    assert {(min(r), max(r)) for r in pairs.collect()} >= {(min(p), max(p)) for p in zip(prints, prints[10_000:])}
+    (shared,) = written
+    shared.collect()
+    plan = shared._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+
+
 def test_water_filling(spark):
     rows = [("a", 100, 5.0), ("b", 1000, 2.0), (None, 1000, 1.0), ("z", 0, 5.0)]
     sources = spark.createDataFrame(rows, "source string, source_size long, weight double")
