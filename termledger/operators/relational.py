@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termledger.session import StepFolder
@@ -128,70 +128,137 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
     return single.unionByName(first.select(*keys, "first.*").select(*df.columns))
 
 
+#: Rows whose bits, one a row, are broadcast at most: 64 MB.
+FLAGGED_ROWS = 1 << 29
+_ID, _PLACE = "_load_id", "_load_place"
+
+
 def load_unique(
-    df: DataFrame, unique: Sequence[Sequence[str]], order_by: str
+    df: DataFrame, unique: Sequence[Sequence[str]], order_by: str | Sequence[str]
 ) -> DataFrame:
     """Rows in order, skipping one that repeats a unique key of a kept row.
 
-    Rows whose keys all occur once are kept as they are; finding them shuffles
-    keys, not rows. Among the others a skipped row blocks no later one, so keys
-    cannot be handled one after the other. A round decides every row that is the
-    first under all its keys, which is kept, and every row behind it along a
-    chain on which each has one row before it under its keys: it is kept if that
-    one is not. Chains are followed by pointer doubling, so a chain takes rounds
-    by the logarithm of its length. Rows that a kept row blocks go, and the next
-    round meets what is left; the earliest row left is always decided, so the
-    rounds end. A key with a null in it repeats nothing, as in a unique
-    constraint.
-
-    ``order_by`` must be unique. Rows are written once at the start so that
-    positions taken from a file scan stay as they are. The two earliest rows of
-    a key come from aggregations that combine before the shuffle, so no key is
-    too frequent.
+    Rows whose keys all occur once are kept as they are. Among the others a
+    skipped row blocks no later one, so keys cannot be handled one after the
+    other. A round decides every row that is the first under all its keys, which
+    is kept, and every row behind it along a chain on which each has one row
+    before it under its keys: it is kept if that one is not. Chains are followed
+    by pointer doubling, so a chain takes rounds by the logarithm of its length.
+    Rows that a kept row blocks go, and the next round meets what is left; the
+    earliest row left is always decided, so the rounds end. A key with a null in
+    it repeats nothing, as in a unique constraint.
+
+    ``order_by``, one column or several, must be unique. Rows are written once at
+    the start so that positions taken from a file scan stay as they are, and no
+    whole row is shuffled: rows are found again by bits, one for each, which are
+    broadcast up to 64 MB. Rows that repeat a key are put in order once; the
+    rounds know them by their place and by those of their keys that repeat. What
+    a step has read goes before the next. The two earliest rows of a key are
+    taken in each task before the shuffle, so no key is too frequent.
     """
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
     steps = StepFolder(df.sparkSession, "load-unique", keep=True)
-    rows = steps.write(df)
-    repeats = F.lit(False)
-    marked = rows
+    rows = steps.write(df.withColumn(_ID, F.monotonically_increasing_id()), free=True)
+    n_rows = rows.count()
+    marked, marks = rows, []
     for number, keys in enumerate(unique):
-        repeated = steps.write(count_by(rows, keys).where("n > 1").select(*keys))
-        mark = f"_repeats_{number}"
-        marked = marked.join(repeated.withColumn(mark, F.lit(True)), list(keys), "left")
-        repeats = repeats | F.col(mark).isNotNull()
-    kept = [marked.where(~repeats).select(*df.columns)]
-    left = steps.write(marked.where(repeats).select(*df.columns))
+        marks.append(f"_repeats_{number}")
+        keyed = rows.select(*dict.fromkeys(keys), _ID).dropna(subset=list(keys))
+        counting = StepFolder(df.sparkSession, "load-unique-keys")
+        repeated = counting.write(count_by(keyed, keys).where("n > 1").select(*keys), free=True)
+        bits = counting.write(_bits(semi_join(keyed, repeated, keys).select(_ID)), free=True)
+        marked = _flagged(marked, bits, marks[-1], n_rows)
+    named = [[f"_key_{number}_{n}" for n in range(len(keys))] for number, keys in enumerate(unique)]
+    placed = _placed(marked.where(reduce(Column.__or__, map(F.col, marks))), order, unique, marks, named)
+    placed = steps.write(placed, free=True)
+
+    left, kept = placed.drop(_ID), []
+    rounds = StepFolder(df.sparkSession, "load-unique-rounds")
     while not left.isEmpty():
-        decided = _decided(left, unique, order_by, steps)
-        kept.append(steps.write(left.join(decided, left[order_by] == decided["_row"], "left_semi")))
-        for keys in unique:
-            left = anti_join(left, kept[-1], keys)
-        left = steps.write(left)
-    return reduce(DataFrame.unionByName, kept)
-
-
-def _decided(left: DataFrame, unique: Sequence[Sequence[str]], order_by: str, steps: StepFolder) -> DataFrame:
-    """The rows, as ``_row``, that are kept whatever happens to the others."""
-    met, before, several = left.select(order_by, *{k: None for keys in unique for k in keys}), [], F.lit(False)
-    for number, keys in enumerate(unique):
-        first, second = f"_first_{number}", f"_second_{number}"
-        complete = left.dropna(subset=list(keys))
-        least = complete.groupBy(*keys).agg(F.min(order_by).alias(first))
-        later = complete.join(least, list(keys)).where(F.col(order_by) > F.col(first))
-        least = least.join(later.groupBy(*keys).agg(F.min(order_by).alias(second)), list(keys), "left")
-        met = met.join(least, list(keys), "left")
-        before.append(F.when(F.col(order_by) == F.col(second), F.col(first)))
-        several |= F.coalesce(F.col(order_by) > F.col(second), F.lit(False))
-    before = F.array_distinct(F.array_compact(F.array(*before)))
-    nodes = met.where(~several).select(F.col(order_by).alias("_row"), before.alias("_before")).where("size(_before) < 2")
-    # a row hangs on the one before it; _odd: it is kept if that one is not
-    nodes = steps.write(nodes.select("_row", F.get("_before", F.lit(0)).alias("_on"), (F.size("_before") == 1).alias("_odd")))
+        kept.append(_decided(left, named))
+        held = left.join(kept[-1], _PLACE, "left_semi").drop(_PLACE)
+        held = StepFolder(df.sparkSession, "load-unique-held").write(held, free=True)
+        for keys in named:
+            whole = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+            left = left.where(~whole).unionByName(anti_join(left.where(whole), held.where(whole), keys))
+        left = rounds.write(left, free=True)
+    if not kept:
+        return rows.select(*df.columns)
+    skipped = placed.select(_PLACE, _ID).join(reduce(DataFrame.unionByName, kept), _PLACE, "left_anti")
+    skipped = steps.write(_bits(skipped.select(F.explode(_ID).alias(_ID))), free=True)
+    return _flagged(rows, skipped, "_skipped", n_rows).where("not _skipped").select(*df.columns)
+
+
+def _bits(ids: DataFrame) -> DataFrame:
+    """One bit for each id that is there, in pieces of 4 kB."""
+    dealt = ids.select(F.bitmap_bucket_number(_ID).alias("_piece"), F.bitmap_bit_position(_ID).alias("_at"))
+    return dealt.repartition("_piece").groupBy("_piece").agg(F.bitmap_construct_agg("_at").alias("_bits"))
+
+
+def _flagged(rows: DataFrame, bits: DataFrame, name: str, n_rows: int) -> DataFrame:
+    """Rows with whether their id has its bit set."""
+    found = bits.select(F.col("_piece").alias(f"{name}_piece"), F.col("_bits").alias(f"{name}_bits"))
+    found = F.broadcast(found) if n_rows <= FLAGGED_ROWS else found
+    at = F.bitmap_bit_position(_ID).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col(f"{name}_bits"), F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    flagged = rows.join(found, F.bitmap_bucket_number(_ID) == F.col(f"{name}_piece"), "left")
+    is_set = F.coalesce(F.getbit(byte, at.bitwiseAND(F.lit(7))) == 1, F.lit(False))
+    return flagged.withColumn(name, is_set).drop(f"{name}_piece", f"{name}_bits")
+
+
+def _placed(
+    marked: DataFrame, order: Sequence[str], unique: Sequence[Sequence[str]], marks: Sequence[str],
+    named: Sequence[Sequence[str]],
+) -> DataFrame:
+    """(place, ids, keys): a number that grows with the order, the ids of the rows
+    of that place, which are the same in order and keys, and the keys that repeat,
+    others as null. One shuffle serves the grouping and the sort."""
+    columns = dict.fromkeys([*order, *(k for keys in unique for k in keys)])
+    dealt = marked.select(*columns, *marks, _ID).repartitionByRange(*order)
+    same = dealt.groupBy(*columns, *marks).agg(F.collect_list(_ID).alias(_ID)).orderBy(*order)
+    parts = [
+        F.when(F.col(mark), F.col(k)).alias(name)
+        for keys, mark, names in zip(unique, marks, named)
+        for k, name in zip(keys, names)
+    ]
+    return same.select(F.monotonically_increasing_id().alias(_PLACE), _ID, *parts)
+
+
+def _decided(left: DataFrame, unique: Sequence[Sequence[str]]) -> DataFrame:
+    """The places of rows that are kept whatever happens to the others."""
+    whole = [reduce(Column.__and__, [F.col(k).isNotNull() for k in keys]) for keys in unique]
+    n_keys = reduce(Column.__add__, [flag(w) for w in whole])
+    met = None
+    for keys, complete in zip(unique, whole):
+        row = left.where(complete).select(F.struct(F.col(_PLACE).alias("_row"), n_keys.alias("_keys")).alias("_at"), *keys)
+        earliest = F.row_number().over(Window.partitionBy(*keys).orderBy("_at"))
+        two = row.withColumn("_nth", earliest).where("_nth <= 2").groupBy(*keys)
+        two = two.agg(F.min("_at").alias("_first"), F.max("_at").alias("_second"))
+        seen = F.array(
+            F.struct("_first._row", "_first._keys", F.lit(None).cast("long").alias("_before")),
+            F.struct("_second._row", "_second._keys", F.col("_first._row").alias("_before")),
+        )
+        seen = two.select(F.explode(F.when(F.col("_first") == F.col("_second"), F.slice(seen, 1, 1)).otherwise(seen)).alias("_s"))
+        seen = seen.select("_s.*")
+        met = seen if met is None else met.unionByName(seen)
+    # a row hangs on the one before it, the same under all its keys
+    one = met.where("_keys = 1").select("_row", F.col("_before").alias("_on"))
+    more = met.where("_keys > 1").groupBy("_row").agg(
+        F.first("_keys").alias("_keys"), F.count(F.lit(1)).alias("_n"), F.min("_before").alias("_on"), F.max("_before").alias("_last")
+    ).where("_n = _keys and (_on is null or _on = _last)").select("_row", "_on")
+    steps = StepFolder(left.sparkSession, "load-unique-first", keep=True)
+    nodes = steps.write(one.unionByName(more), free=True)
+    roots = nodes.where("_on is null").select(F.col("_row").alias("_root"))
+    # _odd: it is kept if the one it hangs on is not
+    hung = nodes.where("_on is not null").withColumn("_odd", F.lit(True))
+    chains = StepFolder(left.sparkSession, "load-unique-chains")
     while True:
-        nodes = steps.write(_jump(_jump(nodes.withColumn("_moved", F.lit(False)))))
-        if nodes.where("_moved").isEmpty():
+        hung = chains.write(_jump(_jump(hung.withColumn("_moved", F.lit(False)))), free=True)
+        if hung.where("_moved").isEmpty():
             break
-    roots = nodes.where("_on is null").select(F.col("_row").alias("_root"))
-    even = nodes.where("not _odd").join(roots, F.col("_on") == F.col("_root"), "left_semi")
-    return roots.toDF("_row").unionByName(even.select("_row"))
+        hung = hung.drop("_moved")
+    even = hung.where("not _odd").join(roots, F.col("_on") == F.col("_root"), "left_semi")
+    return chains.write(roots.unionByName(even.select(F.col("_row").alias("_root"))).toDF(_PLACE), free=True)
 
 
 def _jump(nodes: DataFrame) -> DataFrame:

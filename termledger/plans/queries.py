@@ -89,11 +89,8 @@ def load_unique(spark, sf_dir):
     """Extract rows with two unique keys, as a load that skips repeats keeps them."""
     lines = fx.table(spark, sf_dir, "lineitem")
     order = [c for c in lines.columns if c not in {"l_orderkey", "l_linenumber"}]
-    rows = lines.withColumn(
-        "_line", F.struct("l_orderkey", "l_linenumber", *order)
-    )
-    kept = rel.load_unique(rows, [["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"]], "_line")
-    return kept.drop("_line")
+    first = ["l_orderkey", "l_linenumber"]
+    return rel.load_unique(lines, [first, ["l_partkey", "l_suppkey"]], [*first, *order])
 
 
 @query

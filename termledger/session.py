@@ -39,7 +39,9 @@ class StepFolder:
         self._root = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self._round = 0
 
-    def write(self, df: DataFrame) -> DataFrame:
+    def write(self, df: DataFrame, free: bool = False) -> DataFrame:
+        """``free``: shuffle files go at once, which else stay until the driver
+        happens to collect its garbage."""
         self._round += 1
         path = f"{self._root}/round-{self._round:03d}"
         df.write.mode("error").parquet(path)
@@ -47,6 +49,8 @@ class StepFolder:
             remove_at_end(self._spark, self._root)
         if self._round > 1 and not self._keep:
             remove(self._spark, f"{self._root}/round-{self._round - 1:03d}")
+        if free:
+            self._spark._jvm.System.gc()
         return self._spark.read.schema(df.schema).parquet(path)
 
 

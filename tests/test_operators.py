@@ -179,6 +179,35 @@ def test_load_unique_of_three_keys_and_hot_ones(spark, seed):
     assert sorted(tuple(r) for r in out.collect()) == in_order(rows, [(1,), (2,), (3, 1)])
 
 
+@pytest.mark.parametrize("flagged", [1 << 29, 0])
+def test_load_unique_shuffles_no_whole_rows(spark, monkeypatch, flagged):
+    """Whole rows of the result are read as written at the start, with their bits
+    broadcast beside them; 70,000 rows a part need bits in several pieces. Without
+    a broadcast the rows are the same."""
+    monkeypatch.setattr(rel, "FLAGGED_ROWS", flagged)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(0, 140_000, 1, 2).selectExpr(
+            "id % 100000 as a", "if(id % 7 = 0, null, id % 35003) as b", "id div 1000 as day", "id % 1000 as nth", "'text' as text"
+        )
+        out = rel.load_unique(rows, [["a"], ["b", "text"]], ["day", "nth"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert ("Exchange hashpartitioning" not in plan) == bool(flagged)
+        assert out.columns == rows.columns
+        order = [(1000 * r.day + r.nth, r.a, r.b) for r in rows.collect()]
+        a, b, expected = set(), {None}, []
+        for row in sorted(order, key=lambda r: r[0]):
+            if row[1] not in a and (row[2] is None or row[2] not in b):
+                expected.append(row)
+                a.add(row[1])
+                b.add(row[2])
+        got = sorted(((1000 * r.day + r.nth, r.a, r.b) for r in out.collect()), key=lambda r: r[0])
+        assert got == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_load_unique_query_against_brute_force(spark, tiny):
     """The registered query replayed row by row, beside its SQL form."""
     lines = fx.table(spark, tiny, "lineitem")
