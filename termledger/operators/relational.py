@@ -130,6 +130,8 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
 
 #: Rows whose bits, one a row, are broadcast at most: 64 MB.
 FLAGGED_ROWS = 1 << 29
+#: Rows of the table for each part that is sorted: a part is sorted in memory.
+PLACED_ROWS = 250_000
 _ID, _PLACE = "_load_id", "_load_place"
 
 
@@ -169,8 +171,8 @@ def load_unique(
         bits = counting.write(_bits(semi_join(keyed, repeated, keys).select(_ID)), free=True)
         marked = _flagged(marked, bits, marks[-1], n_rows)
     named = [[f"_key_{number}_{n}" for n in range(len(keys))] for number, keys in enumerate(unique)]
-    placed = _placed(marked.where(reduce(Column.__or__, map(F.col, marks))), order, unique, marks, named)
-    placed = steps.write(placed, free=True)
+    repeating = marked.where(reduce(Column.__or__, map(F.col, marks)))
+    placed = steps.write(_placed(repeating, order, unique, marks, named, n_rows), free=True)
 
     left, kept = placed.drop(_ID), []
     rounds = StepFolder(df.sparkSession, "load-unique-rounds")
@@ -208,13 +210,14 @@ def _flagged(rows: DataFrame, bits: DataFrame, name: str, n_rows: int) -> DataFr
 
 def _placed(
     marked: DataFrame, order: Sequence[str], unique: Sequence[Sequence[str]], marks: Sequence[str],
-    named: Sequence[Sequence[str]],
+    named: Sequence[Sequence[str]], n_rows: int,
 ) -> DataFrame:
     """(place, ids, keys): a number that grows with the order, the ids of the rows
     of that place, which are the same in order and keys, and the keys that repeat,
-    others as null. One shuffle serves the grouping and the sort."""
+    others as null. One shuffle, to parts that fit into memory, serves the
+    grouping and the sort."""
     columns = dict.fromkeys([*order, *(k for keys in unique for k in keys)])
-    dealt = marked.select(*columns, *marks, _ID).repartitionByRange(*order)
+    dealt = marked.select(*columns, *marks, _ID).repartitionByRange(n_rows // PLACED_ROWS + 1, *order)
     same = dealt.groupBy(*columns, *marks).agg(F.collect_list(_ID).alias(_ID)).orderBy(*order)
     parts = [
         F.when(F.col(mark), F.col(k)).alias(name)
