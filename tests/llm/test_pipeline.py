@@ -8,6 +8,7 @@ import corpus_pipeline as pipeline
 from termledger.llm import simhash
 from termledger.llm.common import load
 from termledger.llm.queries import SHARDS
+from termledger.session import StepFolder
 
 
 def test_stages(spark, tiny, tmp_path):
@@ -65,3 +66,23 @@ def test_clashing_columns_and_repeated_rows(spark, tiny):
         if name == "near_duplicates":
             assert sum(r["doc_id"] is None for r in rows) == 2
             assert sum(r["doc_id"] == 700001 for r in rows) == 1
+
+
+def test_near_duplicates_stage_broadcasts_no_keys(spark, tiny, monkeypatch):
+    """20,000 texts have 1.3 million keys, which the planner takes for as small as
+    the texts' fingerprints; the driver would hold them all."""
+    rows = spark.range(20_000).selectExpr("id as doc_id", "concat('word', id % 19000, ' of a text') as text")
+    rows = rows.selectExpr("doc_id", "text", "'en' as lang", "'src' as source", "1L as n_chars")
+    joined, write = [], StepFolder.write
+
+    def kept(self, df, *args, **kwargs):
+        if df.columns[0] == "k":
+            joined.append(df)
+        return write(self, df, *args, **kwargs)
+
+    monkeypatch.setattr(StepFolder, "write", kept)
+    assert pipeline.near_duplicates(spark, rows, tiny).count() == 19_000
+    (shared,) = joined
+    shared.collect()
+    plan = shared._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "BroadcastExchange" not in plan
